@@ -8,6 +8,8 @@ would lose the centimetres.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,7 +18,19 @@ from terrane.schema import AREAL_KINDS, GEOMETRY_DDL, UTM13N
 
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and hand it to ``body`` as a variable."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
+def once(fn):
+    """Bind the geometry argument, so its expression enters the plan only once.
+
+    Filter push-down replaces a computed column by its expression wherever it is
+    named; a measure naming it ten times would compute it ten times per row.
+    """
+    @functools.wraps(fn)
+    def bound(geom: Column, *args, **kwargs) -> Column:
+        return let(geom, lambda v: fn(v, *args, **kwargs))
+    return bound
 
 
 def total(values: Column) -> Column:
@@ -88,6 +102,7 @@ def default_srid(geom: Column, srid: int) -> Column:
     return geom.withField("srid", F.coalesce(geom["srid"], F.lit(srid).cast("int")))
 
 
+@once
 def promote_to_multi(geom: Column) -> Column:
     kind = geom["kind"]
     multi = F.when(kind.isin("Polygon", "LineString", "Point"),
@@ -104,9 +119,8 @@ def map_vertices(geom: Column, fn) -> Column:
 
 # ── measures ────────────────────────────────────────────────────────────────
 def bbox(geom: Column) -> dict[str, Column]:
-    v = vertices(geom)
-    xs = F.transform(v, lambda p: p["x"])
-    ys = F.transform(v, lambda p: p["y"])
+    xs = F.transform(vertices(geom), lambda p: p["x"])
+    ys = F.transform(vertices(geom), lambda p: p["y"])
     return {"xmin": F.array_min(xs), "ymin": F.array_min(ys),
             "xmax": F.array_max(xs), "ymax": F.array_max(ys)}
 
@@ -131,6 +145,7 @@ def ring_moments(ring: Column) -> Column:
     return let(F.get(ring, F.lit(0)), measure)
 
 
+@once
 def area(geom: Column) -> Column:
     """Planar area; rings after the first of a part are holes."""
     def part_area(rings):
@@ -154,6 +169,7 @@ def _vertex_mean(geom: Column) -> Column:
                     (total(F.transform(v, lambda p: p["y"])) / F.size(v)).alias("y"))
 
 
+@once
 def centroid(geom: Column) -> Column:
     """Area-weighted centroid as a vertex; vertex mean where the area is zero."""
     def ring_share(ring, i):
@@ -179,106 +195,7 @@ def centroid(geom: Column) -> Column:
     return F.coalesce(F.when(is_areal(geom), areal), _vertex_mean(geom))
 
 
-# ── segment predicates ──────────────────────────────────────────────────────
-def _orient(ax, ay, bx, by, px, py) -> Column:
-    return (bx - ax) * (py - ay) - (by - ay) * (px - ax)
-
-
-def _on_span(s, px, py) -> Column:
-    return ((px >= F.least(s["x1"], s["x2"])) & (px <= F.greatest(s["x1"], s["x2"]))
-            & (py >= F.least(s["y1"], s["y2"])) & (py <= F.greatest(s["y1"], s["y2"])))
-
-
-def _sides(s, t) -> tuple[Column, Column, Column, Column]:
-    return (_orient(t["x1"], t["y1"], t["x2"], t["y2"], s["x1"], s["y1"]),
-            _orient(t["x1"], t["y1"], t["x2"], t["y2"], s["x2"], s["y2"]),
-            _orient(s["x1"], s["y1"], s["x2"], s["y2"], t["x1"], t["y1"]),
-            _orient(s["x1"], s["y1"], s["x2"], s["y2"], t["x2"], t["y2"]))
-
-
-def segments_cross(s, t) -> Column:
-    """The two interiors cross at one point."""
-    a, b, c, d = _sides(s, t)
-    return (F.signum(a) * F.signum(b) < 0) & (F.signum(c) * F.signum(d) < 0)
-
-
-def segments_touch(s, t) -> Column:
-    """Any common point, end points and overlaps included."""
-    a, b, c, d = _sides(s, t)
-    return (((F.signum(a) * F.signum(b) < 0) & (F.signum(c) * F.signum(d) < 0))
-            | ((a == 0) & _on_span(t, s["x1"], s["y1"])) | ((b == 0) & _on_span(t, s["x2"], s["y2"]))
-            | ((c == 0) & _on_span(s, t["x1"], t["y1"])) | ((d == 0) & _on_span(s, t["x2"], t["y2"])))
-
-
-def point_segment_distance(px, py, s) -> Column:
-    dx, dy = s["x2"] - s["x1"], s["y2"] - s["y1"]
-    len2 = dx * dx + dy * dy
-    t = F.when(len2 > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (
-        (px - s["x1"]) * dx + (py - s["y1"]) * dy) / len2))).otherwise(F.lit(0.0))
-    return F.hypot(px - (s["x1"] + t * dx), py - (s["y1"] + t * dy))
-
-
-# ── point in polygon ────────────────────────────────────────────────────────
-def _inside(segs: Column, px, py) -> Column:
-    """Even-odd rule over all rings, so holes count themselves out."""
-    crossings = F.filter(segs, lambda s: ((s["y1"] > py) != (s["y2"] > py)) & (
-        px < s["x1"] + (py - s["y1"]) / (s["y2"] - s["y1"]) * (s["x2"] - s["x1"])))
-    return F.size(crossings) % 2 == 1
-
-
-def _on_boundary(segs: Column, px, py) -> Column:
-    return F.exists(segs, lambda s: (_orient(s["x1"], s["y1"], s["x2"], s["y2"], px, py) == 0)
-                    & _on_span(s, px, py))
-
-
-def covers_point(geom: Column, px: Column, py: Column) -> Column:
-    segs = segments(geom)
-    return _on_boundary(segs, px, py) | _inside(segs, px, py)
-
-
-def _pieces(a_segs: Column, b_segs: Column) -> Column:
-    """Midpoints of the pieces the edges of ``b`` cut the edges of ``a`` into."""
-    def cuts(s):
-        dx, dy = s["x2"] - s["x1"], s["y2"] - s["y1"]
-        len2 = dx * dx + dy * dy
-
-        def along(px, py):
-            return ((px - s["x1"]) * dx + (py - s["y1"]) * dy) / len2
-
-        def meet(t):
-            a, b, c, d = _sides(s, t)
-            cross = F.when(segments_cross(s, t), a / (a - b))
-            ends = [F.when((c == 0) & _on_span(s, t["x1"], t["y1"]), along(t["x1"], t["y1"])),
-                    F.when((d == 0) & _on_span(s, t["x2"], t["y2"]), along(t["x2"], t["y2"]))]
-            return F.array(cross, *ends)
-        inner = F.when(len2 > 0, F.filter(F.flatten(F.transform(b_segs, meet)), lambda v: v.isNotNull()))
-        stops = F.array_sort(F.array_distinct(F.concat(
-            F.array(F.lit(0.0), F.lit(1.0)), F.coalesce(inner, F.array().cast("array<double>")))))
-
-        def mids(k):
-            n = F.size(k) - 1
-            return F.zip_with(F.slice(k, F.lit(1), n), F.slice(k, F.lit(2), n), lambda u, v: F.struct(
-                (s["x1"] + dx * ((u + v) / 2)).alias("x"), (s["y1"] + dy * ((u + v) / 2)).alias("y")))
-        return let(stops, mids)
-    return F.flatten(F.transform(a_segs, cuts))
-
-
-def interior_point(geom: Column) -> Column:
-    """A point strictly inside the first part of a polygon."""
-    def from_rings(rings):
-        segs = F.flatten(F.transform(rings, path_segments))
-
-        def at(ys):
-            y = (F.get(ys, F.lit(0)) + F.get(ys, F.lit(1))) / 2
-
-            def between(xs):
-                return F.struct(((F.get(xs, F.lit(0)) + F.get(xs, F.lit(1))) / 2).alias("x"), y.alias("y"))
-            return let(crossings_at(segs, y), between)
-        levels = F.array_sort(F.array_distinct(F.transform(F.flatten(rings), lambda p: p["y"])))
-        return let(levels, at)
-    return let(F.get(geom["parts"], F.lit(0)), from_rings)
-
-
+# ── scan lines ──────────────────────────────────────────────────────────────
 def crossings_at(segs: Column, y: Column) -> Column:
     """Sorted x where the boundary crosses the horizontal line at ``y``."""
     hits = F.filter(segs, lambda s: (s["y1"] > y) != (s["y2"] > y))
@@ -286,50 +203,6 @@ def crossings_at(segs: Column, y: Column) -> Column:
                                     * (s["x2"] - s["x1"])))
 
 
-def within(a: Column, b: Column) -> Column:
-    """Polygon ``a`` lies in polygon ``b`` (common boundary allowed).
-
-    Three conditions decide it: no piece of a's boundary is outside b, no piece
-    of b's boundary is inside a, and a point inside a is inside b.
-    """
-    a_segs, b_segs = segments(a), segments(b)
-    return let(F.struct(a_segs.alias("a"), b_segs.alias("b")), lambda s: (
-        ~F.exists(_pieces(s["a"], s["b"]), lambda p: ~(
-            _on_boundary(s["b"], p["x"], p["y"]) | _inside(s["b"], p["x"], p["y"])))
-        & ~F.exists(_pieces(s["b"], s["a"]), lambda p: (
-            _inside(s["a"], p["x"], p["y"]) & ~_on_boundary(s["a"], p["x"], p["y"])))
-        & let(interior_point(a), lambda p: _inside(s["b"], p["x"], p["y"]))))
-
-
-def distance(a: Column, b: Column) -> Column:
-    """Smallest distance of two geometries; 0 where they touch or overlap."""
-    def measure(s):
-        touch = F.exists(s["a"], lambda u: F.exists(s["b"], lambda v: segments_touch(u, v)))
-        contains = (
-            F.when(is_areal(b), F.exists(a["parts"], lambda rings: let(
-                F.get(F.get(rings, F.lit(0)), F.lit(0)), lambda p: _inside(s["b"], p["x"], p["y"]))))
-            .otherwise(F.lit(False))
-            | F.when(is_areal(a), F.exists(b["parts"], lambda rings: let(
-                F.get(F.get(rings, F.lit(0)), F.lit(0)), lambda p: _inside(s["a"], p["x"], p["y"]))))
-            .otherwise(F.lit(False)))
-        gap = F.least(_vertex_gap(s["va"], s["b"]), _vertex_gap(s["vb"], s["a"]))
-        return F.when(touch | contains, F.lit(0.0)).otherwise(gap)
-    return let(F.struct(segments_or_points(a).alias("a"), segments_or_points(b).alias("b"),
-                        vertices(a).alias("va"), vertices(b).alias("vb")), measure)
-
-
-def segments_or_points(geom: Column) -> Column:
-    """Segments; a point counts as one segment of length zero."""
-    as_points = F.transform(vertices(geom), lambda p: F.struct(
-        p["x"].alias("x1"), p["y"].alias("y1"), p["x"].alias("x2"), p["y"].alias("y2")))
-    return F.when(geom["kind"].isin("Point", "MultiPoint"), as_points).otherwise(segments(geom))
-
-
-def _vertex_gap(points: Column, segs: Column) -> Column:
-    return F.array_min(F.transform(points, lambda p: F.array_min(F.transform(
-        segs, lambda s: point_segment_distance(p["x"], p["y"], s)))))
-
-
 def bbox_distance(a: dict, b: dict) -> Column:
     """Distance of two boxes: a cheap lower bound of the true distance."""
     dx = F.greatest(F.lit(0.0), a["xmin"] - b["xmax"], b["xmin"] - a["xmax"])
@@ -337,136 +210,6 @@ def bbox_distance(a: dict, b: dict) -> Column:
     return F.hypot(dx, dy)
 
 
-# ── validity ────────────────────────────────────────────────────────────────
-def _indexed_segments(rings: Column) -> Column:
-    """Segments of a part with their ring, place and ring length."""
-    return F.flatten(F.transform(rings, lambda ring, r: F.transform(path_segments(ring), lambda s, i: F.struct(
-        s["x1"].alias("x1"), s["y1"].alias("y1"), s["x2"].alias("x2"), s["y2"].alias("y2"),
-        r.alias("r"), i.alias("i"), (F.size(ring) - 1).alias("n")))))
-
-
-def _neighbours(s, t, closed) -> Column:
-    wrap = ((s["i"] == 0) & (t["i"] == t["n"] - 1)) & closed
-    return (t["i"] == s["i"] + 1) | wrap
-
-
-def _folds_back(s, t) -> Column:
-    """Neighbouring segments that overlap instead of only sharing a vertex."""
-    a, b, _, _ = _sides(s, t)
-    dot = ((s["x2"] - s["x1"]) * (t["x2"] - t["x1"]) + (s["y2"] - s["y1"]) * (t["y2"] - t["y1"]))
-    return (a == 0) & (b == 0) & (dot < 0)
-
-
-def _meets_itself(rings: Column, closed) -> Column:
-    def clash(s, t):
-        same = s["r"] == t["r"]
-        later = (t["r"] > s["r"]) | (same & (t["i"] > s["i"]))
-        bad = (F.when(same & _neighbours(s, t, closed), _folds_back(s, t))
-               .when(same, segments_touch(s, t)).otherwise(segments_cross(s, t)))
-        return later & bad
-    return let(_indexed_segments(rings), lambda segs: F.exists(
-        segs, lambda s: F.exists(segs, lambda t: clash(s, t))))
-
-
-def _ring_closed(ring) -> Column:
-    a, b = F.get(ring, F.lit(0)), F.get(ring, F.size(ring) - 1)
-    return (F.size(ring) > 0) & (a["x"] == b["x"]) & (a["y"] == b["y"])
-
-
-def _is_flat(ring) -> Column:
-    """All vertices on one line."""
-    def flat(o):
-        return ~F.exists(path_segments(ring), lambda s: _orient(
-            s["x1"], s["y1"], s["x2"], s["y2"], o["x"], o["y"]) != 0)
-    return let(F.get(ring, F.lit(0)), flat)
-
-
-def validity(geom: Column) -> Column:
-    """``struct(valid, reason)``; nested and overlapping holes are not examined."""
-    rings = paths(geom)
-    reason = (
-        F.when(geom.isNull() | (F.size(vertices(geom)) == 0), "empty")
-        .when(~is_areal(geom) & F.exists(rings, lambda r: F.size(r) < F.when(
-            geom["kind"].isin("Point", "MultiPoint"), 1).otherwise(2)), "too few points")
-        .when(~is_areal(geom), F.lit(None).cast("string"))
-        .when(F.exists(rings, lambda r: ~_ring_closed(r)), "ring not closed")
-        .when(F.exists(rings, lambda r: F.size(r) < 4), "too few points")
-        .when(F.exists(rings, _is_flat), "zero area")
-        .when(F.exists(geom["parts"], lambda p: _meets_itself(p, F.lit(True))), "self-intersection"))
-    return let(reason, lambda r: F.struct(r.isNull().alias("valid"), r.alias("reason")))
-
-
-def is_valid(geom: Column) -> Column:
-    return validity(geom)["valid"]
-
-
-def is_simple(geom: Column) -> Column:
-    """No path meets itself; a closed path may share its end point."""
-    def bad_path(path):
-        return _meets_itself(F.array(path), _ring_closed(path))
-    return ~F.exists(paths(geom), bad_path)
-
-
-def _without_repeats(ring: Column) -> Column:
-    return F.filter(ring, lambda p, i: (i == 0) | ~let(
-        F.get(ring, i - 1), lambda q: (q["x"] == p["x"]) & (q["y"] == p["y"])))
-
-
-def _closed(ring: Column) -> Column:
-    return F.when(_ring_closed(ring), ring).otherwise(F.concat(ring, F.slice(ring, F.lit(1), F.lit(1))))
-
-
-def _crossings(ring: Column) -> Column:
-    """Places (i < j) where two segments of a ring cross, with the meeting point."""
-    def per_segment(segs):
-        def against(s, i):
-            def hit(t, j):
-                a, b, _, _ = _sides(s, t)
-                u = a / (a - b)
-                return F.when((j > i) & segments_cross(s, t), F.struct(
-                    i.alias("i"), j.alias("j"),
-                    vertex(s["x1"] + u * (s["x2"] - s["x1"]), s["y1"] + u * (s["y2"] - s["y1"])).alias("p")))
-            return F.filter(F.transform(segs, hit), lambda h: h.isNotNull())
-        return F.flatten(F.transform(segs, against))
-    return let(path_segments(ring), per_segment)
-
-
-def _split_once(ring: Column) -> Column:
-    """A ring with exactly one crossing becomes two rings, any other stays."""
-    def split(hits):
-        h = F.get(hits, F.lit(0))
-        i, j, p = h["i"], h["j"], F.array(h["p"])
-        middle = F.concat(p, F.slice(ring, i + 2, j - i), p)
-        outer = F.concat(F.slice(ring, F.lit(1), i + 1), p,
-                         F.slice(ring, j + 2, F.size(ring) - j - 1))
-        return F.when(F.size(hits) == 1, F.array(outer, middle)).otherwise(F.array(ring))
-    return let(_crossings(ring), split)
-
-
-def _turned(ring: Column, i: Column) -> Column:
-    """Outer rings counter-clockwise, holes clockwise."""
-    a2 = ring_moments(ring)["a2"]
-    wrong = F.when(i == 0, a2 < 0).otherwise(a2 > 0)
-    return F.when(wrong, F.reverse(ring)).otherwise(ring)
-
-
-def make_valid(geom: Column) -> Column:
-    """Close rings, drop repeated vertices, split a single crossing, orient.
-
-    A ring that crosses itself more than once, or has no area, stays as it is and
-    :func:`validity` goes on reporting it.
-    """
-    cleaned = F.transform(geom["parts"], lambda rings: F.transform(
-        rings, lambda r: _closed(_without_repeats(r))))
-    # a part with holes keeps its rings together; a lone ring may split in two parts
-    parts = F.flatten(F.transform(cleaned, lambda rings: F.when(
-        F.size(rings) == 1, F.transform(_split_once(F.get(rings, F.lit(0))), lambda r: F.array(r)))
-        .otherwise(F.array(rings))))
-    turned = F.transform(parts, lambda rings: F.transform(rings, _turned))
-    kind = F.when(F.size(turned) > 1, F.lit("MultiPolygon")).otherwise(geom["kind"])
-    return F.when(is_areal(geom), geom.withField("parts", turned).withField("kind", kind)).otherwise(geom)
-
-
 # ── text ────────────────────────────────────────────────────────────────────
 def _coordinates(path: Column, digits: int) -> Column:
     form = f"%.{digits}f %.{digits}f"
@@ -474,6 +217,7 @@ def _coordinates(path: Column, digits: int) -> Column:
         path, lambda p: F.format_string(form, p["x"], p["y"])), ", "), F.lit(")"))
 
 
+@once
 def to_wkt(geom: Column, digits: int = 2) -> Column:
     kind = geom["kind"]
     rings = F.transform(geom["parts"], lambda p: F.concat(F.lit("("), F.array_join(

@@ -60,3 +60,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder, for layers a job writes and rereads."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str = "layer") -> DataFrame:
+    """Write once below the shared folder and read back: for layers used several times.
+
+    Unlike a checkpoint the result keeps column pruning and file statistics.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

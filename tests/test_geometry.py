@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrane.functions import geometry as g
+from terrane.functions import predicates as pred
 from terrane.schema import GEOMETRY, UTM13N
 
 
@@ -63,19 +64,20 @@ def test_centroid(shapes):
 
 
 def test_validity_and_repair(shapes):
-    got = values(shapes, g.validity(F.col("geom")))
-    assert {k: got[k]["valid"] for k in range(1, 12)} == {
+    got = values(shapes, pred.is_valid(F.col("geom")))
+    why = values(shapes, pred.invalid_reason(F.col("geom")))
+    assert {k: got[k] for k in range(1, 12)} == {
         1: True, 2: True, 3: True, 4: False, 5: False, 6: False, 7: True, 8: True, 9: True, 10: True, 11: True}
-    assert (got[4]["reason"], got[5]["reason"], got[6]["reason"]) == (
+    assert (why[4], why[5], why[6]) == (
         "self-intersection", "ring not closed", "zero area")
-    fixed = shapes.select("id", g.make_valid(F.col("geom")).alias("geom"))
-    areas, valid = values(fixed, g.area(F.col("geom"))), values(fixed, g.is_valid(F.col("geom")))
+    fixed = shapes.select("id", pred.make_valid(F.col("geom")).alias("geom"))
+    areas, valid = values(fixed, g.area(F.col("geom"))), values(fixed, pred.is_valid(F.col("geom")))
     assert (areas[4], areas[5], areas[1], areas[3]) == (50, 50, 100, 300)
     assert valid[4] and valid[5] and not valid[6] and valid[3]
 
 
 def test_simple(shapes):
-    got = values(shapes, g.is_simple(F.col("geom")))
+    got = values(shapes, pred.is_simple(F.col("geom")))
     assert (got[9], got[10], got[11]) == (True, False, True)
 
 
@@ -89,13 +91,13 @@ def pairs(shapes, wanted):
 def test_within(shapes):
     want = {(1, 1): True, (20, 1): True, (21, 1): False, (22, 3): False, (23, 3): False, (28, 3): False,
             (20, 3): True, (20, 7): True, (29, 2): True, (1, 2): True, (3, 1): False, (28, 2): False}
-    got = pairs(shapes, list(want)).select("ia", "ib", g.within(F.col("ga"), F.col("gb")).alias("v")).collect()
+    got = pairs(shapes, list(want)).select("ia", "ib", pred.within(F.col("ga"), F.col("gb")).alias("v")).collect()
     assert {(r.ia, r.ib): r.v for r in got} == want
 
 
 def test_distance(shapes):
     want = {(1, 24): 3, (1, 25): 5, (1, 26): 0, (1, 27): 0, (20, 1): 0, (22, 3): 2, (24, 25): 13, (9, 27): 2}
-    got = pairs(shapes, list(want)).select("ia", "ib", g.distance(F.col("ga"), F.col("gb")).alias("v")).collect()
+    got = pairs(shapes, list(want)).select("ia", "ib", pred.distance(F.col("ga"), F.col("gb")).alias("v")).collect()
     assert {(r.ia, r.ib): pytest.approx(r.v) for r in got} == want
 
 
