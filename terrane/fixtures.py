@@ -86,7 +86,7 @@ FROM lineitem GROUP BY 1, 2, 3, 4"""),
 
 SURFACE_GRID = Grid(x0=490000.0, y0=4405000.0, cell=160.0, ncols=120)
 POINT_GRID = Grid(x0=500000.0, y0=4400240.0, cell=1.0, nrows=241, ncols=240)
-IMAGE_GRID = Grid(x0=500000.0, y0=4400000.0, cell=10.0, nrows=10, ncols=10)
+IMAGE_GRID = Grid(x0=500000.0, y0=4400000.0, cell=50.0, nrows=10, ncols=10)
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

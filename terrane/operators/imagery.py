@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrane.operators.filters import in_bbox
+
 # ── fixed values ────────────────────────────────────────────────────────────
 CLOUD_BIT, CIRRUS_BIT = 10, 11
 REFLECTANCE_SCALE = 10000
@@ -26,12 +28,6 @@ COMPOSITE_BANDS = ["B2", "B3", "B4", "B8", "B11"]
 # ── end of fixed values ─────────────────────────────────────────────────────
 
 
-def in_bbox(df: DataFrame, west, south, east, north) -> DataFrame:
-    """Boxes that meet the given one; plain comparisons the Parquet scan can prune by."""
-    return df.filter((F.col("xmax") >= west) & (F.col("xmin") <= east)
-                     & (F.col("ymax") >= south) & (F.col("ymin") <= north))
-
-
 def select_scenes(scenes: DataFrame, start: str | None = None, end: str | None = None,
                   max_cloud: float | None = None, box: tuple | None = None) -> DataFrame:
     """Scenes acquired in [start, end) with less cloud than the limit."""
