@@ -136,23 +136,23 @@ def focal(cells: DataFrame, halo: int, fn, outputs: list[str], tile: int = TILE_
         return F.sequence(F.floor((F.col(c) - halo) / tile), F.floor((F.col(c) + halo) / tile))
     keyed = (cells.select("row", "col", "value").withColumn("trow", F.explode(blocks("row")))
              .withColumn("tcol", F.explode(blocks("col"))))
-    side = tile + 2 * halo
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        r0, c0 = int(key[0]) * tile - halo, int(key[1]) * tile - halo
-        r, c = pdf["row"].to_numpy() - r0, pdf["col"].to_numpy() - c0
-        values = np.full((side, side), np.nan)
-        present = np.zeros((side, side), bool)
+        rows, cols = pdf["row"].to_numpy(), pdf["col"].to_numpy()
+        top, left = int(key[0]) * tile, int(key[1]) * tile
+        core = (rows >= top) & (rows < top + tile) & (cols >= left) & (cols < left + tile)
+        r0, c0 = int(rows.min()), int(cols.min())       # the array spans the cells that exist
+        r, c = rows - r0, cols - c0
+        values = np.full((int(r.max()) + 1, int(c.max()) + 1), np.nan)
+        present = np.zeros(values.shape, bool)
         values[r, c] = pdf["value"].to_numpy(dtype=float)
         present[r, c] = True
         results = fn(values, present)
-        core = (r >= halo) & (r < halo + tile) & (c >= halo) & (c < halo + tile)
         out = {"row": (r[core] + r0).astype("int32"), "col": (c[core] + c0).astype("int32")}
         for name, array in zip(outputs, results):
             picked = array[r[core], c[core]]
-            out[name] = pd.array(picked, dtype="Float64") if picked.dtype != bool else picked
-            if picked.dtype != bool:
-                out[name] = pd.Series(picked).astype(object).where(~np.isnan(picked), None)
+            # a masked array becomes SQL null, a plain NaN would stay NaN
+            out[name] = picked if picked.dtype == bool else pd.arrays.FloatingArray(picked.copy(), np.isnan(picked))
         return pd.DataFrame(out)
     schema = T.StructType([T.StructField("row", T.IntegerType()), T.StructField("col", T.IntegerType())]
                           + [T.StructField(n, T.BooleanType() if n.startswith("is_") else T.DoubleType())

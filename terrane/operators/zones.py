@@ -182,7 +182,7 @@ def polygon_runs(polygons: DataFrame, grid: Grid, keep: list[str]) -> DataFrame:
     if grid.nrows is not None:
         top, bottom = F.greatest(top, F.lit(0)), F.least(bottom, F.lit(grid.nrows - 1))
     rows = polygons.filter(bottom >= top).select(
-        *keep, "geom", F.explode(F.sequence(top, bottom)).alias("row"))
+        *keep, "geom", F.explode(F.sequence(top.cast("int"), bottom.cast("int"))).alias("row"))
     y = F.lit(grid.y0) - (F.col("row") + 0.5) * grid.cell
 
     def runs(xs):
@@ -192,7 +192,7 @@ def polygon_runs(polygons: DataFrame, grid: Grid, keep: list[str]) -> DataFrame:
             F.ceil((a - grid.x0) / grid.cell - 0.5).alias("c0"),
             (F.ceil((b - grid.x0) / grid.cell - 0.5) - 1).alias("c1")))
     spans = g.let(g.crossings_at(g.segments(F.col("geom")), y), runs)
-    out = rows.select(*keep, F.col("row").cast("int").alias("row"), F.explode(spans).alias("r")).select(
+    out = rows.select(*keep, "row", F.explode(spans).alias("r")).select(
         *keep, "row", F.col("r.c0").cast("int").alias("c0"), F.col("r.c1").cast("int").alias("c1"))
     if grid.ncols is not None:
         out = out.withColumn("c0", F.greatest("c0", F.lit(0))).withColumn("c1", F.least("c1", F.lit(grid.ncols - 1)))

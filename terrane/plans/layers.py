@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrane.functions import attributes as at
@@ -12,7 +15,7 @@ from terrane.functions.simplify import simplify
 from terrane.operators import cluster, filters, joins, raster, zones
 from terrane.schema import (AREAL_KINDS, BBOX_COLUMNS, BUILDING_MIN_M2, LANDUSE_MIN_M2, ROAD_BUFFER_M, SLIVER_M2,
                             UTM13N, Grid)
-from terrane.sources.vector import standardise
+from terrane.sources.vector import read_layer, standardise
 
 BOX = list(BBOX_COLUMNS)
 
@@ -52,6 +55,12 @@ def count_by_class(df: DataFrame, column: str, name: str) -> DataFrame:
             .orderBy(F.desc(name), column))
 
 
+def first_per_key(df: DataFrame, keys: list[str], order: list[str], values: list[str]) -> DataFrame:
+    """First row of each key by an explicit order; combines before the shuffle, so hot keys stay cheap."""
+    first = F.min_by(F.struct(*values), F.struct(*order))
+    return df.groupBy(*keys).agg(first.alias("_first")).select(*keys, *[F.col("_first")[v].alias(v) for v in values])
+
+
 def processed_buildings(features: DataFrame) -> DataFrame:
     """Repaired footprints; area of the geometry as read and as repaired."""
     fixed = features.withColumn("_area", g.rounded_area(F.col("geom"))).withColumn(
@@ -165,3 +174,16 @@ def suitability_map(scores: DataFrame, tolerance: float) -> DataFrame:
 
 def clustered_buildings(buildings: DataFrame) -> DataFrame:
     return cluster.dbscan(buildings)
+
+
+def run_available(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
+    """Status row per wanted layer: counted if its directory is there, skipped if not."""
+    rows = []
+    for name in names:
+        try:
+            counted = read_layer(spark, root, name).agg(F.count(F.lit(1)).alias("features"))
+            rows.append(counted.select(F.lit(name).alias("layer"), "features", F.lit("done").alias("outcome")))
+        except AnalysisException:
+            rows.append(spark.range(1).select(F.lit(name).alias("layer"), F.lit(None).cast("long").alias("features"),
+                                              F.lit("skipped").alias("outcome")))
+    return reduce(DataFrame.unionByName, rows)

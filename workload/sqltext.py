@@ -48,8 +48,12 @@ RECT_SEGMENT = ("(CASE WHEN " + _enters() + " THEN 0.0 ELSE LEAST(" + ", ".join(
         ("x0", "y0"), ("(x0+w)", "y0"), ("(x0+w)", "(y0+h)"), ("x0", "(y0+h)"))]
     + [_point_rect("ax", "ay"), _point_rect("ex", "ey")]) + ") END)")
 
-NEAREST = f"""WITH {SEGMENTS}, cand AS (
-  SELECT b.id, s.id AS rid, {RECT_SEGMENT} AS dist FROM fx_buildings b, seg s),
+# any segment end bounds the nearest distance; exact distances only for boxes within that bound
+NEAREST = f"""WITH {SEGMENTS},
+bound AS (SELECT b.id, sqrt(MIN((b.x0-s.ax)*(b.x0-s.ax) + (b.y0-s.ay)*(b.y0-s.ay))) + 1 AS ub FROM fx_buildings b, seg s GROUP BY 1),
+cand AS (
+  SELECT b.id, s.id AS rid, {RECT_SEGMENT} AS dist FROM fx_buildings b JOIN bound USING (id) JOIN seg s
+    ON LEAST(ax, ex) <= x0 + w + ub AND GREATEST(ax, ex) >= x0 - ub AND LEAST(ay, ey) <= y0 + h + ub AND GREATEST(ay, ey) >= y0 - ub),
 best AS (SELECT id, MIN({{'d': dist, 'r': rid}}) AS m FROM cand GROUP BY id),
 near AS (SELECT id, m.r AS nearest_id, ROUND(m.d, 1) AS dist FROM best)"""
 
@@ -96,7 +100,7 @@ cuts AS (SELECT highway, k, {_LO} AS lo, {_HI} AS hi FROM lines),
 _LOY, _HIY = capsule("y")
 IN_ZONE = f"""WITH {SEGMENTS},
 heights AS (SELECT id, x0, x0 + w AS x1, UNNEST(list_concat([CAST(y0 AS DOUBLE), y0 + h],
-  list_transform(range(CAST(floor(y0/5.0-0.5) AS BIGINT)+1, CAST(ceil((y0+h)/5.0-0.5) AS BIGINT)), k -> (k+0.5)*5.0))) AS y FROM fx_buildings),
+  list_transform(range(CAST(floor(y0/5.0-0.5) AS BIGINT)+1, CAST(ceil((y0+h)/5.0-0.5) AS BIGINT)), lambda k: (k+0.5)*5.0))) AS y FROM fx_buildings),
 cuts AS (SELECT h.id, h.x0, h.x1, h.y, s.highway, {_LOY} AS lo, {_HIY} AS hi FROM heights h JOIN seg s
   ON h.y BETWEEN LEAST(s.ay, s.ey) - 50 AND GREATEST(s.ay, s.ey) + 50 AND h.x1 >= LEAST(s.ax, s.ex) - 50 AND h.x0 <= GREATEST(s.ax, s.ex) + 50
   WHERE s.highway IN {MAJOR} AND (s.ax <> s.ex OR s.ay <> s.ey)),
