@@ -27,9 +27,9 @@ def _pixels(spark, d):
     return fixtures.load(spark, d, X)
 
 
-@query("f9_date_range", "SELECT scene_id, acquired FROM fx_scenes WHERE acquired >= DATE '2023-06-01' AND acquired < DATE '2023-09-01'", (S,))
+@query("f9_date_range", "SELECT scene_id, CAST(acquired AS VARCHAR) AS acquired FROM fx_scenes WHERE acquired >= DATE '2023-06-01' AND acquired < DATE '2023-09-01'", (S,))
 def f9(spark, d):
-    return imagery.select_scenes(_scenes(spark, d), "2023-06-01", "2023-09-01").select("scene_id", c("acquired").cast("timestamp").alias("acquired"))
+    return imagery.select_scenes(_scenes(spark, d), "2023-06-01", "2023-09-01").select("scene_id", c("acquired").cast("string").alias("acquired"))
 
 
 @query("f10_cloud_filter", "SELECT scene_id, cloud_pct FROM fx_scenes WHERE cloud_pct < 20", (S,))
@@ -65,10 +65,10 @@ def i4(spark, d):
     return imagery.composite(imagery.of_scenes(_pixels(spark, d), _summer(spark, d)))
 
 
-@query("i5_mean_composite", f"SELECT r, c, band, ROUND(AVG(dn / 10000.0), 8) AS value FROM fx_pixels WHERE {CLEAR} GROUP BY 1, 2, 3", (X,))
+@query("i5_mean_composite", f"SELECT r, c, band, ROUND(AVG(dn / 10000.0), 12) AS value FROM fx_pixels WHERE {CLEAR} GROUP BY 1, 2, 3", (X,))
 def i5(spark, d):
     out = imagery.composite(imagery.clear_reflectance(_pixels(spark, d)), "mean", "value")
-    return out.withColumn("value", F.round("value", 8))
+    return out.withColumn("value", F.round("value", 12))
 
 
 NDVI = f"""comp AS (SELECT r, c, band, median(dn) AS v FROM fx_pixels JOIN ({CHOSEN}) USING (scene_id) GROUP BY 1, 2, 3),
