@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from terrane.schema import Grid
+from terrane.session import spread
 
 FIXTURES = {
     "fx_buildings": ("orders", """
@@ -93,7 +94,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One fixture as a DataFrame; only the columns its SELECT names are scanned."""
     table, text = FIXTURES[name]
     source = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    return spark.sql(text.replace(f"FROM {table}", "FROM {source}"), source=source)
+    return spread(spark.sql(text.replace(f"FROM {table}", "FROM {source}"), source=source))
 
 
 def ctes(*names: str) -> str:

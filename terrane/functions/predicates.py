@@ -128,7 +128,12 @@ def _distances(a: _Edges, b: _Edges) -> np.ndarray:
         gap = np.minimum(
             np.minimum(_point_edge(ax1, ay1, bx1, by1, bx2, by2), _point_edge(ax2, ay2, bx1, by1, bx2, by2)),
             np.minimum(_point_edge(bx1, by1, ax1, ay1, ax2, ay2), _point_edge(bx2, by2, ax1, ay1, ax2, ay2)))
-        np.minimum.at(out, a.row[i], np.where(crossing, 0.0, gap))
+        gap[crossing] = 0.0
+        rows = a.row[i]
+        begin = np.flatnonzero(np.append(True, rows[1:] != rows[:-1])) if len(rows) else i
+        if len(begin):
+            at = rows[begin]        # a row may go on in the next chunk, so keep the smaller
+            out[at] = np.minimum(out[at], np.minimum.reduceat(gap, begin))
     for one, other in ((a, b), (b, a)):
         use = other.areal[one.lead_row] & (out[one.lead_row] > 0)
         rows = one.lead_row[use]

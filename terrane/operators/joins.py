@@ -61,6 +61,23 @@ def distance_pairs(left: DataFrame, right: DataFrame, reach: float) -> DataFrame
             .filter(F.col("dist") <= reach))
 
 
+def near_pairs(left: DataFrame, right: DataFrame, reach: float) -> DataFrame:
+    """The pairs of :func:`distance_pairs` without the distance.
+
+    Boxes whose farthest corners are within reach need no exact test; only the
+    geometries of the undecided pairs are handed to the predicate.
+    """
+    pairs = candidate_pairs(grow(left, reach), right)
+    l_box = {k: F.col("l_" + k) + (reach if k in ("xmin", "ymin") else -reach) for k in BOX}
+    r_box = {k: F.col("r_" + k) for k in BOX}
+    widest = F.hypot(F.greatest(l_box["xmax"], r_box["xmax"]) - F.least(l_box["xmin"], r_box["xmin"]),
+                     F.greatest(l_box["ymax"], r_box["ymax"]) - F.least(l_box["ymin"], r_box["ymin"]))
+    near = pairs.filter(g.bbox_distance(l_box, r_box) <= reach).withColumn("_open", widest > reach)
+    dist = pred.distance(F.when(F.col("_open"), F.col("l_geom")), F.when(F.col("_open"), F.col("r_geom")))
+    return (near.withColumn("_dist", dist).filter(~F.col("_open") | (F.col("_dist") <= reach))
+            .drop("_open", "_dist"))
+
+
 def _vertex_cells(df: DataFrame, levels: list[int]) -> DataFrame:
     """Cells of the first vertex on each level."""
     lv = F.array(*[F.lit(v) for v in levels])

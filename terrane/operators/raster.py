@@ -141,6 +141,8 @@ def focal(cells: DataFrame, halo: int, fn, outputs: list[str], tile: int = TILE_
         rows, cols = pdf["row"].to_numpy(), pdf["col"].to_numpy()
         top, left = int(key[0]) * tile, int(key[1]) * tile
         core = (rows >= top) & (rows < top + tile) & (cols >= left) & (cols < left + tile)
+        if not core.any():
+            return pd.DataFrame({n: [] for n in ("row", "col", *outputs)})
         r0, c0 = int(rows.min()), int(cols.min())       # the array spans the cells that exist
         r, c = rows - r0, cols - c0
         values = np.full((int(r.max()) + 1, int(c.max()) + 1), np.nan)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from terrane.functions import geometry as g
 from terrane.operators.grid import candidate_pairs, grow
 from terrane.schema import BBOX_COLUMNS, ROAD_BUFFER_M, Grid
+from terrane.session import stored
 
 DEFAULT_DY = 5.0
 TILE_M = 256.0        # scan lines are merged in pieces of this width
@@ -136,7 +137,7 @@ def within_zones(features: DataFrame, roads: DataFrame, by: str = "highway", rad
     Only capsules near a footprint are looked at. A footprint is inside if on
     each of its scan lines the union of their intervals covers its own spans.
     """
-    own = features.select("id", *BBOX_COLUMNS, footprint_spans(F.col("geom"), dy).alias("spans"))
+    own = stored(features.select("id", *BBOX_COLUMNS, footprint_spans(F.col("geom"), dy).alias("spans")), "spans")
     caps = capsules(roads, [by])
     boxes = grow(caps.withColumns({"xmin": F.least("x1", "x2"), "xmax": F.greatest("x1", "x2"),
                                    "ymin": F.least("y1", "y2"), "ymax": F.greatest("y1", "y2")}), radius)

@@ -70,3 +70,9 @@ def stored(df: DataFrame, label: str = "layer") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input of few splits; inputs of many splits stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
