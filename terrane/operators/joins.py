@@ -11,6 +11,7 @@ from terrane.functions import geometry as g
 from terrane.functions import predicates as pred
 from terrane.operators.grid import FACTOR, candidate_pairs, grow
 from terrane.schema import BBOX_COLUMNS
+from terrane.session import stored
 
 BOX = list(BBOX_COLUMNS)
 # The nearest join broadcasts the coarse pyramid levels only: at most
@@ -143,7 +144,7 @@ def nearest_join(left: DataFrame, right: DataFrame, how: str = "left", digits: i
         return empty if how == "left" else empty.filter(F.lit(False))
     # a hair wider, so that rounding of the box arithmetic cannot lose the bound's own feature
     probe = left.select("id", "geom", *BOX).join(bounds, "id")
-    probe = grow(probe.withColumn("reach", F.col("reach") * (1 + 1e-9) + 1e-6), F.col("reach"))
+    probe = stored(grow(probe.withColumn("reach", F.col("reach") * (1 + 1e-9) + 1e-6), F.col("reach")), "probe")
     pairs = candidate_pairs(probe, right.select("id", "geom", *BOX))
     scored = pairs.select(F.col("l_id").alias("id"), F.struct(
         pred.distance(F.col("l_geom"), F.col("r_geom")).alias("dist"), F.col("r_id").alias("rid")).alias("best"))
