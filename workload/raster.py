@@ -159,12 +159,19 @@ def r2(spark, d):
     return out.select(c("row").cast("long").alias("row"), c("col").cast("long").alias("col"), F.round("value", 6).alias("value"))
 
 
-@query("r1_reproject_bilinear")
+@query("r1_reproject_bilinear", f"""
+WITH t AS (SELECT i // 150 AS row, i % 150 AS col, 490000 + 100*((i % 150) + 0.5) AS x0, 4404000 - 100*((i // 150) + 0.5) AS y0 FROM range(22500) AS q(i)),
+p AS (SELECT row, col, ({sqltext.LON} + 105.12) / 0.0018 - 0.5 AS u, (39.80 - {sqltext.LAT}) / 0.0018 - 0.5 AS v FROM ({sqltext.inverse_utm('t')})),
+n AS (SELECT row, col, floor(v) + dr AS r, floor(u) + dc AS c,
+  (CASE WHEN dr = 1 THEN v - floor(v) ELSE 1 - (v - floor(v)) END) * (CASE WHEN dc = 1 THEN u - floor(u) ELSE 1 - (u - floor(u)) END) AS w
+  FROM p, (VALUES (0), (1)) a(dr), (VALUES (0), (1)) b(dc))
+SELECT row, col, ROUND(SUM(w * dem) / SUM(w), 5) AS value FROM n JOIN fx_grid USING (r, c) WHERE dem IS NOT NULL AND w > 0 GROUP BY 1, 2""", (G,))
 def r1(spark, d):
     """The surface read as a longitude/latitude raster and brought to the projected grid."""
     source = Grid(x0=-105.12, y0=39.80, cell=0.0018, ncols=120, srid=4326)
     target = Grid(x0=490000.0, y0=4404000.0, cell=100.0, nrows=150, ncols=150)
-    return raster.bilinear(base.raster(spark, d, "dem"), source, target)
+    out = raster.bilinear(base.raster(spark, d, "dem"), source, target)
+    return out.select(c("row").cast("long").alias("row"), c("col").cast("long").alias("col"), F.round("value", 5).alias("value"))
 
 
 @query("r3_nodata_mask", """

@@ -113,6 +113,10 @@ inside AS (SELECT id, highway FROM good GROUP BY 1, 2
 _XI, _ETA = f"(y0/{pj._R!r})", f"((x0-{pj._E0!r})/{pj._R!r})"
 _XP = f"{_XI}-" + "-".join(f"{b!r}*sin({2*j}*{_XI})*cosh({2*j}*{_ETA})" for j, b in enumerate(pj._BETA, 1))
 _EP = f"{_ETA}-" + "-".join(f"{b!r}*cos({2*j}*{_XI})*sinh({2*j}*{_ETA})" for j, b in enumerate(pj._BETA, 1))
-INVERSE_UTM = (f"SELECT *, asin(sin(xp)/cosh(ep)) AS chi FROM (SELECT id, {_XP} AS xp, {_EP} AS ep FROM fx_buildings)")
+def inverse_utm(source: str) -> str:
+    """Series terms for the points (x0, y0) of a table; LON and LAT read from them."""
+    return f"SELECT *, asin(sin(xp)/cosh(ep)) AS chi FROM (SELECT *, {_XP} AS xp, {_EP} AS ep FROM {source})"
+
+
 LON = "(degrees(atan2(sinh(ep), cos(xp))) - 105.0)"
 LAT = "degrees(chi+" + "+".join(f"{q!r}*sin({2*j}*chi)" for j, q in enumerate(pj._DELTA, 1)) + ")"

@@ -202,7 +202,7 @@ def g1(spark, d):
 
 
 @query("g2_to_lonlat", f"""
-SELECT id, ROUND({sqltext.LON}, 8) AS lon, ROUND({sqltext.LAT}, 8) AS lat FROM ({sqltext.INVERSE_UTM})""", (B,))
+SELECT id, ROUND({sqltext.LON}, 8) AS lon, ROUND({sqltext.LAT}, 8) AS lat FROM ({sqltext.inverse_utm('fx_buildings')})""", (B,))
 def g2(spark, d):
     v = g.first_vertex(projection.reproject(c("geom"), WGS84))
     return base.buildings(spark, d, False).select("id", v.alias("v")).select(
