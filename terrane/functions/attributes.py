@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # ── fixed values ────────────────────────────────────────────────────────────
 # Plain numbers as they are recognised in a height tag.
 PLAIN_NUMBER = "^[0-9.]+$"
+# Java reads a trailing d or f as part of a number ("24d"); a height tag does not.
+TYPE_SUFFIX = "[0-9.][dDfF]\\s*$"
 METRES_PER_FLOOR = 3.0
 
 HEIGHT_BANDS = [(3.0, "< 3m (single storey)"), (10.0, "3–10m (low rise)"), (30.0, "10–30m (mid rise)"),
@@ -50,7 +52,7 @@ def parse_height(text: Column, rule: str = "pattern") -> Column:
     number = text.try_cast("double")
     if rule == "pattern":
         return F.when(text.rlike(PLAIN_NUMBER), number)
-    return F.when(~F.isnan(number), number)
+    return F.when(~F.isnan(number) & ~text.rlike(TYPE_SUFFIX), number)
 
 
 def estimated_floors(height: Column, mode: str = "half_up") -> Column:
