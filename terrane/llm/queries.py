@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrane.llm import quality
+from terrane.llm import bagminhash, quality
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that importance resampling keeps."""
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_bagminhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its near-duplicate class."""
+    return bagminhash.classes(table(spark, sf_dir, "documents"))
