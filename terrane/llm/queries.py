@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrane.llm import bagminhash, quality
+from terrane.llm import bagminhash, decontaminate, quality
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -33,3 +33,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its near-duplicate class."""
     return bagminhash.classes(table(spark, sf_dir, "documents"))
+
+
+@query("op2_decontamination")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a passage of a benchmark item."""
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
