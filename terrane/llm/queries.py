@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrane.llm import bagminhash, decontaminate, quality
+from terrane.llm import bagminhash, decontaminate, pii, quality
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +39,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold a passage of a benchmark item."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op1_pii")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.find(table(spark, sf_dir, "documents"))
