@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrane.llm import bagminhash, decontaminate, pii, quality
+from terrane.llm import bagminhash, decontaminate, mixture, pii, quality
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +45,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.find(table(spark, sf_dir, "documents"))
+
+
+@query("op3_mixture")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document."""
+    return mixture.report(table(spark, sf_dir, "documents"))
