@@ -11,8 +11,9 @@ their multisets. Elements stop once their next point is later than every
 component.
 
 Bands of the signature give buckets. Links are verified exactly (multiset
-overlap of at least ``SIMILARITY``): in each bucket against a leader, in rounds
-with the members that no leader took. Members of different leaders are compared
+overlap of at least ``SIMILARITY``): in each bucket against a leader, then the
+members that it did not take with each other if they are FEW, else against FEW
+more leaders, and so on until none is left. Members of different leaders are compared
 only where the triangle inequality of the multiset distance leaves a link
 possible and no other links have joined them already. So no bucket is expanded into
 all its pairs, and no verified class is split that the bands let meet.
@@ -39,6 +40,7 @@ from terrane.session import stored
 BANDS, ROWS = 25, 4
 M = BANDS * ROWS
 SIMILARITY = 0.8
+FEW = 32                   # members of a bucket that are compared with each other, and leaders of a larger one per round
 BLOCK = 1 << 15            # points drawn at a time when few elements are left
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -106,8 +108,9 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 band = W.mix(band * np.uint64(0x9FB21C651E98DF25) + points[:, :, k])
             bands = pa.ListArray.from_arrays(pa.array(np.arange(0, rows * BANDS + 1, BANDS, dtype=np.int32)),
                                              pa.array(band.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(_nodes(doc, value, count, rows), pa.binary()), bands],
-                                             names=["doc_id", "node", "bands"])
+            size = pa.array(np.bincount(doc, weights=count, minlength=rows).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(_nodes(doc, value, count, rows), pa.binary()), size, bands],
+                                             names=["doc_id", "node", "size", "bands"])
 
 
 def _first_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,41 +174,64 @@ def components(edges: DataFrame) -> DataFrame:
         state.select(F.col("b").alias("node"), F.col("b").alias("low")).distinct())
 
 
-def _led(members: DataFrame) -> DataFrame:
-    """(bucket, node, leader) of the members of buckets with several nodes; the smallest node leads."""
-    leaders = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return members.join(leaders.select("bucket", "leader"), "bucket").filter("node != leader")
+def _first_round(members: DataFrame) -> DataFrame:
+    """(bucket, node, size, leader, leader_size, leads, last): the smallest node of each bucket leads the others."""
+    leaders = (members.groupBy("bucket").agg(F.min(F.struct("node", "size")).alias("l"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+               .select("bucket", F.col("l.node").alias("leader"), F.col("l.size").alias("leader_size")))
+    return members.join(leaders, "bucket").filter("node != leader").withColumns({"leads": F.lit(False), "last": F.lit(False)})
+
+
+def _next_round(members: DataFrame) -> DataFrame:
+    """The same for members that no leader took: up to FEW of a bucket are all compared, of more FEW lead, one of each hash cell."""
+    counts = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    counted = stored(members.join(counts, "bucket"), "counted")
+    few = counted.filter(F.col("n") <= FEW).drop("n")
+    other = few.select("bucket", F.col("node").alias("leader"), F.col("size").alias("leader_size"))
+    close = few.join(other, "bucket").filter("leader < node").withColumns({"leads": F.lit(False), "last": F.lit(True)})
+    many = counted.filter(F.col("n") > FEW).drop("n")
+    leaders = (many.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(FEW)).alias("cell")).agg(F.min(F.struct("node", "size")).alias("l"))
+               .groupBy("bucket").agg(F.collect_list("l").alias("all")))
+    led = (many.join(leaders, "bucket").withColumn("leads", F.exists("all", lambda x: x["node"] == F.col("node")))
+           .withColumn("l", F.explode("all")).filter((F.col("l.node") != F.col("node")) & (~F.col("leads") | (F.col("l.node") < F.col("node"))))
+           .select("bucket", "node", "size", F.col("l.node").alias("leader"), F.col("l.size").alias("leader_size"), "leads", F.lit(False).alias("last")))
+    return close.select(*led.columns).unionByName(led)
 
 
 def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     """Verified links (a, b) between nodes, enough to span every class."""
     nodes = signed.filter("node is not null").dropDuplicates(["node"])
-    led = stored(_led(nodes.select(F.explode("bands").alias("bucket"), "node")), "led")
+    led = stored(_first_round(nodes.select(F.explode("bands").alias("bucket"), "node", "size")), "led")
     meeting = led.select("node").unionByName(led.select(F.col("leader").alias("node"))).distinct()
     texts = docs.select("text").mapInArrow(_first_texts, "node binary, text string")
     sets = stored(texts.join(meeting, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
                   .mapInArrow(_sets, "node binary, size long, items array<long>"), "sets")
+    floor = F.when(F.col("last"), SIMILARITY).otherwise(2 * SIMILARITY - 1)
     known, judged = None, None
     while not led.isEmpty():
-        pairs = led.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+        pairs = (led.filter(F.least("size", "leader_size") >= F.greatest("size", "leader_size") * floor)
+                 .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
         if known is not None:
             pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
         fresh = stored(_verify(pairs, sets), "similarity")
         known = fresh if known is None else known.unionByName(fresh)
-        now = stored(led.join(known.select(F.col("a").alias("leader"), F.col("b").alias("node"), "s"), ["leader", "node"]), "judged")
+        now = stored(led.join(known.select(F.col("a").alias("leader"), F.col("b").alias("node"), "s"), ["leader", "node"], "left")
+                     .withColumn("s", F.coalesce("s", F.lit(0.0))), "judged")
         judged = now if judged is None else judged.unionByName(now)
-        led = stored(_led(now.filter(F.col("s") < SIMILARITY).select("bucket", "node")), "led")
+        open_ = (now.filter("not last and not leads").groupBy("bucket", "node", "size").agg(F.max("s").alias("s"))
+                 .filter(F.col("s") < SIMILARITY).drop("s"))
+        led = stored(_next_round(open_), "led")
     if known is None:
         return led.select(F.col("leader").alias("a"), F.col("node").alias("b"))
     edges = known.filter(F.col("s") >= SIMILARITY).select("a", "b")
-    missed = judged.filter((F.col("s") < SIMILARITY) & (F.col("s") >= 2 * SIMILARITY - 1))
+    missed = judged.filter((F.col("s") < SIMILARITY) & (F.col("s") >= 2 * SIMILARITY - 1) & ~F.col("last"))
     if missed.isEmpty():
         return edges
     low = stored(components(edges), "component")
 
     def placed(df: DataFrame) -> DataFrame:
         return df.join(low, "node", "left").withColumn("low", F.coalesce("low", "node"))
-    taken = placed(judged.filter(F.col("s") >= SIMILARITY)).select("bucket", "leader", F.col("node").alias("a"), F.col("s").alias("sa"), F.col("low").alias("la"))
+    taken = placed(judged.filter((F.col("s") >= SIMILARITY) & ~F.col("last"))).select(
+        "bucket", "leader", F.col("node").alias("a"), F.col("s").alias("sa"), F.col("low").alias("la"))
     across = (placed(missed).join(taken, ["bucket", "leader"])
               .filter((F.col("low") != F.col("la")) & (F.col("sa") - F.col("s") <= 1 - SIMILARITY + 1e-12))
               .select("a", F.col("node").alias("b")).distinct())
@@ -215,7 +241,7 @@ def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, class_id, class_size, n_links), one row per document; n_links counts the verified links of its text."""
-    signed = stored(docs.select("doc_id", "text").mapInArrow(_signed, "doc_id long, node binary, bands array<long>"), "signed")
+    signed = stored(docs.select("doc_id", "text").mapInArrow(_signed, "doc_id long, node binary, size long, bands array<long>"), "signed")
     edges = stored(links(docs, signed), "links")
     low = components(edges)
     degree = (edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node")))
