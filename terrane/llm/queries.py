@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrane.llm import bagminhash, decontaminate, mixture, pii, quality
+from terrane.llm import bagminhash, decontaminate, mixture, pii, quality, secrets
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +51,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     return mixture.report(table(spark, sf_dir, "documents"))
+
+
+@query("op4_secrets")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secrets.find(table(spark, sf_dir, "documents"))
