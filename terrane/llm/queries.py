@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrane.llm import bagminhash, decontaminate, mixture, pii, quality, secrets
+from terrane.llm import bagminhash, decontaminate, licenses, mixture, pii, quality, secrets
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +57,53 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secrets.find(table(spark, sf_dir, "documents"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query("op7_licenses", f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
+worded AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM docs),
+places AS (
+  SELECT rid, doc_id, t, len(w) AS n_words,
+    list_filter(range(0, len(w)), lambda i: w[i + 1] = 'mit' AND w[i + 2] = 'license') AS mit,
+    list_filter(range(0, len(w)), lambda i: w[i + 1] = 'apache' AND w[i + 2] = 'license') AS apache,
+    list_filter(range(0, len(w)), lambda i: w[i + 1] = 'general' AND w[i + 2] = 'public' AND w[i + 3] = 'license') AS gpl
+  FROM worded),
+template AS (
+  SELECT label, list_distinct(string_split(words, ' ')) AS words FROM (VALUES
+    ('mit', 'released under the mit license'),
+    ('mit', 'permission is hereby granted free of charge to any person obtaining a copy of this software'),
+    ('apache', 'licensed under the apache license version 2 0'),
+    ('apache', 'you may not use this file except in compliance with the license'),
+    ('gpl', 'this work is licensed under the gnu general public license version 3'),
+    ('gpl', 'this program is free software you can redistribute it and or modify it under the terms of the gnu general public license'),
+    ('bsd', 'redistribution and use in source and binary forms with or without modification are permitted'),
+    ('cc-by-nc', 'licensed under cc by nc 4 0'),
+    ('cc-by-nc', 'licensed under a creative commons attribution noncommercial international license'),
+    ('cc-by', 'licensed under a creative commons attribution international license'),
+    ('mpl', 'this source code form is subject to the terms of the mozilla public license'),
+    ('unlicense', 'this is free and unencumbered software released into the public domain')) AS v(label, words)),
+line AS (SELECT rid, regexp_extract_all(unnest(string_split(t, chr(10))), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM docs),
+block AS (
+  SELECT rid, list_distinct(unnest(CASE WHEN len(w) <= 64 THEN [w]
+    ELSE list_transform(range(0, len(w) - 32, 32), lambda a: w[a + 1 : a + 64]) END)) AS b FROM line),
+held AS (
+  SELECT rid, label, len(list_intersect(b, words)) / len(words) AS share FROM block, template
+  WHERE len(list_intersect(b, words)) >= ceil(0.8 * len(words) - 1e-9)),
+found AS (SELECT rid, list(DISTINCT label) AS more, max(share) AS share FROM held GROUP BY rid),
+base AS (
+  SELECT rid, doc_id, n_words, len(mit) + len(apache) + len(gpl) AS n_base,
+    least(list_min(mit), list_min(apache), list_min(gpl)) AS first_word,
+    greatest(list_max(mit), list_max(apache), list_max(gpl)) AS last_word,
+    list_filter([CASE WHEN len(apache) > 0 THEN 'apache' END, CASE WHEN len(gpl) > 0 THEN 'gpl' END,
+                 CASE WHEN len(mit) > 0 THEN 'mit' END], lambda x: x IS NOT NULL) AS labels FROM places)
+SELECT doc_id, n_words, n_base, first_word, last_word, array_to_string(b.labels, ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(b.labels, coalesce(more, [])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+FROM base b LEFT JOIN found USING (rid)""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
