@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrane.llm import bagminhash, decontaminate, licenses, mixture, pii, quality, secrets
+from terrane.llm import bagminhash, decontaminate, language, licenses, mixture, pii, quality, secrets, voronoi
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +107,23 @@ FROM base b LEFT JOIN found USING (rid)""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License labels of every document."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op9_voronoi_topk", """
+WITH vec AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM vec q, vec c WHERE q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors of every query vector."""
+    return voronoi.search(table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_language")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return language.predict(table(spark, sf_dir, "documents"))
