@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrane.llm import bagminhash, decontaminate, language, licenses, mixture, pii, quality, secrets, voronoi
+from terrane.llm import bagminhash, decontaminate, html, language, licenses, mixture, pii, quality, secrets, voronoi
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +127,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     return language.predict(table(spark, sf_dir, "documents"))
+
+
+@query("op6_html_text")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page."""
+    return html.extract(table(spark, sf_dir, "pages"))
