@@ -11,12 +11,13 @@ their multisets. Elements stop once their next point is later than every
 component.
 
 Bands of the signature give buckets. Links are verified exactly (multiset
-overlap of at least ``SIMILARITY``): in each bucket against a leader, then the
-members that it did not take with each other if they are FEW, else against FEW
-more leaders, and so on until none is left. Members of different leaders are compared
-only where the triangle inequality of the multiset distance leaves a link
-possible and no other links have joined them already. So no bucket is expanded into
-all its pairs, and no verified class is split that the bands let meet.
+overlap of at least ``SIMILARITY``): in each bucket against a leader. Where a bucket
+then still holds several connected components, its members are compared across
+components, if they are FEW; pairs are left out only where sizes, or the triangle
+inequality of the multiset distance with the leader, rule a link out. More than FEW members come together anew by their rarest shingles (a prefix
+filter, which is exact), so that a passage shared by a crowd of otherwise different
+texts is not a reason to compare them. So no bucket is expanded into all its pairs, and
+no class is split that the bands let meet.
 
 Defined results: words are runs of non-blank bytes with A-Z folded; a text of
 fewer than five words is one shingle; null and empty texts stay alone; texts with
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.llm import words as W
@@ -40,9 +41,11 @@ from terrane.session import stored
 BANDS, ROWS = 25, 4
 M = BANDS * ROWS
 SIMILARITY = 0.8
-FEW = 32                   # members of a bucket that are compared with each other, and leaders of a larger one per round
+FEW = 32                   # members of a bucket up to which all are compared across components
+HEADS = 512                # members of a crowded bucket that meet all others in one round
 BLOCK = 1 << 15            # points drawn at a time when few elements are left
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_FINE = float(1 << 36)
 
 
 def _unit(h: np.ndarray) -> np.ndarray:
@@ -64,7 +67,9 @@ def signatures(doc: np.ndarray, value: np.ndarray, count: np.ndarray, rows: int,
         block = int(np.clip(BLOCK // len(d), 1, 64))
         k = (np.arange(n, n + block, dtype=np.uint64) + np.uint64(1)) * _STEP
         h = W.mix(seed[:, None] ^ k[None, :])
-        times = t[:, None] + np.cumsum(-np.log(_unit(h)) / length[:, None], axis=1)
+        # waits are rounded to binary fractions and added in order, so a point's time does not depend on what is drawn beside it
+        waits = np.rint(-np.log(_unit(h)) * _FINE) / (_FINE * length[:, None])
+        times = np.cumsum(np.concatenate([t[:, None], waits], axis=1), axis=1)[:, 1:]
         limit = sig.reshape(rows, m).max(axis=1)
         h2 = W.mix(h ^ _STEP)
         component = (h2 % np.uint64(m)).astype(np.int64)
@@ -174,69 +179,122 @@ def components(edges: DataFrame) -> DataFrame:
         state.select(F.col("b").alias("node"), F.col("b").alias("low")).distinct())
 
 
-def _first_round(members: DataFrame) -> DataFrame:
-    """(bucket, node, size, leader, leader_size, leads, last): the smallest node of each bucket leads the others."""
-    leaders = (members.groupBy("bucket").agg(F.min(F.struct("node", "size")).alias("l"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-               .select("bucket", F.col("l.node").alias("leader"), F.col("l.size").alias("leader_size")))
-    return members.join(leaders, "bucket").filter("node != leader").withColumns({"leads": F.lit(False), "last": F.lit(False)})
+def _led(members: DataFrame) -> DataFrame:
+    """(bucket, node, size, rest, leader, leader_size, leader_rest): the node of each bucket that most others meet, in all their buckets, leads it.
+
+    The original of many edited copies meets more of them than they meet each other.
+    """
+    counts = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max(_indexed()).alias("has")).filter("n > 1 and has")
+    crowd = stored(members.join(counts.select("bucket", "n"), "bucket"), "crowd")
+    known = crowd.groupBy("node").agg(F.sum("n").alias("met"))
+    leaders = (crowd.join(known, "node").groupBy("bucket").agg(F.max(F.struct("met", "node", "size", "rest")).alias("l"))
+               .select("bucket", F.col("l.node").alias("leader"), F.col("l.size").alias("leader_size"), F.col("l.rest").alias("leader_rest")))
+    return crowd.drop("n").join(leaders, "bucket").filter("node != leader")
+
+
+def _indexed() -> F.Column:
+    """Whether a member may be the smaller partner of a link whose first common item is the bucket's."""
+    return F.col("rest") >= F.col("size") * (2 * SIMILARITY / (1 + SIMILARITY)) - 1e-9
+
+
+def _fits(other: str) -> F.Column:
+    """Sizes and what is left of both after their first common item allow a link."""
+    size, rest = F.col(other + "size"), F.col(other + "rest")
+    return F.least("rest", rest) >= (F.col("size") + size) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9
+
+
+def _judged(led: DataFrame, known: DataFrame) -> DataFrame:
+    """``led`` with bounds lo and hi of the similarity to the leader; they differ where it was not computed."""
+    s = known.select(F.col("a").alias("leader"), F.col("b").alias("node"), "s")
+    ratio = F.least("size", "leader_size") / F.greatest("size", "leader_size")
+    return (led.join(s, ["leader", "node"], "left").withColumn("hi", F.coalesce("s", ratio)).withColumn("lo", F.coalesce("s", F.lit(0.0)))
+            .drop("s", "leader_size", "leader_rest"))
+
+
+def _across(rows: DataFrame, low: DataFrame) -> DataFrame:
+    """Members of the buckets in which several components still meet: (bucket, node, size, rest, low, lo, hi, n)."""
+    placed = rows.select("bucket", "node", "size", "rest", "lo", "hi").join(low, "node", "left").withColumn("low", F.coalesce("low", "node"))
+    mixed = (placed.groupBy("bucket").agg(F.min("low").alias("x"), F.max("low").alias("y"), F.count(F.lit(1)).alias("n"), F.max(_indexed()).alias("has"))
+             .filter("x != y and has"))
+    return placed.join(mixed.select("bucket", "n"), "bucket")
 
 
-def _next_round(members: DataFrame) -> DataFrame:
-    """The same for members that no leader took: up to FEW of a bucket are all compared, of more FEW lead, one of each hash cell."""
-    counts = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    counted = stored(members.join(counts, "bucket"), "counted")
-    few = counted.filter(F.col("n") <= FEW).drop("n")
-    other = few.select("bucket", F.col("node").alias("leader"), F.col("size").alias("leader_size"))
-    close = few.join(other, "bucket").filter("leader < node").withColumns({"leads": F.lit(False), "last": F.lit(True)})
-    many = counted.filter(F.col("n") > FEW).drop("n")
-    leaders = (many.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(FEW)).alias("cell")).agg(F.min(F.struct("node", "size")).alias("l"))
-               .groupBy("bucket").agg(F.collect_list("l").alias("all")))
-    led = (many.join(leaders, "bucket").withColumn("leads", F.exists("all", lambda x: x["node"] == F.col("node")))
-           .withColumn("l", F.explode("all")).filter((F.col("l.node") != F.col("node")) & (~F.col("leads") | (F.col("l.node") < F.col("node"))))
-           .select("bucket", "node", "size", F.col("l.node").alias("leader"), F.col("l.size").alias("leader_size"), "leads", F.lit(False).alias("last")))
-    return close.select(*led.columns).unionByName(led)
+def _open(joined: DataFrame) -> DataFrame:
+    """Of candidate rows with (node, low, size, rest, lo, hi) and (other, other_low, ...): those that may still be links."""
+    loose = 1 - SIMILARITY + 1e-9
+    return joined.filter((F.col("low") != F.col("other_low")) & (F.col("lo") - F.col("other_hi") <= loose) & (F.col("other_lo") - F.col("hi") <= loose)
+                         & _fits("other_"))
+
+
+def _others(left: DataFrame, name: str = "node") -> list:
+    return [F.col(name).alias("other"), *[F.col(c).alias("other_" + c) for c in ("low", "size", "rest", "lo", "hi")]]
+
+
+def _more(pairs: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
+    """``known`` with the similarity of the pairs (node, other) that it does not have."""
+    ordered = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    both = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return known.unionByName(stored(_verify(ordered.join(both, ["a", "b"], "left_anti"), sets), "similarity"))
+
+
+def _meet(led: DataFrame, known: DataFrame | None, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(similarities, members of crowded buckets that still hold several components) after leaders and small buckets."""
+    # the first time misses are computed as well, down to where the triangle inequality can use them
+    near = F.least("size", "leader_size") >= F.greatest("size", "leader_size") * (2 * SIMILARITY - 1) if known is None else _fits("leader_")
+    pairs = led.filter(near).select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    if known is not None:
+        known = known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
+        pairs = pairs.join(known, ["a", "b"], "left_anti")
+    fresh = stored(_verify(pairs, sets), "similarity")
+    known = fresh if known is None else known.unionByName(fresh)
+    low = stored(components(known.filter(F.col("s") >= SIMILARITY).select("a", "b")), "component")
+    left = stored(_across(_judged(led, known), low), "across")
+    few = left.filter(F.col("n") <= FEW)
+    return _more(_open(few.join(few.select("bucket", *_others(few)), "bucket").filter("node < other")), known, sets), left.filter(F.col("n") > FEW)
+
+
+def _rare_items(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(bucket, node, size, rest): the rarest items of each node, as many as two nodes above SIMILARITY must share one of.
+
+    What a crowd has in common, such as one long passage, is frequent in it and comes
+    last in every order; ``rest`` counts the items from the bucket's own on. Of a
+    linked pair, what follows the first common item must hold the whole overlap.
+    """
+    items = sets.join(nodes, "node", "left_semi").select("node", "size", F.explode("items").alias("item"))
+    counts = items.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    ordered = items.join(counts, "item").groupBy("node", "size").agg(F.array_sort(F.collect_list(F.struct("n", "item"))).alias("p"))
+    length = (F.col("size") - F.ceil(F.col("size") * SIMILARITY - 1e-9) + 1).cast("int")
+    return (ordered.select("node", "size", F.posexplode(F.slice("p", F.lit(1), length)).alias("pos", "x")).filter("x.n > 1")
+            .select(F.col("x.item").alias("bucket"), "node", "size", (F.col("size") - F.col("pos")).alias("rest")))
 
 
 def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     """Verified links (a, b) between nodes, enough to span every class."""
     nodes = signed.filter("node is not null").dropDuplicates(["node"])
-    led = stored(_first_round(nodes.select(F.explode("bands").alias("bucket"), "node", "size")), "led")
+    led = stored(_led(nodes.select(F.explode("bands").alias("bucket"), "node", "size", F.col("size").alias("rest"))), "led")
     meeting = led.select("node").unionByName(led.select(F.col("leader").alias("node"))).distinct()
     texts = docs.select("text").mapInArrow(_first_texts, "node binary, text string")
     sets = stored(texts.join(meeting, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
                   .mapInArrow(_sets, "node binary, size long, items array<long>"), "sets")
-    floor = F.when(F.col("last"), SIMILARITY).otherwise(2 * SIMILARITY - 1)
-    known, judged = None, None
-    while not led.isEmpty():
-        pairs = (led.filter(F.least("size", "leader_size") >= F.greatest("size", "leader_size") * floor)
-                 .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
-        if known is not None:
-            pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = stored(_verify(pairs, sets), "similarity")
-        known = fresh if known is None else known.unionByName(fresh)
-        now = stored(led.join(known.select(F.col("a").alias("leader"), F.col("b").alias("node"), "s"), ["leader", "node"], "left")
-                     .withColumn("s", F.coalesce("s", F.lit(0.0))), "judged")
-        judged = now if judged is None else judged.unionByName(now)
-        open_ = (now.filter("not last and not leads").groupBy("bucket", "node", "size").agg(F.max("s").alias("s"))
-                 .filter(F.col("s") < SIMILARITY).drop("s"))
-        led = stored(_next_round(open_), "led")
-    if known is None:
-        return led.select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    edges = known.filter(F.col("s") >= SIMILARITY).select("a", "b")
-    missed = judged.filter((F.col("s") < SIMILARITY) & (F.col("s") >= 2 * SIMILARITY - 1) & ~F.col("last"))
-    if missed.isEmpty():
-        return edges
-    low = stored(components(edges), "component")
-
-    def placed(df: DataFrame) -> DataFrame:
-        return df.join(low, "node", "left").withColumn("low", F.coalesce("low", "node"))
-    taken = placed(judged.filter((F.col("s") >= SIMILARITY) & ~F.col("last"))).select(
-        "bucket", "leader", F.col("node").alias("a"), F.col("s").alias("sa"), F.col("low").alias("la"))
-    across = (placed(missed).join(taken, ["bucket", "leader"])
-              .filter((F.col("low") != F.col("la")) & (F.col("sa") - F.col("s") <= 1 - SIMILARITY + 1e-12))
-              .select("a", F.col("node").alias("b")).distinct())
-    more = stored(_verify(across, sets).filter(F.col("s") >= SIMILARITY).select("a", "b"), "similarity")
-    return edges.unionByName(more)
+    known, crowded = _meet(led, None, sets)
+    if not crowded.isEmpty():
+        led = stored(_led(_rare_items(crowded.select("node").distinct(), sets)), "led")
+        known, crowded = _meet(led, known, sets)
+    while not crowded.isEmpty():
+        # members outside a bucket's largest component, or those that can be the smaller partner if they are fewer, meet all others and leave
+        sizes = crowded.groupBy("bucket", "low").agg(F.count(F.lit(1)).alias("m"), F.count_if(_indexed()).alias("i"))
+        plan = sizes.groupBy("bucket").agg(F.max(F.struct("m", "low")).alias("top"), F.sum("m").alias("all"), F.sum("i").alias("i"))
+        plan = plan.select("bucket", F.col("top.low").alias("largest"), (F.col("all") - F.col("top.m") < F.col("i")).alias("outside"))
+        turn = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("node"), "node"))
+        heads = (crowded.join(plan, "bucket").filter(F.when(F.col("outside"), F.col("low") != F.col("largest")).otherwise(_indexed()))
+                 .withColumn("turn", turn).filter(F.col("turn") <= HEADS).select(*crowded.drop("n").columns))
+        heads = stored(heads, "heads")
+        pairs = crowded.join(heads.select("bucket", *_others(heads)), "bucket").filter("node != other")
+        known = _more(_open(pairs), known, sets)
+        low = stored(components(known.filter(F.col("s") >= SIMILARITY).select("a", "b")), "component")
+        rest = crowded.join(heads.select("bucket", "node"), ["bucket", "node"], "left_anti")
+        crowded = stored(_across(rest, low), "across")
+    return known.filter((F.col("s") >= SIMILARITY) & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
