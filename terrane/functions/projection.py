@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from terrane.functions.geometry import let, map_vertices, set_srid
+from terrane.functions.geometry import map_vertices, set_srid
 from terrane.schema import UTM13N, WGS84
 
 # ── fixed values: WGS84 ellipsoid, UTM scale and false easting ──────────────
@@ -19,6 +19,7 @@ _A = 6378137.0
 _F = 1 / 298.257223563
 _K0 = 0.9996
 _E0 = 500000.0
+_N0_SOUTH = 10000000.0
 # ── end of fixed values ─────────────────────────────────────────────────────
 _N = _F / (2 - _F)
 _E = math.sqrt(_F * (2 - _F))
@@ -35,13 +36,26 @@ _BETA = _series((1/2, -2/3, 37/96, -1/360), (1/48, 1/15, -437/1440), (17/480, -3
 _DELTA = _series((2, -2/3, -2, 116/45), (7/3, -8/5, -227/45), (56/15, -136/35), (4279/630,))
 
 
-def central_meridian(srid: int) -> float:
-    """Degrees of a northern UTM zone code (326zz)."""
-    if srid // 100 != 326:
-        raise ValueError(f"not a northern UTM zone: {srid}")
+def is_utm(srid: Column) -> Column:
+    """Codes 32601 to 32660 (north) and 32701 to 32760 (south)."""
+    return srid.between(32601, 32660) | srid.between(32701, 32760)
+
+
+def central_meridian(srid: int | Column) -> float | Column:
+    """Degrees of a UTM zone code (326zz or 327zz)."""
+    if isinstance(srid, Column):
+        return ((srid % 100) * 6 - 183).cast("double")
+    if srid // 100 not in (326, 327) or not 1 <= srid % 100 <= 60:
+        raise ValueError(f"not a UTM zone: {srid}")
     return (srid % 100) * 6 - 183.0
 
 
+def false_northing(srid: int | Column) -> float | Column:
+    if isinstance(srid, Column):
+        return F.when(srid >= 32700, _N0_SOUTH).otherwise(0.0)
+    return _N0_SOUTH if srid >= 32700 else 0.0
+
+
 def _sum(terms) -> Column:
     out = None
     for t in terms:
@@ -49,7 +63,7 @@ def _sum(terms) -> Column:
     return out
 
 
-def to_utm(lon: Column, lat: Column, srid: int = UTM13N) -> tuple[Column, Column]:
+def to_utm(lon: Column, lat: Column, srid: int | Column = UTM13N) -> tuple[Column, Column]:
     """Easting and northing in metres."""
     dl = F.radians(lon - central_meridian(srid))
     s = F.sin(F.radians(lat))
@@ -58,12 +72,12 @@ def to_utm(lon: Column, lat: Column, srid: int = UTM13N) -> tuple[Column, Column
     eta = F.asinh(F.sin(dl) / F.sqrt(t * t + F.cos(dl) * F.cos(dl)))
     east = eta + _sum(F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)) * a for j, a in enumerate(_ALPHA, 1))
     north = xi + _sum(F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)) * a for j, a in enumerate(_ALPHA, 1))
-    return east * _R + _E0, north * _R
+    return east * _R + _E0, north * _R + false_northing(srid)
 
 
-def from_utm(x: Column, y: Column, srid: int = UTM13N) -> tuple[Column, Column]:
+def from_utm(x: Column, y: Column, srid: int | Column = UTM13N) -> tuple[Column, Column]:
     """Longitude and latitude in degrees."""
-    xi, eta = y / _R, (x - _E0) / _R
+    xi, eta = (y - false_northing(srid)) / _R, (x - _E0) / _R
     xp = xi - _sum(F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)) * b for j, b in enumerate(_BETA, 1))
     ep = eta - _sum(F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)) * b for j, b in enumerate(_BETA, 1))
     chi = F.asin(F.sin(xp) / F.cosh(ep))
@@ -81,12 +95,18 @@ def _mapped(geom: Column, fn, srid: int) -> Column:
 def reproject(geom: Column, to: int = UTM13N) -> Column:
     """Bring a geometry to ``to``; geometry already there is left alone.
 
-    Conversions run between longitude/latitude and one UTM zone; a geometry in
-    any other system becomes null rather than a wrong place.
+    Known systems are longitude/latitude (4326) and all UTM zones on WGS84, north
+    and south; a zone is left by way of longitude and latitude. A geometry in any
+    other system raises an error that names it when the row is read, so none is
+    lost unseen (a failing cast; with ANSI mode off it stays where it is, without a SRID).
     """
+    source = geom["srid"]
+    unknown = geom.withField("srid", F.concat(F.lit("no transformation from SRID "), source.cast("string")).cast("int"))
+    lonlat = _mapped(geom, lambda x, y: from_utm(x, y, source), WGS84)
+    out = F.when(source == to, geom)
     if to == WGS84:
-        zone = UTM13N
-        moved = F.when(geom["srid"] == zone, _mapped(geom, lambda x, y: from_utm(x, y, zone), to))
+        out = out.when(is_utm(source), lonlat)
     else:
-        moved = F.when(geom["srid"] == WGS84, _mapped(geom, lambda x, y: to_utm(x, y, to), to))
-    return F.when(geom["srid"] == to, geom).otherwise(moved)
+        central_meridian(to)  # raises for what is no zone
+        out = out.when(source == WGS84, _mapped(geom, lambda x, y: to_utm(x, y, to), to)).when(is_utm(source), _mapped(lonlat, lambda x, y: to_utm(x, y, to), to))
+    return out.otherwise(unknown)

@@ -18,10 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrane.schema import BBOX_COLUMNS
+from terrane.session import chosen_broadcast, stored
 
 FACTOR = 4.0
 HOT_ROWS = 500_000        # rows of one cell a single task is trusted with
-HOT_CELLS = 1024          # bound of the broadcast list of split cells
+BROADCAST_CELLS = 100_000  # rows of the list of split cells up to which it is broadcast; a longer one is joined by key
 KEYS = ["_level", "_role", "_cx", "_cy"]
 
 
@@ -78,19 +79,22 @@ def _keyed(df: DataFrame, prefix: str, own_role: int | None, probe_levels: list[
 
 
 def _shares(left: DataFrame, right: DataFrame, hot_rows: int) -> DataFrame:
-    """Cells to split with their share counts; at most HOT_CELLS rows."""
+    """Every cell above ``hot_rows`` on a side, with its share counts."""
     counts = (left.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_nl")).withColumn("_nr", F.lit(0).cast("long"))
               .unionByName(right.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("_nr"))
                            .withColumn("_nl", F.lit(0).cast("long")))
               .groupBy(*KEYS).agg(F.sum("_nl").alias("_nl"), F.sum("_nr").alias("_nr"))
               .filter((F.col("_nl") > hot_rows) | (F.col("_nr") > hot_rows)))
-    return (counts.orderBy(F.greatest("_nl", "_nr").desc(), *KEYS).limit(HOT_CELLS)
-            .select(*KEYS, F.ceil(F.col("_nl") / hot_rows).cast("int").alias("_sl"),
-                    F.ceil(F.col("_nr") / hot_rows).cast("int").alias("_sr")))
+    return counts.select(*KEYS, F.ceil(F.col("_nl") / hot_rows).cast("int").alias("_sl"),
+                         F.ceil(F.col("_nr") / hot_rows).cast("int").alias("_sr"))
 
 
 def _split(left: DataFrame, right: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
-    hot = F.broadcast(_shares(left, right, hot_rows))
+    """Both sides with share numbers ``_kl`` and ``_kr``; unchanged if no cell is crowded."""
+    shares = stored(_shares(left.select(*KEYS), right.select(*KEYS), hot_rows), "shares")
+    if shares.isEmpty():
+        return left, right
+    hot = chosen_broadcast(shares, BROADCAST_CELLS)
 
     def spread(df, mine, other, mine_key, other_key):
         n_mine = F.greatest(F.coalesce(F.col(mine), F.lit(1)), F.lit(1))
@@ -123,7 +127,7 @@ def candidate_pairs(left: DataFrame, right: DataFrame, left_in_right: bool = Fal
     keys = list(KEYS)
     if split_hot:
         lk, rk = _split(lk, rk, hot_rows)
-        keys += ["_kl", "_kr"]
+        keys += [c for c in ("_kl", "_kr") if c in lk.columns]
     if left_in_right:
         meets = ((F.col("l_xmin") >= F.col("r_xmin")) & (F.col("l_xmax") <= F.col("r_xmax"))
                  & (F.col("l_ymin") >= F.col("r_ymin")) & (F.col("l_ymax") <= F.col("r_ymax")))

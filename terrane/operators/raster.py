@@ -199,8 +199,12 @@ def aspect_degrees(grad: DataFrame) -> DataFrame:
 
 
 def hillshade(grad: DataFrame, azimuth: float = 315.0, altitude: float = 45.0, z: float = 1.0) -> DataFrame:
-    """Illumination 1..255; null where the gradient is."""
-    gx, gy = -F.col("gx") * z, F.col("gy") * z
+    """Illumination 1..255; null where the gradient is.
+
+    The azimuth is that of the light, clockwise from north. Rows run south, so the
+    northward gradient is -gy.
+    """
+    gx, gy = -F.col("gx") * z, -F.col("gy") * z
     steep2 = gx * gx + gy * gy
     alt, az = F.radians(F.lit(altitude)), F.radians(F.lit(azimuth))
     light = (F.sin(alt) - F.cos(alt) * F.sqrt(steep2) * F.sin(F.atan2(gy, gx) - az)) / F.sqrt(F.lit(1.0) + steep2)

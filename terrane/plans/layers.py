@@ -183,7 +183,9 @@ def run_available(spark: SparkSession, root: str, names: list[str]) -> DataFrame
         try:
             counted = read_layer(spark, root, name).agg(F.count(F.lit(1)).alias("features"))
             rows.append(counted.select(F.lit(name).alias("layer"), "features", F.lit("done").alias("outcome")))
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             rows.append(spark.range(1).select(F.lit(name).alias("layer"), F.lit(None).cast("long").alias("features"),
                                               F.lit("skipped").alias("outcome")))
     return reduce(DataFrame.unionByName, rows)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings the library is tuned for. AQE sizes the shuffles and splits
 # skewed join partitions, also where that costs one more exchange.
@@ -72,7 +73,9 @@ def stored(df: DataFrame, label: str = "layer") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input of few splits; inputs of many splits stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def chosen_broadcast(df: DataFrame, rows: int) -> DataFrame:
+    """A small table of known size: marked for broadcast up to ``rows`` rows, left to a plain join beyond.
+
+    ``df`` must be cheap to count (stored).
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -85,6 +85,9 @@ def write_features(df: DataFrame, path: str, properties: list[str], digits: int
     out.select(feature_text(properties, digits=digits).alias("value")).write.mode("overwrite").text(path)
 
 
+BLOCK_ROWS = 1_000_000  # rows of a map block that one task writes
+
+
 # ── layer store: one Parquet directory per layer ────────────────────────────
 def layer_path(root: str, layer: str) -> str:
     return f"{root}/{layer.replace('.', '/')}"
@@ -100,8 +103,10 @@ def write_layer(df: DataFrame, root: str, layer: str, block_level: int | None =
         width = cell_width(F.lit(block_level))
         df = (df.withColumn("block_x", F.floor(F.col("xmin") / width))
               .withColumn("block_y", F.floor(F.col("ymin") / width)))
-        spread = F.pmod(F.xxhash64("xmin", "ymin"), F.lit(4))     # a crowded block still has four writers
-        writer = (df.repartition("block_x", "block_y", spread).sortWithinPartitions("block_x", "block_y", "xmin")
+        # a block has one writer for every BLOCK_ROWS rows it holds
+        counts = df.groupBy("block_x", "block_y").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("block_writers"))
+        df = df.join(counts, ["block_x", "block_y"]).withColumn("block_writer", F.pmod(F.xxhash64("xmin", "ymin"), F.col("block_writers")))
+        writer = (df.repartition("block_x", "block_y", "block_writer").drop("block_writers", "block_writer").sortWithinPartitions("block_x", "block_y", "xmin")
                   .write.mode("overwrite").partitionBy("block_x", "block_y"))
     writer.parquet(layer_path(root, layer))
 

@@ -146,3 +146,45 @@ def test_feature_collection_round_trip(spark, tmp_path):
     got = {r.id: (r.srid, r.kind, r.area) for r in df.select(
         "id", "geom.srid", "geom.kind", g.area(F.col("geom")).alias("area")).collect()}
     assert got == {1: (32613, "MultiPolygon", 200.0), 2: (32613, "Point", 0.0)}
+
+
+def test_hillshade_faces_the_light(spark):
+    """Planes of one steepness facing eight directions, light from the north-west."""
+    shade = {}
+    for name, angle in zip(("N", "NE", "E", "SE", "S", "SW", "W", "NW"), range(0, 360, 45)):
+        # a plane facing angle falls in that direction: dz/deast = -sin, dz/dnorth = -cos, and rows run south
+        a = math.radians(angle)
+        grad = spark.createDataFrame([(0, 0, -math.sin(a) * 0.5, math.cos(a) * 0.5)], "row int, col int, gx double, gy double")
+        shade[name] = raster.hillshade(grad).first().value
+        assert raster.aspect_degrees(grad).first().value == pytest.approx(angle, abs=1e-9)
+    assert max(shade, key=shade.get) == "NW" and min(shade, key=shade.get) == "SE"
+    assert shade["N"] == pytest.approx(shade["W"]) and shade["NE"] == pytest.approx(shade["SW"]) and shade["S"] == pytest.approx(shade["E"])
+
+
+def test_reprojection_knows_all_zones(spark):
+    def moved(srid, x, y, to):
+        point = F.struct(F.lit(srid).alias("srid"), F.lit("Point").alias("kind"),
+                         F.array(F.array(F.array(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"))))).alias("parts"))
+        r = spark.range(1).select(projection.reproject(point, to).alias("g")).first().g
+        return r.srid, r.parts[0][0][0].x, r.parts[0][0][0].y
+    # published coordinates: the CN Tower and the southern edge of the Sydney Opera House
+    assert moved(4326, -79.387139, 43.642566, 32617) == (32617, pytest.approx(630084, abs=1), pytest.approx(4833439, abs=1))
+    srid, x, y = moved(32613, 480000.0, 4400000.0, 32612)
+    assert srid == 32612 and moved(32612, x, y, 32613) == (32613, pytest.approx(480000, abs=1e-3), pytest.approx(4400000, abs=1e-3))
+    lonlat = moved(32756, 334900.0, 6252300.0, 4326)
+    assert lonlat == (4326, pytest.approx(151.215, abs=2e-3), pytest.approx(-33.857, abs=2e-3))
+    assert moved(4326, *lonlat[1:], 32756) == (32756, pytest.approx(334900, abs=1e-3), pytest.approx(6252300, abs=1e-3))
+    with pytest.raises(Exception, match="no transformation from SRID 5514"):
+        moved(5514, 1.0, 2.0, 32613)
+
+
+def test_every_crowded_cell_is_split(spark):
+    from terrane.operators import grid
+    rows = [(i, float(i // 4 * 10), 0.0, 0.5, 0.5) for i in range(8000)]  # 2,000 cells of four
+    left, right = boxes(spark, rows), boxes(spark, rows)
+    lk = grid._keyed(left, "l_", 0, [0], 1, False, False)
+    rk = grid._keyed(right, "r_", 1, [0], 0, True, False)
+    a, b = grid._split(lk, rk, 2)
+    assert a.select(*grid.KEYS, "_kl").distinct().groupBy(*grid.KEYS).count().filter("count > 1").count() > 1024
+    got = candidate_pairs(left, right, hot_rows=2)
+    assert got.count() == got.select("l_id", "r_id").distinct().count() == 2000 * 16

@@ -219,7 +219,8 @@ def r8(spark, d):
 
 
 @query("r9_hillshade_and_aspect", f"""WITH {HORN},
-s AS (SELECT *, (sin(radians(45)) - cos(radians(45)) * sqrt(gx*gx + gy*gy) * sin(atan2(gy, -gx) - radians(315))) / sqrt(1 + gx*gx + gy*gy) AS light,
+s AS (SELECT *, ((-gx) * sin(radians(315)) * cos(radians(45)) + gy * cos(radians(315)) * cos(radians(45)) + sin(radians(45)))
+    / sqrt(gx*gx + gy*gy + 1) AS light,  -- surface normal (-dz/deast, -dz/dnorth, 1) times the unit vector to the light
   degrees(atan2(gy, -gx)) AS deg FROM grad)
 SELECT row, col, ROUND(CASE WHEN light <= 0 THEN 1.0 ELSE 1.0 + 254 * light END, 4) AS shade,
   ROUND(CASE WHEN gx = 0 AND gy = 0 THEN NULL WHEN deg > 90 THEN 450 - deg ELSE 90 - deg END, 4) AS aspect FROM s""", (G,))
