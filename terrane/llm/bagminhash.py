@@ -43,6 +43,7 @@ M = BANDS * ROWS
 SIMILARITY = 0.8
 FEW = 32                   # members of a bucket up to which all are compared across components
 HEADS = 512                # members of a crowded bucket that meet all others in one round
+CELLS = 1 << 18            # hash cells in which the items of crowds are counted
 BLOCK = 1 << 15            # points drawn at a time when few elements are left
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _FINE = float(1 << 36)
@@ -253,19 +254,40 @@ def _meet(led: DataFrame, known: DataFrame | None, sets: DataFrame) -> tuple[Dat
     return _more(_open(few.join(few.select("bucket", *_others(few)), "bucket").filter("node < other")), known, sets), left.filter(F.col("n") > FEW)
 
 
+def _cell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(CELLS, np.int64)
+    for batch in batches:
+        counts += np.bincount(np.asarray(batch.column("items").flatten()) & (CELLS - 1), minlength=CELLS)
+    some = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], names=["cell", "n"])
+
+
 def _rare_items(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """(bucket, node, size, rest): the rarest items of each node, as many as two nodes above SIMILARITY must share one of.
 
     What a crowd has in common, such as one long passage, is frequent in it and comes
     last in every order; ``rest`` counts the items from the bucket's own on. Of a
-    linked pair, what follows the first common item must hold the whole overlap.
+    linked pair, what follows the first common item must hold the whole overlap. Any
+    order is exact; this one sorts by counts in hash cells, a table of fixed size.
     """
-    items = sets.join(nodes, "node", "left_semi").select("node", "size", F.explode("items").alias("item"))
-    counts = items.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    ordered = items.join(counts, "item").groupBy("node", "size").agg(F.array_sort(F.collect_list(F.struct("n", "item"))).alias("p"))
-    length = (F.col("size") - F.ceil(F.col("size") * SIMILARITY - 1e-9) + 1).cast("int")
-    return (ordered.select("node", "size", F.posexplode(F.slice("p", F.lit(1), length)).alias("pos", "x")).filter("x.n > 1")
-            .select(F.col("x.item").alias("bucket"), "node", "size", (F.col("size") - F.col("pos")).alias("rest")))
+    chosen = sets.join(nodes, "node", "left_semi").select("node", "items")
+    counts = np.zeros(CELLS, np.int64)
+    for r in chosen.select("items").mapInArrow(_cell_counts, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        counts[r.cell] = r.n
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, nodes = batch.column("items"), batch.column("node")
+            item, size = np.asarray(lists.flatten()), np.diff(np.asarray(lists.offsets))
+            row = np.repeat(np.arange(len(size)), size)
+            order = np.lexsort((item, shared.value[item & (CELLS - 1)], row))
+            pos = np.arange(len(item)) - np.repeat(np.cumsum(size) - size, size)
+            use = pos < (size - np.ceil(size * SIMILARITY - 1e-9) + 1)[row]
+            at = row[use]
+            yield pa.RecordBatch.from_arrays([pa.array(item[order][use]), nodes.take(pa.array(at)), pa.array(size[at].astype(np.int64)),
+                                              pa.array((size[at] - pos[use]).astype(np.int64))], names=["bucket", "node", "size", "rest"])
+    return chosen.mapInArrow(rarest, "bucket long, node binary, size long, rest long")
 
 
 def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
