@@ -32,6 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrane.llm.sampling import sampled
 from terrane.llm.tagger import Tagger, encode
 
 KINDS = ("email", "ip", "card", "phone")
@@ -194,8 +195,8 @@ def train(passages: list[str], windows: int = WINDOWS, epochs: int = EPOCHS) ->
 def sample_passages(docs: DataFrame) -> list[str]:
     """Passages of at most SAMPLE_DOCS documents, chosen and placed by hash."""
     at = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length("text"), F.lit(1)).cast("long")).cast("int") + 1
-    return [r.p for r in docs.filter("text is not null").select("doc_id", F.substring(F.col("text"), at, F.lit(SAMPLE_CHARS)).alias("p"))
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "p").limit(SAMPLE_DOCS).collect()]
+    parts = docs.filter("text is not null").select("doc_id", F.substring(F.col("text"), at, F.lit(SAMPLE_CHARS)).alias("p"))
+    return [r.p for r in sampled(parts, "doc_id", SAMPLE_DOCS, ("p",)).collect()]
 
 
 # ---- finding

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrane.llm import words as W
+from terrane.llm.sampling import sampled
 from terrane.session import stored
 
 BUCKETS = 1 << 14
@@ -88,7 +89,7 @@ def labelled(labels: DataFrame, limit: int = SAMPLE) -> DataFrame:
     """(doc_id, quality) of at most ``limit`` labelled documents, chosen by hash."""
     one = (labels.filter("doc_id is not null and quality is not null").groupBy("doc_id")
            .agg(F.min("quality").cast("int").alias("quality")))
-    return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    return sampled(one, "doc_id", limit)
 
 
 def fit(docs: DataFrame, sample: DataFrame) -> np.ndarray:

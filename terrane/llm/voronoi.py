@@ -17,8 +17,8 @@ float products where these are exact and by 64-bit integers elsewhere.
 Defined results: null vectors and vectors with a null, NaN or infinite component
 take no part, nor do rows without an id; shorter vectors count as filled up with
 zeros; ties go to the smaller vec_id; equal rows of one id take part as often as they
-occur, but a query never meets a row of its own id; without other rows a query
-gives no result; empty tables give none; extra columns are left alone.
+occur (as queries they are ranked together), but a query never meets a row of its own
+id; without other rows a query gives no result; empty tables give none; extra columns are left alone.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrane.llm.sampling import sampled
 from terrane.session import stored
 
 PIVOTS = 256
@@ -144,7 +145,7 @@ def search(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP) -> Data
         dim, longest = max(1, dim or 0), longest or 0.0
         if not n:
             return empty
-    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(min(PIVOTS, max(1, math.isqrt(n)))).collect()
+    chosen = sampled(rows, "vec_id", min(PIVOTS, max(1, math.isqrt(n)))).collect()
     pivots = np.zeros((len(chosen), dim + 1))
     for i, r in enumerate(chosen):
         pivots[i, :len(r.v)] = r.v

@@ -468,11 +468,12 @@ def test_top_k_equals_brute_force_with_ties(spark):
              (1006, [9.0, 9.0]), (None, [1.0] * 4)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(1))
     good = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
-    want = set()
+    want, pooled = set(), collections.defaultdict(list)  # rows of one query id are ranked together
     for q, v in good:
         if q % 20 == 0:
-            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != q)[:20]
-            want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+            pooled[q] += [(-sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != q]
+    for q, every in pooled.items():
+        want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(every)[:20])}
     got = voronoi.search(df).collect()
     assert {tuple(r) for r in got} == want
     assert voronoi.search(df.limit(0)).count() == 0 and voronoi.search(df.filter("vec_id = 0")).count() == 0
