@@ -210,8 +210,9 @@ def l11_suitability(spark, d):
 
 
 @query("l11_buildings_map", f"""WITH {CLUSTERS}
-SELECT id, CAST(w * h AS DOUBLE) AS area_m2, cluster_id, '#2166ac' AS colour FROM labelled WHERE w * h > 50""", (B,))
+SELECT l.id, CAST(l.w * l.h AS DOUBLE) AS area_m2, cluster_id, CASE WHEN k.height_m IS NULL OR k.height_m = 0 THEN '#2166ac'
+  WHEN k.height_m < 5 THEN '#2166ac' WHEN k.height_m < 15 THEN '#74add1' WHEN k.height_m < 30 THEN '#fdae61' ELSE '#d73027' END AS colour
+FROM labelled l LEFT JOIN fx_roofs k ON k.id = l.id WHERE l.w * l.h > 50""", (B, K))
 def l11_buildings(spark, d):
-    b = _with_area(spark, d)
-    empty = fixtures.load(spark, d, K).select("id", c("height_m").alias("lidar_height_m")).filter(F.lit(False))
-    return layers.buildings_map(b, empty, _clusters(spark, d), 0.00005).select("id", "area_m2", "cluster_id", "colour")
+    heights = fixtures.load(spark, d, K).select("id", c("height_m").alias("lidar_height_m"))
+    return layers.buildings_map(_with_area(spark, d), heights, _clusters(spark, d), 0.00005).select("id", "area_m2", "cluster_id", "colour")

@@ -370,13 +370,14 @@ def x9(spark, d):
                                              F.abs(h - c("w")).alias("gap"), (h + 1600.5).alias("top"))
 
 
-@query("x11_coalesce_defaults", """
-SELECT b.id, 9999.0 AS dist, CASE WHEN 9999.0 < 50 THEN 20 ELSE 0 END AS bonus FROM fx_buildings b""", (B,))
+@query("x11_coalesce_defaults", f"""{sqltext.NEAREST}
+SELECT b.id, COALESCE(n.dist, 9999.0) AS dist, CASE WHEN COALESCE(n.dist, 9999.0) < 50 THEN 20 ELSE 0 END AS bonus
+FROM fx_buildings b LEFT JOIN near n ON n.id = b.id AND n.dist < 500""", (B, R))
 def x11(spark, d):
-    none = base.roads(spark, d).filter(F.lit(False))
-    near = joins.nearest_join(base.buildings(spark, d), none)
-    dist = F.coalesce("dist", F.lit(9999.0))
-    return near.select("id", dist.alias("dist"), F.when(dist < 50, 20).otherwise(0).alias("bonus"))
+    buildings = base.buildings(spark, d)
+    near = joins.nearest_join(buildings, base.roads(spark, d)).filter("dist < 500").select("id", c("dist").alias("road"))
+    dist = F.coalesce("road", F.lit(9999.0))
+    return buildings.select("id").join(near, "id", "left").select("id", dist.alias("dist"), F.when(dist < 50, 20).otherwise(0).alias("bonus"))
 
 
 @query("x12_first_present_column", f"SELECT id, COALESCE({sqltext.HEIGHT}, 0) AS height FROM fx_buildings", (B,))
