@@ -47,7 +47,29 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
-@query("op3_mixture")
+@query("op3_mixture", """
+WITH doc AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+    md5(coalesce(doc_id::VARCHAR, '')) AS place, coalesce(md5(text), '') AS tie FROM documents),
+src AS (
+  SELECT source, sum(size)::BIGINT AS total,
+    CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS w FROM doc GROUP BY source),
+-- sources whose share passes twice their size are a prefix in the order of size over weight
+step AS (
+  SELECT source, total, w, 2.0 * total / w AS ratio,
+    (SELECT sum(total) FROM src) * 150 / 100.0 - coalesce((SELECT sum(2.0 * b.total) FROM src b WHERE 2.0 * b.total / b.w < 2.0 * a.total / a.w), 0) AS rest,
+    (SELECT sum(b.w) FROM src b WHERE 2.0 * b.total / b.w >= 2.0 * a.total / a.w) AS open_w FROM src a),
+level AS (SELECT rest::DOUBLE AS rest, open_w::DOUBLE AS open_w, ratio FROM step WHERE rest / open_w <= ratio ORDER BY ratio LIMIT 1),
+goal AS (
+  SELECT source, total, CASE WHEN NOT EXISTS (SELECT 1 FROM level) OR 2.0 * total / w < (SELECT ratio FROM level) THEN (2 * total)::DOUBLE
+    ELSE (SELECT rest * w / open_w FROM level) END AS target FROM src),
+cut AS (SELECT source, total, target, least(2 * total, round_even(target, 0)::BIGINT) AS take FROM goal),
+placed AS (
+  SELECT d.*, g.total, g.target, g.take, coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY place, d.doc_id, tie, rid
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS o
+  FROM doc d JOIN cut g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, total AS source_size, target,
+  (greatest(0, least(o + size, take) - o) + greatest(0, least(o + size, take - total) - o))::BIGINT AS taken FROM placed""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     return mixture.report(table(spark, sf_dir, "documents"))
