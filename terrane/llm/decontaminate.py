@@ -1,6 +1,7 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-A test item is cut into overlapping passages. A passage may occur in a document
+Every window of ``PASSAGE_WORDS`` words of a test item is a passage, and a shorter
+item is one as a whole. A passage may occur in a document
 with up to k character edits; it is split into k + 1 pieces, so that one piece at
 least must occur unchanged. All pieces of all passages are sought at once with
 an Aho-Corasick automaton; around each hit Myers' bit-parallel algorithm (1999)
@@ -12,7 +13,7 @@ Benchmarks are taken in portions of bounded size, so what each task holds does
 not grow with the benchmark; each portion is one pass over the documents.
 
 Defined results: null and empty texts or items match nothing; an item shorter
-than ``MIN_CHARS`` is too common to be evidence and is left out; equal items each
+than ``MIN_CHARS`` matches only verbatim and as whole words; equal items each
 report their own id; a repeated document row is reported once per row in
 ``matches`` input order but folded to distinct (doc_id, item_id); extra columns
 are left alone.
@@ -28,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PASSAGE_WORDS, STRIDE_WORDS = 24, 12
+PASSAGE_WORDS = 24
 CHARS_PER_EDIT = 16        # k = length // CHARS_PER_EDIT - 1 edits, so pieces have this many characters at least
-MIN_CHARS = 32
-PORTION_CHARS = 4_000_000  # of benchmark text held by a task at once
+MIN_CHARS = 32             # shorter passages have no edits
+PORTION_CHARS = 330_000    # of benchmark text held by a task at once; each word of it begins a passage
 
 
 def folded(text: str | None) -> str:
@@ -39,11 +40,10 @@ def folded(text: str | None) -> str:
 
 
 def passages(text: str | None) -> list[str]:
-    """Windows of an item that overlap by half; the last one ends with the item."""
+    """The windows of an item, one from every word on as long as they are whole; an item of fewer words as it is."""
     words = folded(text).split(" ")
-    ends = list(range(PASSAGE_WORDS, len(words), STRIDE_WORDS)) + [len(words)]
-    out = [" ".join(words[max(0, e - PASSAGE_WORDS): e]) for e in ends]
-    return [p for p in dict.fromkeys(out) if len(p) >= MIN_CHARS]
+    out = [" ".join(words[a: a + PASSAGE_WORDS]) for a in range(max(1, len(words) - PASSAGE_WORDS + 1))]
+    return [p for p in dict.fromkeys(out) if p]
 
 
 def edits_allowed(length: int) -> int:
@@ -88,6 +88,11 @@ def char_masks(pattern: str) -> dict[str, int]:
     return dict(masks)
 
 
+def whole_words(text: str, a: int, b: int) -> bool:
+    """Whether no letter or digit goes on over an end of text[a:b]."""
+    return not (a > 0 and text[a - 1].isalnum() and text[a].isalnum() or b < len(text) and text[b - 1].isalnum() and text[b].isalnum())
+
+
 class Matcher:
     """The automaton of one portion of a benchmark, given as (item_id, text)."""
 
@@ -110,18 +115,29 @@ class Matcher:
         if where:
             self.automaton.make_automaton()
 
-    def __call__(self, text: str | None) -> dict[int, int]:
-        """Smallest edit distance of a matched passage, by item."""
+    def __call__(self, text: str | None, first: bool = False) -> dict[int, int]:
+        """Smallest edit distance of a matched passage, by item; ``first`` stops at any match.
+
+        A piece that is not hit has an edit, so passages are taken by the number of such
+        pieces and left out once their items are known with as few edits.
+        """
         if not self.passages or not text:
             return {}
         text = folded(text)
         wanted: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        hit: dict[int, set[int]] = defaultdict(set)
         for last, (length, at) in self.automaton.iter(text):
             for n, offset in at:
                 start, k = last + 1 - length - offset, self.budget[n]
+                if len(self.passages[n]) < MIN_CHARS and not whole_words(text, start, last + 1):
+                    continue
                 wanted[n].append((max(0, start - k), start + len(self.passages[n]) + k))
+                hit[n].add(offset)
         found: dict[int, int] = {}
-        for n, spans in wanted.items():
+        for least, n in sorted((self.budget[n] + 1 - len(hit[n]), n) for n in wanted):
+            if all(found.get(item, least + 1) <= least for item in self.owners[n]):
+                continue
+            spans = wanted[n]
             masks = self.masks.get(n) or self.masks.setdefault(n, char_masks(self.passages[n]))
             best, begin, end = self.budget[n] + 1, *spans[0]
             for a, b in [*spans[1:], (1 << 62, 0)]:  # hits come in order; those that overlap are looked at together
@@ -135,6 +151,8 @@ class Matcher:
             if best <= self.budget[n]:
                 for item in self.owners[n]:
                     found[item] = min(best, found.get(item, best))
+                if first:
+                    break
         return found
 
 
@@ -178,7 +196,7 @@ def keep(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             match = Matcher(shared.value)
             for batch in batches:
-                yield batch.filter(pa.array([not match(t.as_py()) for t in batch.column("text")], pa.bool_()))
+                yield batch.filter(pa.array([not match(t.as_py(), first=True) for t in batch.column("text")], pa.bool_()))
         docs = docs.mapInArrow(clean, docs.schema)
     return docs
 

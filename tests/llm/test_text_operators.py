@@ -206,6 +206,28 @@ def test_pigeonhole_matches_equal_brute_force(spark):
     assert decontaminate.report(frame(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_every_copied_fragment_of_24_words_is_found(spark):
+    rng = random.Random(3)
+    items = [(i, prose(rng, 24 + 7 * i)) for i in range(6)]
+    rows, want = [], set()
+    for item, text in items:
+        w = text.split(" ")
+        for size in (24, 26, 30):
+            for a in range(len(w) - size + 1):  # brute force: every fragment of the item, at its own place
+                rows.append((len(rows), prose(rng, 9) + " " + " ".join(w[a: a + size]) + " " + prose(rng, 9)))
+                want.add((len(rows) - 1, item))
+    got = decontaminate.matches(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and {r.distance for r in got} == {0}
+
+
+def test_short_items_match_verbatim_as_whole_words(spark):
+    items = [(1, "What is 2 + 2?"), (2, "cat"), (3, "Paris, France")]
+    rows = [(1, "so what is\n2 + 2? easy"), (2, "concatenate"), (3, "The CAT."), (4, "paris, franc"), (5, "(Paris,  France)"), (6, "what is 2 + 3?")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.matches(frame(spark, rows), bench).collect()} == {(1, 1), (3, 2), (5, 3)}
+    assert sorted(r.doc_id for r in decontaminate.keep(frame(spark, rows), bench).collect()) == [2, 4, 6]
+
+
 def test_portions_cover_the_benchmark(spark):
     bench = spark.createDataFrame([(i, "y" * 40) for i in range(20)], "item_id long, text string")
     parts = list(decontaminate.portions(bench, limit=100))
