@@ -137,10 +137,10 @@ class Matcher:
         for least, n in sorted((self.budget[n] + 1 - len(hit[n]), n) for n in wanted):
             if all(found.get(item, least + 1) <= least for item in self.owners[n]):
                 continue
-            spans = wanted[n]
+            spans = sorted(wanted[n])
             masks = self.masks.get(n) or self.masks.setdefault(n, char_masks(self.passages[n]))
             best, begin, end = self.budget[n] + 1, *spans[0]
-            for a, b in [*spans[1:], (1 << 62, 0)]:  # hits come in order; those that overlap are looked at together
+            for a, b in [*spans[1:], (1 << 62, 0)]:  # those that overlap are looked at together
                 if a <= end:
                     end = max(end, b)
                     continue

@@ -206,6 +206,21 @@ def test_pigeonhole_matches_equal_brute_force(spark):
     assert decontaminate.report(frame(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_edited_periodic_passages_equal_brute_force():
+    rng = random.Random(4)
+    for n in range(300):
+        part = rng.choice([" press the button", " ----------", " 0000 0000", " again and again"])
+        passage = decontaminate.folded(prose(rng, 2) + part * rng.randint(2, 4) + " " + prose(rng, 2) + part * rng.randint(0, 2) + " " + prose(rng, 2))
+        passage = " ".join(passage.split(" ")[:24])
+        k, chars = decontaminate.edits_allowed(len(passage)), list(passage)
+        for _ in range(rng.randint(1, k)):
+            at = rng.randrange(len(chars) // (1 + n % 3))  # also with the edits in the first pieces only
+            chars[at] = rng.choice(["", "z", chars[at] + "q"])
+        text = decontaminate.folded(prose(rng, 8) + " " + "".join(chars) + part * rng.randint(0, 3) + " " + prose(rng, 8))
+        want = decontaminate.best_distance(passage, text)[0]
+        assert decontaminate.Matcher([(1, passage)])(text) == ({1: want} if want <= k else {})
+
+
 def test_every_copied_fragment_of_24_words_is_found(spark):
     rng = random.Random(3)
     items = [(i, prose(rng, 24 + 7 * i)) for i in range(6)]
