@@ -1,11 +1,12 @@
 """Secrets: base patterns, and strings that a primed zstandard compressor finds new.
 
-A candidate is a run of token characters that follows a word of sensitive
-meaning within ``REACH`` code points. Its novelty is what it adds to the
+A candidate is a whole run of token characters, of any length, that begins within
+``REACH`` code points after a word of sensitive meaning. Its novelty is what it adds to the
 compressed size of its surroundings: the text before it, with a dictionary of
 identifiers as the compressor's prefix. Names, paths, repeated words and
 placeholders cost little; random keys cost about their entropy. Candidates of
-at least ``MIN_BITS`` bits per character are reported as ``novel`` spans.
+at least ``MIN_BITS`` bits per character are reported as ``novel`` spans; those of more than
+``CHUNK`` characters are measured in equal chunks, and the newest chunk decides.
 
 The dictionary holds fixed common identifiers and the names that stand before
 : or = in most documents, counted over all of them.
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 KINDS = ("assign", "access", "hex")
 REACH = 48                 # code points between the sensitive word and the candidate
 AROUND = 256               # code points before the candidate that prime its compression
-MIN_CHARS, MAX_CHARS = 16, 512
+MIN_CHARS = 16
+CHUNK = 512                # characters measured at once
 MIN_BITS = 5.0
 NAMES = 4096               # identifiers of the corpus in the dictionary
 
@@ -41,7 +43,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]++")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]++")
 _HEX_HINT = re.compile(r"[0-9a-f]{24}")
 _CONTEXT = re.compile(r"passw(?:or)?d|pwd|secret|token|credential|private.?key|api.?key|auth|bearer|access.?key|signature|client.?id|connection.?string", re.IGNORECASE)
-_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]++")
+_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]")
+_RUN = re.compile(r"[A-Za-z0-9+/_.=-]++")
 IDENTIFIERS = ("password passwd secret token api_key apikey access_key secret_key private_key client_id client_secret username user_name "
                "authorization bearer basic session cookie signature connection_string localhost example.com changeme placeholder your_token_here "
                "xxxxxxxxxxxxxxxx 0123456789abcdef abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 1234567890 import export return function "
@@ -76,15 +79,21 @@ class Novelty:
 
 
 def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Token runs of MIN_CHARS to MAX_CHARS that begin within REACH of the end of a sensitive word."""
+    """Token runs of MIN_CHARS and more that begin within REACH of the end of a sensitive word."""
     last = -1
     for word in _CONTEXT.finditer(text):
-        for m in _CANDIDATE.finditer(text, word.end(), min(len(text), word.end() + REACH + MAX_CHARS + 1)):
-            if m.start() > word.end() + REACH:
-                break
-            if m.start() > last and MIN_CHARS <= m.end() - m.start() <= MAX_CHARS:
-                last = m.start()
-                yield m.span()
+        for m in _CANDIDATE.finditer(text, max(word.end(), last + 1), word.end() + REACH + 1):
+            last = m.start()
+            end = _RUN.match(text, last).end()
+            if end - last >= MIN_CHARS:
+                yield last, end
+
+
+def novelty_of(text: str, a: int, b: int, novelty: Novelty) -> float:
+    """Bits per character of text[a:b] after what stands before it; of its newest chunk if it is long."""
+    n = -(-(b - a) // CHUNK)
+    cuts = [a + i * (b - a) // n for i in range(n + 1)]
+    return max(novelty(text[max(0, c - AROUND):c], text[c:d]) for c, d in zip(cuts, cuts[1:]))
 
 
 def spans(text: str, novelty: Novelty) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, float]]]:
@@ -102,10 +111,7 @@ def spans(text: str, novelty: Novelty) -> tuple[list[tuple[int, int, int]], list
         i = bisect_right(starts, b - 1)
         if i and reach[i - 1] > a:
             continue
-        token = text[a:b]
-        if not (re.search(r"[0-9]", token) and re.search(r"[A-Za-z]", token)):
-            continue
-        bits = novelty(text[max(0, a - AROUND):a], token)
+        bits = novelty_of(text, a, b, novelty)
         if bits >= MIN_BITS:
             novel.append((a, b, bits))
     return base, novel

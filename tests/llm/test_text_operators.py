@@ -318,6 +318,19 @@ def test_secrets(spark):
     assert all(out[i].spans == "" for i in (1, 2, 3, 4, 5, 6, 7)) and secrets.find(frame(spark, [])).count() == 0
 
 
+def test_secrets_of_any_length_and_letters_only():
+    rng = random.Random(7)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    novelty = secrets.Novelty([])
+    for n in (16, 24, 512, 513, 1600, 20_000):
+        for key in (draw(letters, n), draw(letters + "0123456789+/", n)):
+            text = f"the bearer {key} opens it"
+            assert [(a, b) for a, b, _ in secrets.spans(text, novelty)[1]] == [(11, 11 + n)]
+    assert secrets.spans("secret " + "a" * 5000 + " and token " + "abcd1" * 300, novelty)[1] == []
+    assert list(secrets.candidates("token" * 50_000 + " " + "k" * 20)) == [(250_001, 250_021)]
+
+
 # ---- 5 quality
 
 def test_quality_keeps_good_documents(spark):
