@@ -9,7 +9,9 @@ at least ``MIN_BITS`` bits per character are reported as ``novel`` spans; those
 ``CHUNK`` characters are measured in equal chunks, and the newest chunk decides.
 
 The dictionary holds fixed common identifiers and the names that stand before
-: or = in most documents, counted over all of them.
+: or = in most documents, counted over all of them. A name is a whole identifier
+that a value is assigned to; padding at the end of a token, and what lies in a
+candidate, is none, so a secret does not become known by its copies.
 
 Defined results: null is an empty text; offsets are code points, end exclusive;
 texts of any length are read whole; a candidate that touches a base span adds
@@ -50,7 +52,8 @@ IDENTIFIERS = ("password passwd secret token api_key apikey access_key secret_ke
                "xxxxxxxxxxxxxxxx 0123456789abcdef abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 1234567890 import export return function "
                "public static final string const class self def void null true false https:// http:// www. .com .org .net /usr/local/bin "
                "/etc/config application/json content-type environment variable process.env os.environ getenv settings.py config.yaml")
-_NAME = r"([A-Za-z_][A-Za-z0-9_.-]{2,63})[\"']?\x20{0,3}[:=]"
+# = that touches the name needs a value that touches it, else it can be padding
+_NAME = re.compile(r"""(?<![A-Za-z0-9+/_.=-])([A-Za-z_][A-Za-z0-9_.-]{2,63}+)(?:["']?(?:\x20{0,3}:|\x20{1,3}=)\x20{0,3}|["']?=)["']?[A-Za-z0-9_/.$+-]""")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -117,10 +120,28 @@ def spans(text: str, novelty: Novelty) -> tuple[list[tuple[int, int, int]], list
     return base, novel
 
 
+def names_in(text: str) -> set[str]:
+    """The names that a value is assigned to, without those that lie in a candidate."""
+    taken = list(candidates(text))
+    ends = [b for _, b in taken]
+    out = set()
+    for m in _NAME.finditer(text):
+        i = bisect_right(ends, m.start(1))
+        if i == len(taken) or taken[i][0] >= m.end(1):
+            out.add(m[1])
+    return out
+
+
 def corpus_names(docs: DataFrame, limit: int = NAMES) -> list[str]:
     """Names that stand before : or = in most documents, the commonest last (nearest to what is compressed)."""
     named = docs.filter("text is not null and (instr(text, ':') > 0 or instr(text, '=') > 0)")
-    found = named.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(_NAME), F.lit(1)))).alias("name"))
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                names = [n for t in whole.slice(at, 512).column("text") for n in names_in(t.as_py())]
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["name"])
+    found = named.select("text").mapInArrow(look, "name string")
     rows = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").orderBy(F.desc("n"), "name").limit(limit).collect()
     return [r.name for r in reversed(rows)]
 

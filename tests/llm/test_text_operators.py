@@ -331,6 +331,20 @@ def test_secrets_of_any_length_and_letters_only():
     assert list(secrets.candidates("token" * 50_000 + " " + "k" * 20)) == [(250_001, 250_021)]
 
 
+def test_padded_secret_in_many_copies_stays_new(spark):
+    rng = random.Random(8)
+    draw = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_") for _ in range(n))
+    keys = ["k" + draw(42) + "=" for _ in range(20)] + ["k" + draw(30) + ": " + draw(30) for _ in range(20)]
+    rows = [(100 * i + c, f"the bearer {key} opens it") for i, key in enumerate(keys) for c in range(5)]
+    rows += [(9000 + i, f"max_connections = 5\nport: {i}\nhome_folder=/usr\nabc+plus_name: 1") for i in range(3)]
+    alone = {key: secrets.spans(f"the bearer {key} opens it", secrets.Novelty([]))[1] for key in keys}
+    assert all(alone.values())
+    docs = frame(spark, rows)
+    assert sorted(secrets.corpus_names(docs)) == ["home_folder", "max_connections", "port"]
+    out = {r.doc_id: r.n_novel for r in secrets.find(docs).collect()}
+    assert all(out[100 * i + c] >= 1 for i in range(len(keys)) for c in range(5))
+
+
 # ---- 5 quality
 
 def test_quality_keeps_good_documents(spark):
