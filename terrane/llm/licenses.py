@@ -1,8 +1,8 @@
 """License texts by an exact set-similarity join, in DataFrame operations only.
 
-A block is a line of a text; a line of more than ``BLOCK_WORDS`` words is cut into
-windows of that many words that overlap by half, so that every template fits
-into one. A block holds a template if at least ``CONTAINMENT`` of the template's
+A block is a window of ``BLOCK_WORDS`` words of the whole text, line breaks being gaps
+like others, or a line; texts and lines of more words are cut into windows that
+overlap by half, so that every template fits into one, wrapped or not. A block holds a template if at least ``CONTAINMENT`` of the template's
 distinct words are in it.
 
 The join orders the template vocabulary by the words' frequency over all
@@ -98,8 +98,10 @@ def base(docs: DataFrame) -> DataFrame:
 
 def blocks(docs: DataFrame) -> DataFrame:
     """(key, block): the distinct vocabulary words of each block that has enough for some template."""
-    line = F.explode(F.split(F.regexp_replace(folded(), _GAP_OR_LINE, " "), "\n"))
-    lines = docs.select("key", line.alias("line")).select("key", F.filter(F.split(F.trim("line"), " "), lambda w: w != "").alias("words"))
+    spaced = F.regexp_replace(folded(), _GAP_OR_LINE, " ")
+    whole = F.array(F.regexp_replace(spaced, r"[ \n]+", " "))
+    lines = F.when(F.instr(spaced, "\n") > 0, F.concat(whole, F.split(spaced, "\n"))).otherwise(whole)
+    lines = docs.select("key", F.explode(lines).alias("line")).select("key", F.filter(F.split(F.trim("line"), " "), lambda w: w != "").alias("words"))
     half = BLOCK_WORDS // 2
     windows = F.transform(F.sequence(F.lit(1), F.size("words") - half, F.lit(half)), lambda a: F.slice("words", a, F.lit(BLOCK_WORDS)))
     parts = lines.select("key", F.explode(F.when(F.size("words") <= BLOCK_WORDS, F.array("words")).otherwise(windows)).alias("part"))

@@ -436,6 +436,23 @@ def test_licence_join_equals_brute_force(spark):
     assert licenses.scan(frame(spark, [])).count() == 0
 
 
+def test_wrapped_licence_notices_are_found(spark):
+    rng = random.Random(10)
+    rows, want = [], {}
+    for n in range(120):
+        label, text = rng.choice([t for t in licenses.TEMPLATES if t[0] in ("bsd", "cc-by", "cc-by-nc", "mpl", "unlicense")])
+        w = prose(rng, rng.randint(0, 90)).split() + text.split() + prose(rng, rng.randint(0, 90)).split()
+        width = rng.randint(1, 9)
+        rows.append((n, rng.choice(["\n", "\r\n", "\n * ", "\n\n"]).join(" ".join(w[a: a + width]) for a in range(0, len(w), width))))
+        want[n] = label
+    rows += [(500, "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"),
+             (501, "licensed under a Creative Commons Attribution 4.0\nInternational License.")]
+    want |= {500: "bsd", 501: "cc-by"}
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(frame(spark, rows)).collect()}
+    assert all(label in got[n][0].split(",") and got[n][1] > 0 for n, label in want.items())
+    assert got[500] == ("bsd", 1.0) and got[501][1] == 1.0
+
+
 # ---- 8 near duplicates
 
 def multiset(text):
