@@ -3,8 +3,8 @@
 A tokenizer reads tags, comments, and raw-text elements; a tree builder adds implied
 tags (an open p ends before a block, an li before the next li, cells and rows
 imply each other, mis-nested and missing end tags are resolved by the stack of open
-elements); elements that no browser shows (head, script, style, template, hidden ones)
-give no text. The renderer walks the tree: blocks stand on lines of their own, paragraphs,
+elements); elements that no browser shows (head, script, style, template, hidden ones, titles and
+definitions in svg, annotations in math) give no text; text directly in a row stands before its table. The renderer walks the tree: blocks stand on lines of their own, paragraphs,
 headings, lists and tables are set off by an empty line, list items get their marker and
 are indented by depth, table cells are padded to the width of their column, and white
 space is folded except in pre and textarea.
@@ -27,8 +27,10 @@ from pyspark.sql import DataFrame
 # Element classes of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
-HIDDEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas svg math datalist title link meta "
+HIDDEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas datalist title link meta "
                    "area base param source track rp dialog".split())
+FOREIGN = frozenset("svg math".split())
+FOREIGN_HIDDEN = frozenset("title desc metadata defs symbol annotation annotation-xml".split())  # inside svg and math
 BLOCK = frozenset("address article aside blockquote body center dd details dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                   "header hgroup hr html legend li listing main menu nav ol optgroup option p pre search section summary table tbody td tfoot th "
                   "thead tr ul caption xmp plaintext".split())
@@ -88,6 +90,7 @@ def parse(html: str) -> Node:
 
     def push(name: str, attrs: dict[str, str]) -> None:
         node = Node(name, attrs)
+        node.hidden = node.hidden or name in FOREIGN_HIDDEN and any(depth.get(x) for x in FOREIGN)
         open_[-1].children.append(node)
         open_.append(node)
         depth[name] = depth.get(name, 0) + 1
@@ -119,6 +122,8 @@ def parse(html: str) -> Node:
             if attrs.get("style") or "hidden" in attrs:
                 open_[0].hidden = open_[0].hidden or Node("div", attrs).hidden
             return
+        if depth.get("svg") and name == "text" and open_[-1].children:
+            open_[-1].children.append(" ")  # labels stand apart
         if depth.get("head") and name != "head" and name not in HEAD_ONLY and name != "noscript":
             end_to(find(frozenset(["head"]), frozenset()))
         cut: list[Node] = []
@@ -194,6 +199,10 @@ def parse(html: str) -> Node:
             continue
         attrs = _attributes(m["attrs"]) if m["attrs"] and not m["attrs"].isspace() else {}
         start(name, attrs)
+        if m["attrs"].endswith("/") and any(depth.get(x) for x in FOREIGN):  # only foreign elements close themselves
+            if open_[-1].name == name:
+                pop()
+            continue
         if name in RAW or name == "plaintext":
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(html, at) if name != "plaintext" else None
             stop = close.start() if close else size
@@ -281,6 +290,11 @@ def _cells(table: Node) -> tuple[list[Node], list[list[Node]]]:
             continue
         elif n.name == "tr":
             rows.append([c for c in n.children if not isinstance(c, str) and not c.hidden])
+            for c in n.children:
+                if isinstance(c, str) and c.strip():
+                    stray = Node("caption", {})
+                    stray.children = [c]
+                    captions.append(stray)
         elif n.name in ("tbody", "thead", "tfoot"):
             todo.extend(reversed(n.children))
         elif n.name not in ("col", "colgroup"):

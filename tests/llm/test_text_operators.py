@@ -388,6 +388,15 @@ def test_layout(page, text):
     assert html.to_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<p>a <svg><title>no</title><desc>no</desc><defs><text>no</text></defs><path d='M0'/><text>Label <tspan>one</tspan></text><text>two</text></svg> b", "a Label one two b"),
+    ("x <math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi></mrow><annotation>no</annotation></semantics></math> y", "x E=m y"),
+    ("<table><tr>Total 5<td>x</table>", "Total 5\nx"), ("<svg/>after<p>b", "after\n\nb"), ("<svg><title/><text>t</text></svg>u", "tu"),
+])
+def test_svg_math_and_row_text_are_visible(page, text):
+    assert html.to_text(page) == text
+
+
 def test_html_operator(spark):
     pages = spark.createDataFrame([(1, "<p>a"), (1, "<p>a"), (2, None), (3, ""), (None, "<div>" * 30000 + "deep"), (4, "<" * 50000), (5, "<table><tr><td>" * 200 + "x")],
                                   "page_id long, html string").withColumn("text", F.lit(1))
