@@ -320,22 +320,23 @@ def links(docs: DataFrame, signed: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id, class_size, n_links), one row per document; n_links counts the verified links of its text."""
+    """(doc_id, class_id, class_size, n_spanning_links), one row per document; n_spanning_links counts
+    the verified links of its text that joined parts of its class; other pairs at 0.8 or more are not compared, so it is no degree."""
     signed = stored(docs.select("doc_id", "text").mapInArrow(_signed, "doc_id long, node binary, size long, bands array<long>"), "signed")
     edges = stored(links(docs, signed), "links")
     low = components(edges)
     degree = (edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node")))
-              .groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
+              .groupBy("node").agg(F.count(F.lit(1)).alias("n_spanning_links")))
     rows = signed.select("doc_id", "node")
     info = low.join(degree, "node")
     placed = (rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
               .join(info, "node", "left").withColumn("low", F.coalesce("low", "node")))
-    placed = stored(placed.withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long"))), "placed")
+    placed = stored(placed.withColumn("n_spanning_links", F.coalesce("n_spanning_links", F.lit(0).cast("long"))), "placed")
     whole = placed.groupBy("low").agg(F.min("first_id").alias("class_id"), F.sum("n").alias("class_size"))
-    per_node = placed.join(whole, "low").select("node", "class_id", "class_size", "n_links")
-    found = rows.filter("node is not null").join(per_node, "node").select("doc_id", "class_id", "class_size", "n_links")
+    per_node = placed.join(whole, "low").select("node", "class_id", "class_size", "n_spanning_links")
+    found = rows.filter("node is not null").join(per_node, "node").select("doc_id", "class_id", "class_size", "n_spanning_links")
     alone = rows.filter("node is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"),
-                                               F.lit(0).cast("long").alias("n_links"))
+                                               F.lit(0).cast("long").alias("n_spanning_links"))
     return found.unionByName(alone)
 
 

@@ -522,6 +522,10 @@ def test_near_duplicate_rounds_with_few_leaders(spark, monkeypatch):
     assert got == brute_classes(rows)
 
 
+def test_links_of_a_class_are_named_spanning(spark):
+    assert bagminhash.classes(frame(spark, [(1, "one text")])).columns == ["doc_id", "class_id", "class_size", "n_spanning_links"]
+
+
 def test_one_of_each_class_stays(spark):
     docs = frame(spark, AWKWARD + [(30, "A b c d e f g h i j"), (31, "a b c d e f g h i j"), (32, "same")], clash=("bands",))
     kept = bagminhash.keep(docs)
