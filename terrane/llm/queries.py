@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from terrane.llm import bagminhash, decontaminate, html, language, licenses, mixture, pii, quality, secrets, voronoi
+from terrane.llm import bagminhash, bpe, crcgrams, decontaminate, dialogue, html, language, licenses, mixture, pii, quality, secrets, voronoi
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -155,3 +156,111 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The visible text of every page."""
     return html.extract(table(spark, sf_dir, "pages"))
+
+
+# CRC-32 in SQL: the table of a byte's remainders, and a fold over the bytes of a text
+_CRC_TABLE = """(SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab)"""
+
+
+def _crc(codes: str) -> str:
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {codes}), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])))"
+
+
+_BYTES = """list_transform(range(0, octet_length(encode(gram))::BIGINT), lambda i:
+    (strpos('0123456789ABCDEF', hex(encode(gram))[2 * i + 1]) - 1) * 16 + strpos('0123456789ABCDEF', hex(encode(gram))[2 * i + 2]) - 1)"""
+
+
+def _grams(table_name: str, key: str) -> str:
+    return f"""SELECT {key}, list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS grams, len(w) AS n_words
+  FROM (SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM {table_name})"""
+
+
+@query("op11_prefix_crc_resampling", f"""
+WITH doc AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+d AS ({_grams("doc", "rid, doc_id")}),
+b AS ({_grams("benchmark", "item_id")}),
+dg AS (SELECT rid, unnest(grams) AS gram FROM d),
+bg AS (SELECT unnest(grams) AS gram FROM b),
+bucket AS (
+  SELECT gram, {_crc(_BYTES)} % 10000 AS bucket FROM (SELECT gram FROM dg UNION SELECT gram FROM bg), {_CRC_TABLE}),
+raw AS (SELECT bucket, count(*) AS s FROM dg JOIN bucket USING (gram) GROUP BY bucket),
+goal AS (SELECT bucket, count(*) AS t FROM bg JOIN bucket USING (gram) GROUP BY bucket),
+gain AS (
+  SELECT b AS bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM dg) + 10000)
+    / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM bg) + 10000))))::BIGINT AS gain
+  FROM range(10000) r(b) LEFT JOIN raw ON raw.bucket = b LEFT JOIN goal ON goal.bucket = b),
+weight AS (SELECT rid, count(*) AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight FROM dg JOIN bucket USING (gram) JOIN gain USING (bucket) GROUP BY rid),
+scored AS (
+  SELECT doc_id, n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN weight USING (rid)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) FILTER (n_words >= 20) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * n // 100 THEN place END AS rank FROM placed""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight towards the benchmark's text, and the rank of those drawn."""
+    return crcgrams.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_bpe_transducer")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's tokens and of what they decode to."""
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def _least(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _way(state: str, cost: str, edit: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}'}}"
+
+
+# the check reads the grammar as an automaton: 0 nothing, 1 a system, 2 a user, 3 an assistant turn last
+@query("op13_alternation_repair", f"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc("list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x))")} % 20 AS kind
+  FROM conversations, {_CRC_TABLE}),
+dam AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM src),
+seq AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, rtrim(text, E' \t\n\x0B\x0C\r') AS body, left(role, 1) AS ini,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen FROM dam),
+row AS (
+  SELECT *, body = '' AS blank, body <> '' AND seen AS dup, body <> '' AND NOT seen AND right(body, 1) NOT IN ('.', '!', '?') AS trunc,
+    lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini NOT IN ('su', 'ua', 'au') AS illegal FROM seq),
+one AS (
+  SELECT conv_id, count(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank, count_if(dup) AS duplicate,
+    count_if(trunc) AS truncated, count_if(illegal) AS illegal FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN row USING (conv_id) GROUP BY conv_id),
+never AS (SELECT {{'c': 1000000000000, 'a': ''}} AS x),
+step AS (
+  SELECT conv_id, n, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': ''}} AS s0, x AS s1, {{'c': 3::BIGINT, 'a': 'I'}} AS s2, {{'c': 6::BIGINT, 'a': 'II'}} AS s3 FROM one, never
+  UNION ALL
+  SELECT conv_id, n, i, t0 AS s0, t1 AS s1, {_least("u2", _way("u3", "3", "I"))} AS s2, u3 AS s3 FROM (
+    SELECT *, {_least("t3", _way("u2", "3", "I"))} AS u3 FROM (
+      SELECT *, {_least("t2", *(_way(f"t{k}", "3", "I") for k in (0, 1, 3)))} AS u2 FROM (
+        SELECT s.conv_id, n, r.i, {_way("s0", "4", "D")} AS t0,
+          CASE WHEN blank OR dup OR ini <> 's' THEN {_way("s1", "4", "D")} ELSE {_least(_way("s1", "4", "D"), _way("s0", "3 * trunc::INT", "K"))} END AS t1,
+          CASE WHEN blank OR dup THEN {_way("s2", "4", "D")} WHEN ini = 'u' THEN {_least(_way("s2", "4", "D"), *(_way(f"s{k}", "3 * trunc::INT", "K") for k in (0, 1, 3)))}
+            ELSE {_least(_way("s2", "4", "D"), *(_way(f"s{k}", "3 + 3 * trunc::INT", "R") for k in (0, 1, 3)))} END AS t2,
+          CASE WHEN blank OR dup THEN {_way("s3", "4", "D")} WHEN ini = 'a' THEN {_least(_way("s3", "4", "D"), _way("s2", "3 * trunc::INT", "K"))}
+            ELSE {_least(_way("s3", "4", "D"), _way("s2", "3 + 3 * trunc::INT", "R"))} END AS t3
+        FROM step s JOIN row r ON s.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = s.i + 1)))),
+ended AS (SELECT conv_id, {_least("s0", "s3")} AS best FROM step WHERE i = n),
+letter AS (
+  SELECT *, count_if(edit <> 'I') OVER w AS i, count_if(edit <> 'D') OVER w AS place, count_if(edit <> 'D') OVER (PARTITION BY conv_id) % 2 AS odd FROM (
+    SELECT conv_id, unnest(string_split(best.a, '')) AS edit, generate_subscripts(string_split(best.a, ''), 1) AS p FROM ended WHERE best.a <> '')
+  WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+turned AS (
+  SELECT l.conv_id, place, CASE WHEN edit = 'K' THEN r.role WHEN (place - odd) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE r.text END AS line
+  FROM letter l LEFT JOIN row r ON l.conv_id IS NOT DISTINCT FROM r.conv_id AND l.i = r.i WHERE edit <> 'D'),
+whole AS (SELECT conv_id, string_agg(line, chr(10) ORDER BY place) AS lines FROM turned GROUP BY conv_id)
+SELECT o.conv_id, gaps::BIGINT AS gaps, blank::BIGINT AS blank, duplicate::BIGINT AS duplicate, truncated::BIGINT AS truncated, illegal::BIGINT AS illegal,
+  best.c::BIGINT AS cost, best.a AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM one o JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN whole w ON o.conv_id IS NOT DISTINCT FROM w.conv_id""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with every damaged conversation, and its cheapest repair."""
+    return dialogue.reports(dialogue.damaged(table(spark, sf_dir, "conversations")))
