@@ -1,11 +1,16 @@
 """Personal data: base patterns, and a character-level BiLSTM-CRF that adds spans.
 
 Windows of ``SIZE`` code points lie on a fixed grid and overlap by half. The
-tagger decodes each; spans cut by a window's inner edge are left to the window
-that holds them whole, and all remaining ones of a document are reconciled at
-once: the set of spans without overlap with the highest total score stays.
-A span must hold a digit or an @ (every kind does), so a window without one
-cannot give a span and is not run. An added span must also pass its kind's own
+tagger decodes each. A span that a window's inner edge cuts is continued in the
+neighbouring window, which is read for that if it was not yet, so spans have no
+greatest length; one that its neighbour holds whole is left to it, one
+that it does not see counts as it is. Spans
+grow to whole numbers and to the whole name and host of an address. All spans of
+a document are reconciled at once: the set without overlap with the highest total
+score stays.
+A span must hold a digit or an @ (every kind does), so only windows with one,
+and those that continue a span, are read. A text's last window is filled up with
+padding, which has no label. An added span must also pass its kind's own
 arithmetic (digits, Luhn sum, parts of an address) and must not touch a span of
 the base patterns, which always stay.
 
@@ -24,7 +29,8 @@ import hashlib
 import random
 import re
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +42,8 @@ from terrane.llm.sampling import sampled
 from terrane.llm.tagger import Tagger, encode
 
 KINDS = ("email", "ip", "card", "phone")
-SIZE, STRIDE = 96, 48
+SIZE, STRIDE = 256, 128
+EXAMPLE = 128                           # characters of a training window
 SAMPLE_DOCS, SAMPLE_CHARS = 256, 2000   # passages for training: this many documents, this many characters each
 WINDOWS, EPOCHS = 4096, 5               # training windows and passes
 MARGIN = 3.0                            # log odds of a span's labels against O that an added span needs
@@ -46,6 +53,8 @@ BATCH = 256                             # windows run at once in a task
 # the e-mail give the same leftmost matches in linear time.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DIGITS = frozenset("0123456789")
+_HOST = _LOCAL - frozenset("._%+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
@@ -120,17 +129,21 @@ def example(rng: random.Random, words: list[str]) -> tuple[int | None, str]:
     """(kind or None, text) of one value."""
     word = lambda: re.sub(r"[^a-z]", "", rng.choice(words).lower()) or "mail"
     pick = rng.random()
-    if pick < 0.2:
+    if pick < 0.26:
+        if rng.random() < 0.4:  # long addresses
+            user = rng.choice([".", "_", "-", "."]).join(word() for _ in range(rng.randint(2, 6)))
+            host = ".".join([f"{rng.choice(['mail', 'mx', 'post'])}{_n(rng, 1)}", "-".join(word() for _ in range(rng.randint(1, 4))), rng.choice(["example.org", "example.com", f"{word()}.net"])])
+            return 0, user + rng.choice(["@", " @ ", "@ ", " @"]) + host
         user = rng.choice([word(), f"{word()}.{word()}", f"{word()}_{_n(rng, 2)}", f"{word()}{_n(rng, rng.randint(1, 3))}", f"{_n(rng, 2)}"])
         host = rng.choice([f"mail{_n(rng, 1)}.example.com", f"{word()}.org", f"{word()}-{word()}.net", f"mx.{word()}.co"])
         gap = rng.choice(["@", "@", "@", " @ ", "@ ", " @"])
         return 0, user + gap + host
-    if pick < 0.38:
+    if pick < 0.42:
         parts = [str(rng.randint(0, 255)) for _ in range(4)]
         if rng.random() < 0.2:
             return 1, ":".join(f"{rng.randint(1, 65535):x}" for _ in range(rng.randint(3, 8)))
         return 1, rng.choice([".", ".", ".", " . ", ". "]).join(parts)
-    if pick < 0.56:
+    if pick < 0.58:
         d = _card(rng, rng.choice([16, 16, 16, 15, 19]))
         if rng.random() < 0.5:
             return 2, d
@@ -152,7 +165,7 @@ def training_windows(passages: list[str], n: int, seed: int = 11) -> tuple[np.nd
     rng = random.Random(seed)
     passages = [p for p in passages if len(p) > 8] or ["the reading room opens at noon and the letters lie on the table"]
     words = [w for p in passages for w in p.split()] or ["letter"]
-    ids, labels = np.zeros((n, SIZE), np.int16), np.zeros((n, SIZE), np.int64)
+    ids, labels = np.zeros((n, EXAMPLE), np.int16), np.zeros((n, EXAMPLE), np.int64)
     for row in range(n):
         text, spans = "", []
         for _ in range(rng.randint(1, 2)):
@@ -165,15 +178,15 @@ def training_windows(passages: list[str], n: int, seed: int = 11) -> tuple[np.nd
             text += value + rng.choice([" ", " ", ".", ", ", ")", "\n", "*** ", "!! "])
         p = rng.choice(passages)
         text += re.sub(r"[0-9@]", "", p[: rng.randint(0, 60)])
-        shift = max(0, min(rng.randint(0, max(0, len(text) - SIZE)), spans[0][1] if spans else 0))
-        part = encode(text)[shift: shift + SIZE]
+        shift = max(0, min(rng.randint(0, max(0, len(text) - EXAMPLE)), spans[0][1] if spans else 0))
+        part = encode(text)[shift: shift + EXAMPLE]
         ids[row, :len(part)] = part
         for kind, a, b in spans:
             a, b = a - shift, b - shift
-            if 0 <= a and b <= SIZE:
+            if 0 <= a and b <= EXAMPLE:
                 labels[row, a], labels[row, a + 1: b] = 1 + 2 * kind, 2 + 2 * kind
-            elif a < SIZE and b > 0:  # cut by the edge: what is seen keeps its label
-                labels[row, max(a, 0): min(b, SIZE)] = 2 + 2 * kind
+            elif a < EXAMPLE and b > 0:  # cut by the edge: what is seen keeps its label
+                labels[row, max(a, 0): min(b, EXAMPLE)] = 2 + 2 * kind
                 labels[row, max(a, 0)] = 1 + 2 * kind
     return ids, labels
 
@@ -186,7 +199,7 @@ def train(passages: list[str], windows: int = WINDOWS, epochs: int = EPOCHS) ->
     key = hashlib.sha256(repr((passages, windows, epochs)).encode("utf-8", "surrogatepass")).hexdigest()
     if key not in _trained:
         tagger = Tagger(len(KINDS))
-        tagger.fit(*training_windows(passages, windows), epochs)
+        tagger.fit(*training_windows(passages, windows), epochs, batch=128, rate=0.04)
         _trained.clear()
         _trained[key] = tagger.p
     return _trained[key]
@@ -222,6 +235,63 @@ def _reconcile(spans: list[tuple[float, int, int, int]]) -> list[tuple[int, int,
     return out
 
 
+def _cells(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """(text, cell) of the windows that hold a digit or an @."""
+    for doc, text in enumerate(texts):
+        last = -1
+        for m in _ANCHOR.finditer(text):
+            cell = m.start() // STRIDE
+            for g in (cell - 1, cell):
+                if g > last:
+                    yield doc, g
+                    last = g
+
+
+def _cut(g: int, a: int, b: int, size: int) -> tuple[bool, bool]:
+    """Whether a span of window ``g`` is cut at its left and at its right edge."""
+    return a == g * STRIDE > 0, b == g * STRIDE + SIZE < size
+
+
+def _widened(kind: int, text: str, a: int, b: int) -> tuple[int, int]:
+    """A span grown to whole numbers, or to the whole name and host of an address (a name holds no blank), without blanks at its ends."""
+    while b > a and text[b - 1].isspace():
+        b -= 1
+    if kind == 0 and "@" in text[a:b]:
+        name = text[a:b].split("@", 1)[0].rstrip()
+        a += max((i + 1 for i, c in enumerate(name) if c.isspace()), default=0)
+    more = _LOCAL if kind == 0 else _DIGITS
+    while 0 < a < b and text[a] in more and text[a - 1] in more:
+        a -= 1
+    while a < b < len(text) and (text[b] in _HOST if kind == 0 else text[b] in _DIGITS) and (text[b - 1] in _HOST or text[b - 1] == "."):
+        b += 1
+        if kind == 0 and b + 1 < len(text) and text[b] == "." and text[b + 1] in _HOST:
+            b += 1
+    return a, b
+
+
+def _joined_parts(parts: list[tuple[int, float, int, int, int]], size: int) -> list[tuple[float, int, int, int]]:
+    """Spans (score, start, end, kind) of (cell, score, start, end, kind).
+
+    A span that is cut at its window's left edge goes on from the span of the window before
+    that reaches over this edge, whose part before the edge counts with it. A span that is cut at
+    the right edge is left to the next window if that has one over this edge.
+    """
+    seen: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
+
+    def over(g: int, kind: int, edge: int) -> list[tuple[float, int, int]]:
+        return [s for s in seen.get((g, kind), ()) if s[1] < edge < s[2]]
+    for g, score, a, b, kind in sorted(parts):
+        if _cut(g, a, b, size)[0] and (before := over(g - 1, kind, a)):
+            more, start, end = before[0]
+            if end >= b:
+                continue
+            seen[g - 1, kind].remove(before[0])
+            score, a = score + more * (a - start) / (end - start), start
+        seen.setdefault((g, kind), []).append((score, a, b))
+    return [(score, a, b, kind) for (g, kind), spans in seen.items() for score, a, b in spans
+            if not (_cut(g, a, b, size)[1] and over(g + 1, kind, b))]
+
+
 class Finder:
     def __init__(self, params: dict[str, np.ndarray]):
         self.tagger = Tagger(len(KINDS))
@@ -245,45 +315,44 @@ class Finder:
                 else:
                     at += 1
 
+    def _read(self, cells: Iterable[tuple[int, int]], texts: list[str]) -> Iterator[tuple[int, int, float, int, int, int]]:
+        """(text, cell, score, start, end, kind) of the spans in these windows, start and end in the text."""
+        cells, symbols, at = iter(cells), np.zeros(0, np.int16), -1
+        while some := list(islice(cells, BATCH)):
+            windows = np.zeros((len(some), SIZE), np.int16)
+            for row, (doc, g) in enumerate(some):
+                if doc != at:
+                    symbols, at = encode(texts[doc]), doc
+                part = symbols[g * STRIDE: g * STRIDE + SIZE]
+                windows[row, :len(part)] = part
+            for row, score, a, b, kind in self._tagged(windows):
+                doc, g = some[row]
+                yield doc, g, score, a + g * STRIDE, b + g * STRIDE, kind
+
+    def _drawn(self, texts: list[str]) -> list[list[tuple[float, int, int, int]]]:
+        """For each text the spans (score, start, end, kind) that the tagger sees, cut ones joined."""
+        parts: list[list[tuple[int, float, int, int, int]]] = [[] for _ in texts]
+        cells, read = _cells(texts), set()
+        while cells:
+            more = set()
+            for doc, g, score, a, b, kind in self._read((read.add(c) or c for c in cells), texts):
+                parts[doc].append((g, score, a, b, kind))
+                left, right = _cut(g, a, b, len(texts[doc]))
+                more |= {(doc, g - 1)} if left else set()
+                more |= {(doc, g + 1)} if right else set()
+            cells = sorted(more - read)
+        return [_joined_parts(p, len(t)) for p, t in zip(parts, texts)]
+
     def find(self, texts: list[str]) -> list[list[tuple[int, int, int, bool]]]:
         """For each text its spans (kind, start, end, base), ordered by kind and start."""
         base = [base_spans(t) for t in texts]
-        drawn: list[list[tuple[float, int, int, int]]] = [[] for _ in texts]
-        rows: list[tuple[int, int, int]] = []
-        windows: list[np.ndarray] = []
-
-        def flush() -> None:
-            if not rows:
-                return
-            for row, score, a, b, kind in self._tagged(np.stack(windows)):
-                doc, at, size = rows[row]
-                if (a == 0 and at > 0) or (b == SIZE and at + SIZE < size):
-                    continue
-                a, b = a + at, b + at
-                while b > a and texts[doc][b - 1].isspace():
-                    b -= 1
-                if score >= MARGIN and b - a <= STRIDE and plausible(kind, texts[doc][a:b]) and _ANCHOR.search(texts[doc], a, b):
-                    drawn[doc].append((score, a, b, kind))
-            rows.clear()
-            windows.clear()
-        for doc, text in enumerate(texts):
-            if not _ANCHOR.search(text):
-                continue
-            symbols, last = encode(text), -1
-            cells = sorted({g for m in _ANCHOR.finditer(text) for g in (m.start() // STRIDE - 1, m.start() // STRIDE) if g >= 0}) \
-                if len(text) < 1 << 20 else range(len(text) // STRIDE + 1)
-            for g in cells:
-                if g == last:
-                    continue
-                last, at = g, g * STRIDE
-                window = np.zeros(SIZE, np.int16)
-                part = symbols[at: at + SIZE]
-                window[:len(part)] = part
-                rows.append((doc, at, len(text)))
-                windows.append(window)
-                if len(rows) == BATCH:
-                    flush()
-        flush()
+        drawn: list[list[tuple[float, int, int, int]]] = []
+        for text, spans in zip(texts, self._drawn(texts)):
+            drawn.append([])
+            for score, a, b, kind in spans:
+                a, b = _widened(kind, text, a, b)
+                if score >= MARGIN and plausible(kind, text[a:b]) and _ANCHOR.search(text, a, b):
+                    drawn[-1].append((score, a, b, kind))
         out = []
         for text_base, more in zip(base, drawn):
             taken = sorted((a, b) for _, a, b in text_base)

@@ -70,8 +70,14 @@ class Tagger:
         out = np.concatenate([hs[:, 0], hs[::-1, 1]], axis=-1).transpose(1, 0, 2)
         return out, both, trail
 
+    def _scores(self, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Emissions of the states; padding can only be O."""
+        e = states @ self.p["o"] + self.p["b"]
+        e[ids == PAD, 1:] = NEG
+        return e
+
     def emissions(self, ids: np.ndarray) -> np.ndarray:
-        return self._run(ids, False)[0] @ self.p["o"] + self.p["b"]
+        return self._scores(self._run(ids, False)[0], ids)
 
     def decode(self, e: np.ndarray) -> np.ndarray:
         """Best label paths, by Viterbi over the batch."""
@@ -119,7 +125,8 @@ class Tagger:
         """Loss per character and the gradient of loss * characters per window."""
         H, p, s = self.hidden, self.p, self.scale
         states, both, trail = self._run(ids, True)
-        loss, de, dt = self._crf(states @ p["o"] + p["b"], y)
+        loss, de, dt = self._crf(self._scores(states, ids), y)
+        de[ids == PAD] = 0
         g = {"o": np.einsum("bnh,bnk->hk", states, de), "b": de.sum((0, 1)), "t": dt}
         d = (de @ p["o"].T).transpose(1, 0, 2)
         dh_in = np.stack([d[:, :, :H], d[::-1, :, H:]], 1)
