@@ -1,19 +1,22 @@
 """License texts by an exact set-similarity join, in DataFrame operations only.
 
-A block is a window of ``BLOCK_WORDS`` words of the whole text, line breaks being gaps
-like others, or a line; texts and lines of more words are cut into windows that
-overlap by half, so that every template fits into one, wrapped or not. A block holds a template if at least ``CONTAINMENT`` of the template's
-distinct words are in it.
-
-The join orders the template vocabulary by the words' frequency over all
-documents. At most n - ceil(t * n) words of a template of n may be missing, so a
-block that holds it has one of the template's n - ceil(t * n) + 1 rarest words:
-only those are joined. A block must have ceil(t * n) vocabulary words (length
-filter), and what can still follow the joined word in both orders must reach that
-number (positional filter). What is left is verified by intersection.
-
-Only vocabulary words can count, so blocks are reduced to them first. The
-templates are a fixed list of some hundred words, which bounds every broadcast.
+A block is any run of ``BLOCK_WORDS`` words of the whole text (the whole text if
+it is shorter); line breaks are gaps like others. A block holds a template if at
+least ``CONTAINMENT`` of the template's distinct words are in it.
+
+Each text is read once. Only words of the templates can count, so a text is
+reduced to the set of those that it holds; where that set could hold a template
+(length filter), the words' places are kept too, and only these small rows are
+read again. The vocabulary is ordered by the number of documents that hold each
+word. At most n - ceil(t * n) words of a template of n may be missing, so a block
+that holds it has one of its n - ceil(t * n) + 1 rarest words: only the places of
+those are joined with the templates. What lies within a block's reach of such a
+place must have enough vocabulary words (length filter) and, in the order of
+rarity, enough of them on both sides of the joined word (positional filter).
+What is left is verified: every block over the place is counted.
+
+The templates are a fixed list of some hundred words, which bounds the broadcast
+and the counts that the driver sees.
 
 Defined results: null is an empty text without words; a document is reported
 once however many blocks hold a template; repeated rows give one row each; a
@@ -22,11 +25,14 @@ null id stays null; extra columns are left alone.
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrane.session import stored
+
 CONTAINMENT = 0.8
 BLOCK_WORDS = 64
 
@@ -48,7 +54,6 @@ TEMPLATES = (
 )
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_GAP_OR_LINE = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def folded(text: str = "text") -> F.Column:
@@ -69,7 +74,7 @@ def vocabulary() -> list[str]:
 
 
 def base(docs: DataFrame) -> DataFrame:
-    """(row columns, n_words, n_base, first_word, last_word, base_labels): places of the phrases.
+    """(row columns, spaced, n_words, n_base, first_word, last_word, base_list): places of the phrases.
 
     The text is rewritten to its words, each between two blanks of its own, so a
     phrase is a plain substring and its places never share a character.
@@ -92,56 +97,66 @@ def base(docs: DataFrame) -> DataFrame:
     every = range(len(PHRASES))
     total = sum((F.col(f"n{n}") for n in every), F.lit(0).cast("long"))
     labels = F.array_sort(F.array_compact(F.array(*[F.when(F.col(f"n{n}") > 0, F.lit(PHRASES[n][1])) for n in every])))
-    return df.select(*docs.drop("text").columns, "n_words", total.alias("n_base"), F.least(*[f"first{n}" for n in every]).alias("first_word"),
+    return df.select(*docs.drop("text").columns, "spaced", "n_words", total.alias("n_base"), F.least(*[f"first{n}" for n in every]).alias("first_word"),
                      F.greatest(*[f"last{n}" for n in every]).alias("last_word"), labels.alias("base_list"))
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """(key, block): the distinct vocabulary words of each block that has enough for some template."""
-    spaced = F.regexp_replace(folded(), _GAP_OR_LINE, " ")
-    whole = F.array(F.regexp_replace(spaced, r"[ \n]+", " "))
-    lines = F.when(F.instr(spaced, "\n") > 0, F.concat(whole, F.split(spaced, "\n"))).otherwise(whole)
-    lines = docs.select("key", F.explode(lines).alias("line")).select("key", F.filter(F.split(F.trim("line"), " "), lambda w: w != "").alias("words"))
-    half = BLOCK_WORDS // 2
-    windows = F.transform(F.sequence(F.lit(1), F.size("words") - half, F.lit(half)), lambda a: F.slice("words", a, F.lit(BLOCK_WORDS)))
-    parts = lines.select("key", F.explode(F.when(F.size("words") <= BLOCK_WORDS, F.array("words")).otherwise(windows)).alias("part"))
-    block = F.array_distinct(F.filter("part", lambda w: w.isin(vocabulary())))
-    return parts.select("key", block.alias("block")).filter(F.size("block") >= min(need for *_, need in templates()))
+def reduced(docs: DataFrame) -> DataFrame:
+    """``base`` with a row number, the vocabulary words that a text holds (``present``) and, where these
+    could hold a template, the places of vocabulary words in their order (``places``: pos, word)."""
+    words = F.array(*[F.lit(f" {w} ") for w in vocabulary()])
+    present = F.transform(F.filter(words, lambda w: F.contains("spaced", w)), lambda w: F.trim(w))
+    rows = base(docs).withColumn("present", present)
+    enough = functools.reduce(lambda a, b: a | b, (F.size(F.array_intersect("present", _words(w))) >= need for _, _, w, need in templates()))
+    numbered = F.transform(F.split(F.trim("spaced"), "  "), lambda w, i: F.struct(i.alias("pos"), w.alias("word")))
+    places = F.when((F.size("present") >= min(need for *_, need in templates())) & enough, F.filter(numbered, lambda p: p["word"].isin(vocabulary())))
+    return rows.withColumn("places", places).drop("spaced").withColumn("row", F.monotonically_increasing_id())
+
+
+def _words(words: list[str]) -> F.Column:
+    return F.array(*map(F.lit, words))
 
 
-def contained(docs: DataFrame) -> DataFrame:
-    """(key, label, score): the templates that blocks of a document hold, with the largest share held.
+def contained(rows: DataFrame) -> DataFrame:
+    """(row, label, score): the templates that blocks of a text hold, with the largest share held.
 
-    ``docs`` has key and text.
+    ``rows`` comes from ``reduced`` and is stored.
     """
-    spark, known, every = docs.sparkSession, templates(), blocks(docs)
-    counts = {r.word: r.n for r in every.select(F.explode("block").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rank = {w: i for i, w in enumerate(sorted(vocabulary(), key=lambda w: (counts.get(w, 0), w)))}  # rarest first
+    spark, known, reach = rows.sparkSession, templates(), BLOCK_WORDS - 1
+    counts = {r.word: r.n for r in rows.select(F.explode("present").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rarest = sorted(vocabulary(), key=lambda w: (counts.get(w, 0), w))
+    rank = {w: i for i, w in enumerate(rarest)}
     prefix = []
     for i, label, words, need in known:
         ordered = sorted(words, key=rank.get)
-        prefix += [(w, i, label, ordered, len(words), need, p) for p, w in enumerate(ordered[: len(words) - need + 1])]
-    index = spark.createDataFrame(prefix, "word string, template int, label string, ordered array<string>, n int, need int, at int")
-    ranks = F.create_map(*[x for w, i in rank.items() for x in (F.lit(w), F.lit(i))])
+        prefix += [(w, label, ordered, rank[w], len(words), need, p) for p, w in enumerate(ordered[: len(words) - need + 1])]
+    index = spark.createDataFrame(prefix, "word string, label string, ordered array<string>, rank int, n int, need int, at int")
     rare = sorted({p[0] for p in prefix})
-    ordered = F.array_sort(F.transform("block", lambda w: F.struct(ranks[w].alias("place"), w.alias("word"))))
-    tokens = (every.filter(F.exists("block", lambda w: w.isin(rare))).select("key", ordered["word"].alias("block"))
-              .select("key", "block", F.posexplode("block").alias("pos", "word")))
-    before, after = F.least(F.col("at"), F.col("pos")), F.least(F.col("n") - F.col("at"), F.size("block") - F.col("pos"))
-    pairs = (tokens.join(F.broadcast(index), "word").filter(F.size("block") >= F.col("need"))  # length
-             .filter(before + after >= F.col("need")))                                        # position
-    held = F.size(F.array_intersect("block", "ordered"))
-    return (pairs.withColumn("held", held).filter("held >= need").groupBy("key", "label")
-            .agg(F.max(F.col("held") / F.col("n")).alias("score")))
+    tokens = (rows.filter("places is not null").select("row", "places", F.posexplode("places").alias("i", "token"))
+              .select("row", "places", "i", "token.pos", "token.word").filter(F.col("word").isin(rare)))
+    # a block's words are at most as many places away as it has words
+    near = F.slice("places", F.greatest(F.lit(1), F.col("i") + 1 - reach), F.lit(2 * reach + 1))
+    near = F.filter(near, lambda p: (p["pos"] >= F.col("pos") - reach) & (p["pos"] <= F.col("pos") + reach))
+    pairs = (tokens.select("row", "pos", "word", near.alias("near")).join(F.broadcast(index), "word")
+             .withColumn("block", F.array_distinct(F.col("near")["word"])).filter(F.size("block") >= F.col("need")))                    # length
+    later = F.size(F.filter("block", lambda w: F.array_position(_words(rarest), w) - 1 > F.col("rank")))
+    earlier = F.size("block") - later - 1
+    pairs = pairs.filter(1 + F.least(F.col("at"), earlier) + F.least(F.col("n") - F.col("at") - 1, later) >= F.col("need"))             # positional
+    own = F.filter("near", lambda p: F.array_contains("ordered", p["word"]))
+    blocks = F.transform(F.filter("own", lambda p: p["pos"] <= F.col("pos")),
+                         lambda p: F.size(F.array_distinct(F.filter("own", lambda q: (q["pos"] >= p["pos"]) & (q["pos"] <= p["pos"] + reach))["word"])))
+    held = pairs.withColumn("own", own).withColumn("held", F.array_max(blocks)).filter("held >= need")
+    return held.groupBy("row", "label").agg(F.max(F.col("held") / F.col("n")).alias("score"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score), one row per document."""
-    keyed = docs.select("doc_id", "text", F.md5(F.col("text").cast("binary")).alias("key"))
-    found = (contained(keyed.filter("text is not null").select("key", "text")).groupBy("key")
-             .agg(F.array_sort(F.collect_set("label")).alias("more"), F.max("score").alias("held")))
-    rows = base(keyed).join(found, "key", "left")
+    rows = stored(reduced(docs.select("doc_id", "text")), "licenses-words")
+    found = contained(rows).groupBy("row").agg(F.array_sort(F.collect_set("label")).alias("more"), F.max("score").alias("held"))
+    none = F.lit(None)
+    rest = rows.filter("places is null").withColumns({"more": none.cast("array<string>"), "held": none.cast("double")})
     every = F.array_sort(F.array_union("base_list", F.coalesce("more", F.array().cast("array<string>"))))
     score = F.when(F.size("base_list") > 0, 1.0).otherwise(F.coalesce("held", F.lit(0.0)))
-    return rows.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_list", ",").alias("base_labels"),
-                       F.array_join(every, ",").alias("labels"), score.alias("score"))
+    return (rows.filter("places is not null").join(found, "row", "left").unionByName(rest)
+            .select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_list", ",").alias("base_labels"),
+                    F.array_join(every, ",").alias("labels"), score.alias("score")))

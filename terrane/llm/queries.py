@@ -88,9 +88,9 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 @query("op7_licenses", f"""
 WITH docs AS (
   SELECT row_number() OVER () AS rid, doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
-worded AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM docs),
+worded AS (SELECT rid, doc_id, regexp_extract_all(t, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM docs),
 places AS (
-  SELECT rid, doc_id, t, len(w) AS n_words,
+  SELECT rid, doc_id, len(w) AS n_words,
     list_filter(range(0, len(w)), lambda i: w[i + 1] = 'mit' AND w[i + 2] = 'license') AS mit,
     list_filter(range(0, len(w)), lambda i: w[i + 1] = 'apache' AND w[i + 2] = 'license') AS apache,
     list_filter(range(0, len(w)), lambda i: w[i + 1] = 'general' AND w[i + 2] = 'public' AND w[i + 3] = 'license') AS gpl
@@ -109,10 +109,11 @@ template AS (
     ('cc-by', 'licensed under a creative commons attribution international license'),
     ('mpl', 'this source code form is subject to the terms of the mozilla public license'),
     ('unlicense', 'this is free and unencumbered software released into the public domain')) AS v(label, words)),
-line AS (SELECT rid, regexp_extract_all(unnest(string_split(t, chr(10))), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM docs),
+-- every run of 64 words, the whole text if it is shorter, reduced to the templates' words
+vocabulary AS (SELECT list_distinct(flatten(list(words))) AS v FROM template),
 block AS (
-  SELECT rid, list_distinct(unnest(CASE WHEN len(w) <= 64 THEN [w]
-    ELSE list_transform(range(0, len(w) - 32, 32), lambda a: w[a + 1 : a + 64]) END)) AS b FROM line),
+  SELECT DISTINCT rid, list_sort(list_intersect(w[a : a + 63], v)) AS b
+  FROM (SELECT rid, w, unnest(range(1, greatest(1, len(w) - 63) + 1)) AS a FROM worded), vocabulary),
 held AS (
   SELECT rid, label, len(list_intersect(b, words)) / len(words) AS share FROM block, template
   WHERE len(list_intersect(b, words)) >= ceil(0.8 * len(words) - 1e-9)),
