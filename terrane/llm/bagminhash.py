@@ -36,12 +36,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.llm import words as W
-from terrane.session import stored
+from terrane.session import chosen_broadcast, stored
 
 BANDS, ROWS = 25, 4
 M = BANDS * ROWS
 SIMILARITY = 0.8
 FEW = 32                   # members of a bucket up to which all are compared across components
+FATES = 1_000_000   # ids of leaving documents that are broadcast at most
 HEADS = 512                # members of a crowded bucket that meet all others in one round
 CELLS = 1 << 18            # hash cells in which the items of crowds are counted
 BLOCK = 1 << 15            # points drawn at a time when few elements are left
@@ -349,8 +350,8 @@ def keep(docs: DataFrame) -> DataFrame:
     leads = found.filter("class_id = doc_id")
     losers = found.filter("class_id != doc_id").select("doc_id").distinct().join(leads.select("doc_id"), "doc_id", "left_anti")
     twice = leads.filter("class_size > 1").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    left = docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
-    words = "words_" + "_".join(docs.columns)  # a name that no column has
-    once = (left.join(twice, "doc_id", "left_semi").withColumn(words, F.xxhash64(F.lower("text")))
-            .dropDuplicates(["doc_id", words]).select(*docs.columns))
-    return left.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    words, fate = ("_".join([n, *docs.columns]) for n in ("words", "fate"))  # names that no column has
+    fates = stored(losers.withColumn(fate, F.lit("goes")).unionByName(twice.withColumn(fate, F.lit("once"))), "fates")
+    told = docs.filter("doc_id is not null").join(chosen_broadcast(fates, FATES), "doc_id", "left")
+    once = told.filter(F.col(fate) == "once").withColumn(words, F.xxhash64(F.lower("text"))).dropDuplicates(["doc_id", words])
+    return docs.filter("doc_id is null").unionByName(told.filter(F.col(fate).isNull()).select(*docs.columns)).unionByName(once.select(*docs.columns))

@@ -6,7 +6,9 @@ of slot n. Every source is a stream of blocks of equal size cut from its
 documents in a hash order, read twice at most. The r-th slot of a source takes
 its r-th block; the last slot is cut so that the source ends on its target, and
 a source that the sequence has left short gets its missing slots at the end of
-the schedule. A document's ``taken`` is the number of its words in the blocks taken.
+the schedule. A document's ``taken`` is the number of its words in the blocks taken,
+its ``first_slot`` the slot that takes the first of them (null if none does): read in
+the order of ``first_slot``, every part of the mix is near the target shares.
 
 Sources may be of any size: positions in a source and ranks of slots are prefix
 sums over hash cells whose number follows the rows, so no task holds a whole
@@ -76,9 +78,9 @@ def _prefix(df: DataFrame, keys: list[str], cell: F.Column, order: list, value:
             .withColumn(name, F.col("inner") + F.col("base")).drop("cell", "step", "inner", "base"))
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, place, tie): place orders a source's documents by the MD5 of their id."""
-    return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+def sized(docs: DataFrame, *keep: str) -> DataFrame:
+    """(doc_id, source, size, place, tie) and ``keep``: place orders a source's documents by the MD5 of their id."""
+    return docs.select(*keep, "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
                        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("place"),
                        F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("")).alias("tie"))
 
@@ -108,10 +110,10 @@ def schedule(docs_spark, plan: list[tuple[int, int]], block: int = BLOCK_WORDS)
     return ranked.join(F.broadcast(slots), "source_no").filter("rank < need").select("source_no", "rank", "slot").unionByName(short)
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = SHARE_PERCENT, block: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken, tie), one row per document."""
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = SHARE_PERCENT, block: int = BLOCK_WORDS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken, first_slot) and the columns ``keep`` of ``docs``, one row per document."""
     spark = docs.sparkSession
-    base = stored(sized(docs), "sized")
+    base = stored(sized(docs, *keep), "sized")
     groups = base.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows")).limit(MAX_SOURCES + 1).collect()
     if len(groups) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -131,38 +133,38 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, percent: int = SHAR
              .withColumn("a", F.col("rank") * block).withColumn("b", F.least(F.col("a") + block, "take")).filter("b > a"))
     lap = F.floor(F.col("a") / F.col("source_size"))
     cut = F.col("source_size") * (lap + 1)
-    parts = slots.withColumn("part", F.explode(F.array_compact(F.array(
+    parts = slots.withColumnRenamed("slot", "first_slot").withColumn("part", F.explode(F.array_compact(F.array(
         F.struct((F.col("a") - lap * F.col("source_size")).alias("a"), (F.least("b", cut) - lap * F.col("source_size")).alias("b")),
         F.when(F.col("b") > cut, F.struct(F.lit(0).cast("long").alias("a"), (F.col("b") - cut).alias("b")))))))
     # pieces never straddle a multiple of block, so both sides meet on it
     def tiled(df: DataFrame, a: F.Column, b: F.Column) -> DataFrame:
         tile = F.explode(F.sequence(F.floor(a / block), F.floor((b - 1) / block)))
         return df.withColumn("tile", tile).withColumn("a", F.greatest(a, F.col("tile") * block)).withColumn("b", F.least(b, (F.col("tile") + 1) * block))
-    pieces = tiled(parts.select("source_no", F.col("part.a").alias("pa"), F.col("part.b").alias("pb")), F.col("pa"), F.col("pb"))
-    pieces = pieces.groupBy("source_no", "tile", "a", "b").agg(F.count(F.lit(1)).alias("times"))
+    pieces = tiled(parts.select("source_no", "first_slot", F.col("part.a").alias("pa"), F.col("part.b").alias("pb")), F.col("pa"), F.col("pb"))
+    pieces = pieces.groupBy("source_no", "tile", "a", "b").agg(F.count(F.lit(1)).alias("times"), F.min("first_slot").alias("slot"))
     keyed = placed.filter("size > 0 and take > 0").select("source_no", "place", "doc_id", "tie", "offset", "size")
     spans = tiled(keyed, F.col("offset"), F.col("offset") + F.col("size"))
-    other = pieces.select("source_no", "tile", F.col("a").alias("c"), F.col("b").alias("d"), "times")
+    other = pieces.select("source_no", "tile", F.col("a").alias("c"), F.col("b").alias("d"), "times", "slot")
     common = F.greatest(F.lit(0).cast("long"), F.least("b", "d") - F.greatest("a", "c"))
-    taken = spans.join(other, ["source_no", "tile"]).groupBy("source_no", "offset").agg(F.sum(common * F.col("times")).alias("taken"))
+    taken = spans.join(other, ["source_no", "tile"]).groupBy("source_no", "offset").agg(
+        F.sum(common * F.col("times")).alias("taken"), F.min(F.when(common > 0, F.col("slot"))).alias("first_slot"))
     full = placed.filter("size > 0").join(taken, ["source_no", "offset"], "left")  # an offset names one document of a source that has words
-    none = placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
-    columns = ["doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "tie"]
+    none = placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long")).withColumn("first_slot", F.lit(None).cast("long"))
+    columns = [*keep, "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "first_slot"]
     return full.select(*columns).unionByName(none.select(*columns))
 
 
 def report(docs: DataFrame) -> DataFrame:
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def draw(docs: DataFrame) -> DataFrame:
-    """The documents that the mix takes words of, with ``docs``' columns and ``taken``; an own column of that name is replaced."""
-    mixed = mix(docs).filter("taken > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("tie").alias("_tie"), F.col("taken").alias("_taken"))
-    # equal rows may differ in what is taken of them: they are paired by number
-    from pyspark.sql import Window as Wd
-    mixed = mixed.withColumn("_n", F.row_number().over(Wd.partitionBy("_id", "_source", "_tie").orderBy(F.desc("_taken"))))
-    own = docs.drop("taken")
-    tie = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
-    own = own.withColumn("_tie", tie).withColumn("_n", F.row_number().over(Wd.partitionBy("doc_id", "source", "_tie").orderBy(F.lit(1))))
-    match = own["doc_id"].eqNullSafe(mixed["_id"]) & own["source"].eqNullSafe(mixed["_source"]) & (own["_tie"] == mixed["_tie"]) & (own["_n"] == mixed["_n"])
-    return own.join(mixed, match).select(*[own[c] for c in docs.drop("taken").columns], F.col("_taken").alias("taken"))
+    """The documents that the mix takes words of, with ``docs``' columns, ``taken`` and ``first_slot``; own columns of these names are replaced.
+
+    Rows are numbered and written once, so that equal rows are told apart and the mix is joined by number: the texts are shuffled once.
+    """
+    own = [c for c in docs.columns if c not in ("taken", "first_slot")]
+    row = "row_" + "_".join(docs.columns)  # a name that no column has
+    numbered = stored(docs.select(*own, F.monotonically_increasing_id().alias(row)), "mixture-rows")
+    mixed = mix(numbered, keep=(row,)).filter("taken > 0").select(row, "taken", "first_slot")
+    return numbered.join(mixed, row).select(*own, "taken", "first_slot")

@@ -65,12 +65,23 @@ goal AS (
   SELECT source, total, CASE WHEN NOT EXISTS (SELECT 1 FROM level) OR 2.0 * total / w < (SELECT ratio FROM level) THEN (2 * total)::DOUBLE
     ELSE (SELECT rest * w / open_w FROM level) END AS target FROM src),
 cut AS (SELECT source, total, target, least(2 * total, round_even(target, 0)::BIGINT) AS take FROM goal),
+-- slots of 256 words, dealt by the van der Corput points over the sources' shares; what a source lacks is appended
+edge AS (
+  SELECT source, take, sum(take) OVER (ORDER BY source NULLS LAST) AS b, sum(take) OVER () AS words, (take + 255) // 256 AS need FROM cut WHERE take > 0),
+point AS (
+  SELECT slot, list_reduce(list_prepend(0::BIGINT, list_transform(string_split(reverse(lpad(bin(slot), 40, '0')), ''), lambda x: x::BIGINT)),
+    lambda a, x: a * 2 + x)::DOUBLE / 1099511627776 AS u FROM range((SELECT sum(need) FROM edge)::BIGINT) r(slot)),
+dealt AS (
+  SELECT source, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS rank, slot FROM point
+  JOIN edge ON u >= (b - take)::DOUBLE / words::DOUBLE AND u < CASE WHEN b = words THEN 1.0 ELSE b::DOUBLE / words::DOUBLE END),
 placed AS (
   SELECT d.*, g.total, g.target, g.take, coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY place, d.doc_id, tie, rid
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS o
   FROM doc d JOIN cut g ON d.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, total AS source_size, target,
-  (greatest(0, least(o + size, take) - o) + greatest(0, least(o + size, take - total) - o))::BIGINT AS taken FROM placed""")
+  (greatest(0, least(o + size, take) - o) + greatest(0, least(o + size, take - total) - o))::BIGINT AS taken,
+  CASE WHEN size > 0 AND o < take THEN coalesce(slot, (SELECT sum(need) FROM edge))::BIGINT END AS first_slot
+FROM placed p LEFT JOIN dealt ON p.source IS NOT DISTINCT FROM dealt.source AND o // 256 = rank""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     return mixture.report(table(spark, sf_dir, "documents"))

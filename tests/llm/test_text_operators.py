@@ -277,7 +277,7 @@ def test_mixture_takes_the_targets(spark):
     again = mixture.mix(docs.repartition(5)).collect()
     assert sorted((r.doc_id, r.taken) for r in again) == sorted((r.doc_id, r.taken) for r in out)
     drawn = mixture.draw(docs)
-    assert drawn.columns == [*docs.columns, "taken"] and sum(r.taken for r in drawn.collect()) == sum(got.values())
+    assert drawn.columns == [*docs.columns, "taken", "first_slot"] and sum(r.taken for r in drawn.collect()) == sum(got.values())
     assert mixture.mix(docs.limit(0)).count() == 0
 
 
@@ -294,6 +294,31 @@ def test_schedule_is_spread_evenly(spark):
         assert all(abs((r + 1) - (slot + 1) * share) <= 10 for r, slot in v)
 
 
+def test_the_schedule_decides_the_order_of_the_mix(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, prose(rng, rng.randint(1, 60)), "en", rng.choice("aaabc"), 0) for i in range(900)]
+    docs = frame(spark, rows)
+    out = [r for r in mixture.mix(docs, percent=50, block=16).collect() if r.taken]    # no source is read twice
+    total, seen = collections.Counter(), collections.Counter()
+    for r in out:
+        total[r.source] += r.taken
+    whole = sum(total.values())
+    for r in sorted(out, key=lambda r: r.first_slot):
+        seen[r.source] += r.taken
+        assert all(abs(seen[s] - total[s] * sum(seen.values()) / whole) <= 300 for s in total)   # a few documents of each source
+    assert all(r.first_slot is None for r in mixture.mix(frame(spark, [(1, ""), (2, None)])).collect())
+
+    def end_to_end(spark, plan, block):
+        need, at, slots = [(s, -(-w // block)) for s, w in plan if w > 0], 0, []
+        for s, n in need:
+            slots += [(s, r, at + r) for r in range(n)]
+            at += n
+        return spark.createDataFrame(slots, "source_no int, rank long, slot long")
+    monkeypatch.setattr(mixture, "schedule", end_to_end)
+    other = {r.doc_id: r.first_slot for r in mixture.mix(docs, percent=50, block=16).collect()}
+    assert any(other[r.doc_id] != r.first_slot for r in out)
+
+
 # ---- 4 secrets
 
 def naive_secrets(text):
