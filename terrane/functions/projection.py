@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -85,6 +86,35 @@ def from_utm(x: Column, y: Column, srid: int | Column = UTM13N) -> tuple[Column,
     return F.degrees(F.atan2(F.sinh(ep), F.cos(xp))) + central_meridian(srid), F.degrees(lat)
 
 
+def to_utm_arrays(lon: np.ndarray, lat: np.ndarray, srid: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`to_utm` of arrays."""
+    dl, s = np.radians(lon - central_meridian(srid)), np.sin(np.radians(lat))
+    t = np.sinh(np.arctanh(s) - _E * np.arctanh(_E * s))
+    xi, eta = np.arctan2(t, np.cos(dl)), np.arcsinh(np.sin(dl) / np.sqrt(t * t + np.cos(dl) ** 2))
+    east = eta + sum(np.cos(xi * (2 * j)) * np.sinh(eta * (2 * j)) * a for j, a in enumerate(_ALPHA, 1))
+    north = xi + sum(np.sin(xi * (2 * j)) * np.cosh(eta * (2 * j)) * a for j, a in enumerate(_ALPHA, 1))
+    return east * _R + _E0, north * _R + false_northing(srid)
+
+
+def from_utm_arrays(x: np.ndarray, y: np.ndarray, srid: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`from_utm` of arrays."""
+    xi, eta = (y - false_northing(srid)) / _R, (x - _E0) / _R
+    xp = xi - sum(np.sin(xi * (2 * j)) * np.cosh(eta * (2 * j)) * b for j, b in enumerate(_BETA, 1))
+    ep = eta - sum(np.cos(xi * (2 * j)) * np.sinh(eta * (2 * j)) * b for j, b in enumerate(_BETA, 1))
+    chi = np.arcsin(np.sin(xp) / np.cosh(ep))
+    lat = chi + sum(np.sin(chi * (2 * j)) * d for j, d in enumerate(_DELTA, 1))
+    return np.degrees(np.arctan2(np.sinh(ep), np.cos(xp))) + central_meridian(srid), np.degrees(lat)
+
+
+def between_arrays(x: np.ndarray, y: np.ndarray, source: int, target: int) -> tuple[np.ndarray, np.ndarray]:
+    """Points of one system in another: longitude/latitude and every UTM zone, other systems raise an error."""
+    if source == target:
+        return x, y
+    if source != WGS84:
+        x, y = from_utm_arrays(x, y, source)
+    return (x, y) if target == WGS84 else to_utm_arrays(x, y, target)
+
+
 def _mapped(geom: Column, fn, srid: int) -> Column:
     def move(p):
         a, b = fn(p["x"], p["y"])

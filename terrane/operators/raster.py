@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrane.functions import geometry as g
-from terrane.functions.projection import from_utm
-from terrane.operators.zones import polygon_cells
+from terrane.operators.tiles import cell_of
 from terrane.schema import TILE_CELLS, Grid
 
 # ── fixed values: elevation colour stops (metres, red, green, blue) ─────────
@@ -20,22 +18,7 @@ NODATA_COLOUR = (0, 0, 0)
 # ── end of fixed values ─────────────────────────────────────────────────────
 
 
-# ── cells and tiles ─────────────────────────────────────────────────────────
-def to_tiles(cells: DataFrame, size: int = TILE_CELLS) -> DataFrame:
-    """Blocks of size x size cells; a tile is at most size*size entries long."""
-    pos = (F.pmod(F.col("row"), F.lit(size)) * size + F.pmod(F.col("col"), F.lit(size))).cast("int")
-    return (cells.groupBy(F.floor(F.col("row") / size).cast("int").alias("trow"),
-                          F.floor(F.col("col") / size).cast("int").alias("tcol"))
-            .agg(F.sort_array(F.collect_list(F.struct(pos.alias("pos"), F.col("value")))).alias("cells")))
-
-
-def to_cells(tiles: DataFrame, size: int = TILE_CELLS) -> DataFrame:
-    flat = tiles.select("trow", "tcol", F.explode("cells").alias("c"))
-    return flat.select((F.col("trow") * size + F.floor(F.col("c.pos") / size)).cast("int").alias("row"),
-                       (F.col("tcol") * size + F.col("c.pos") % size).cast("int").alias("col"),
-                       F.col("c.value").alias("value"))
-
-
+# ── cells ───────────────────────────────────────────────────────────────────
 def tile_constraints(grids: DataFrame) -> DataFrame:
     """Per raster: do all tiles share reference system, cell size and alignment?
 
@@ -51,11 +34,6 @@ def tile_constraints(grids: DataFrame) -> DataFrame:
         ((F.min("_ox") == F.max("_ox")) & (F.min("_oy") == F.max("_oy"))).alias("aligned"))
 
 
-def cell_of(x: Column, y: Column, grid: Grid) -> tuple[Column, Column]:
-    return (F.floor((F.lit(grid.y0) - y) / grid.cell).cast("int"),
-            F.floor((x - grid.x0) / grid.cell).cast("int"))
-
-
 def on_grid(df: DataFrame, x: Column, y: Column, grid: Grid) -> DataFrame:
     """Add row and col; features off a grid of known size are dropped."""
     row, col = cell_of(x, y, grid)
@@ -67,43 +45,12 @@ def on_grid(df: DataFrame, x: Column, y: Column, grid: Grid) -> DataFrame:
     return out
 
 
-def value_at_points(points: DataFrame, x: Column, y: Column, cells: DataFrame, grid: Grid,
-                    how: str = "inner", name: str = "value") -> DataFrame:
-    """Raster value under each point; nodata gives null, a missing cell no row (or null if left)."""
-    placed = on_grid(points, x, y, grid) if how == "inner" else points.withColumns(
-        dict(zip(("row", "col"), cell_of(x, y, grid))))
-    return placed.join(cells.select("row", "col", F.col("value").alias(name)), ["row", "col"], how).drop("row", "col")
-
-
-def value_at_centroids(features: DataFrame, cells: DataFrame, grid: Grid, how: str = "inner",
-                       name: str = "value") -> DataFrame:
-    centred = features.withColumn("_c", g.centroid(F.col("geom")))
-    return value_at_points(centred, F.col("_c.x"), F.col("_c.y"), cells, grid, how, name).drop("_c")
-
-
-def clip_to_polygons(polygons: DataFrame, cells: DataFrame, grid: Grid, keep: list[str]) -> DataFrame:
-    """Cells of each polygon (centre rule) with their values."""
-    return polygon_cells(polygons, grid, keep).join(cells, ["row", "col"])
-
-
 def clip_to_bbox(cells: DataFrame, grid: Grid, box: tuple[float, float, float, float]) -> DataFrame:
     x = F.lit(grid.x0) + (F.col("col") + 0.5) * grid.cell
     y = F.lit(grid.y0) - (F.col("row") + 0.5) * grid.cell
     return cells.filter((x >= box[0]) & (x <= box[2]) & (y >= box[1]) & (y <= box[3]))
 
 
-def zonal_summary(polygons: DataFrame, cells: DataFrame, grid: Grid, keep: list[str]) -> DataFrame:
-    """Mean, max and count of the non-null cells of each polygon."""
-    return (clip_to_polygons(polygons, cells, grid, keep).groupBy(*keep)
-            .agg(F.avg("value").alias("mean"), F.max("value").alias("max"), F.count("value").alias("count")))
-
-
-def zonal_histogram(polygons: DataFrame, cells: DataFrame, grid: Grid, keep: list[str]) -> DataFrame:
-    """Cells of each value in each polygon; nodata does not count."""
-    return (clip_to_polygons(polygons, cells.filter(F.col("value").isNotNull()), grid, keep)
-            .groupBy(*keep, "value").agg(F.count(F.lit(1)).alias("pixel_count")))
-
-
 def statistics(cells: DataFrame, by: list[str] = ()) -> DataFrame:
     return cells.groupBy(*by).agg(
         F.count(F.lit(1)).alias("cells"), (F.max("row") - F.min("row") + 1).alias("nrows"),
@@ -279,36 +226,6 @@ def opening(cells: DataFrame, radius: int, tile: int = TILE_CELLS) -> DataFrame:
     return focal(cells, 2 * radius, lambda v, p: (opened(v, p, radius),), ["value"], tile)
 
 
-# ── resampling ──────────────────────────────────────────────────────────────
-def target_cells(spark: SparkSession, grid: Grid) -> DataFrame:
-    """All cells of a declared grid, generated in parallel."""
-    return spark.range(grid.nrows * grid.ncols).select(
-        F.floor(F.col("id") / grid.ncols).cast("int").alias("row"), (F.col("id") % grid.ncols).cast("int").alias("col"))
-
-
-def bilinear(cells: DataFrame, source: Grid, target: Grid) -> DataFrame:
-    """Resample onto ``target``, also across reference systems.
-
-    Each target centre is taken back to the source system and weighs its four
-    source neighbours; null neighbours drop out and the rest is renormalised.
-    """
-    x = F.lit(target.x0) + (F.col("col") + 0.5) * target.cell
-    y = F.lit(target.y0) - (F.col("row") + 0.5) * target.cell
-    if source.srid != target.srid:
-        x, y = from_utm(x, y, target.srid)      # source in longitude/latitude
-    u, v = (x - source.x0) / source.cell - 0.5, (F.lit(source.y0) - y) / source.cell - 0.5
-    centres = target_cells(cells.sparkSession, target).withColumn("u", u).withColumn("v", v)
-    fu, fv = F.col("u") - F.floor("u"), F.col("v") - F.floor("v")
-    corners = F.array(*[F.struct(
-        (F.floor("v") + dr).cast("int").alias("srow"), (F.floor("u") + dc).cast("int").alias("scol"),
-        ((fv if dr else 1 - fv) * (fu if dc else 1 - fu)).alias("w")) for dr in (0, 1) for dc in (0, 1)])
-    asked = centres.select("row", "col", F.explode(corners).alias("n")).select("row", "col", "n.*").filter("w > 0")
-    src = cells.filter(F.col("value").isNotNull()).select(
-        F.col("row").alias("srow"), F.col("col").alias("scol"), "value")
-    return (asked.join(src, ["srow", "scol"]).groupBy("row", "col")
-            .agg((F.sum(F.col("w") * F.col("value")) / F.sum("w")).alias("value")))
-
-
 # ── display ─────────────────────────────────────────────────────────────────
 def ramp(value: Column, stops: list[tuple], nodata: tuple = NODATA_COLOUR) -> dict[str, Column]:
     """Piecewise-linear colours between stops, clamped at both ends."""

@@ -12,7 +12,7 @@ from terrane.functions import attributes as at
 from terrane.functions import geometry as g
 from terrane.functions import predicates as pred
 from terrane.functions.simplify import simplify
-from terrane.operators import cluster, filters, joins, raster, zones
+from terrane.operators import cluster, filters, joins, raster, tiles, zones
 from terrane.schema import (AREAL_KINDS, BBOX_COLUMNS, BUILDING_MIN_M2, LANDUSE_MIN_M2, ROAD_BUFFER_M, SLIVER_M2,
                             UTM13N, Grid)
 from terrane.sources.vector import read_layer, standardise
@@ -89,13 +89,13 @@ def buildings_near_roads(buildings: DataFrame, roads: DataFrame, distinct: bool
 
 def buildings_with_elevation(buildings: DataFrame, dem: DataFrame, grid: Grid) -> DataFrame:
     """Ground elevation under each centroid on the grid, one row per building."""
-    return raster.value_at_centroids(buildings, dem, grid, "inner", "ground_elevation_m")
+    return tiles.value_at_centroids(buildings, dem, grid, "inner", "ground_elevation_m")
 
 
 def buildings_lidar_height(buildings: DataFrame, ndsm: DataFrame, grid: Grid) -> DataFrame:
     """Mean and highest above-ground value inside each footprint over 50 m2."""
     large = filters.larger_than(buildings, BUILDING_MIN_M2, rounded=False)
-    return raster.zonal_summary(large, ndsm, grid, ["id"]).withColumnsRenamed(
+    return tiles.zonal_summary(large, ndsm, grid, ["id"]).withColumnsRenamed(
         {"mean": "lidar_height_m", "max": "lidar_max_m", "count": "pixel_count"})
 
 
@@ -122,7 +122,7 @@ def land_cover(landuse: DataFrame, nlcd: DataFrame, grid: Grid, label_set: str =
     """Cover classes of each land-use polygon over 1000 m2."""
     large = filters.larger_than(landuse, LANDUSE_MIN_M2, rounded=False).withColumn(
         "area_m2", g.rounded_area(F.col("geom")))
-    counts = raster.zonal_histogram(large, nlcd, grid, ["id", "landuse", "area_m2"]).select(
+    counts = tiles.zonal_histogram(large, nlcd, grid, ["id", "landuse", "area_m2"]).select(
         F.col("id").alias("lu_id"), F.col("landuse").alias("osm_landuse"), "area_m2",
         F.col("value").cast("int").alias("nlcd_code"), "pixel_count")
     shares = counts.withColumn("coverage_pct", raster.share_of_total(F.col("pixel_count"), ["lu_id"], 900.0)).withColumn(
@@ -150,7 +150,7 @@ def road_access_bands(access: DataFrame, bands: list | None = None, rest: str =
 
 def land_suitability(buildings: DataFrame, access: DataFrame, slope: DataFrame, grid: Grid) -> DataFrame:
     """Score of each building from slope, footprint and road distance."""
-    sloped = raster.value_at_centroids(buildings, slope, grid, "left", "slope")
+    sloped = tiles.value_at_centroids(buildings, slope, grid, "left", "slope")
     scored = sloped.join(access, "id", "left")
     return scored.withColumn("suitability_score", at.suitability(
         F.col("slope"), F.col("area_m2"), F.col("dist_to_nearest_road_m"))).drop("slope", "dist_to_nearest_road_m")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from terrane import fixtures
 from terrane.functions import geometry as g
+from terrane.operators.tiles import to_tiles
 from terrane.schema import UTM13N
+from terrane.session import stored
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -66,5 +68,13 @@ def raster(spark: SparkSession, d: str, name: str) -> DataFrame:
         F.col("r").alias("row"), F.col("c").alias("col"), F.col(name).cast("double").alias("value"))
 
 
+def tiles(spark: SparkSession, d: str, *names: str) -> DataFrame:
+    """Rasters of the surface grid as a stored layer of dense tiles, one band each."""
+    grid = fixtures.load(spark, d, "fx_grid")
+    bands = F.explode(F.array(*[F.struct(F.lit(i).alias("band"), F.col(n).cast("double").alias("value")) for i, n in enumerate(names, 1)]))
+    cells = grid.select(F.col("r").alias("row"), F.col("c").alias("col"), bands.alias("b")).select("row", "col", "b.*")
+    return stored(to_tiles(cells), "tiles")
+
+
 def points(spark: SparkSession, d: str) -> DataFrame:
     return fixtures.load(spark, d, "fx_points")

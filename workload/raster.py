@@ -8,7 +8,7 @@ from terrane import fixtures
 from terrane.fixtures import POINT_GRID, SURFACE_GRID
 from terrane.functions import attributes as at
 from terrane.functions import geometry as g
-from terrane.operators import pointcloud, raster, zones
+from terrane.operators import pointcloud, raster, tiles, zones
 from terrane.plans import layers
 from terrane.schema import Grid
 from terrane.session import stored
@@ -33,15 +33,12 @@ COVER = f"""hist AS (SELECT z.id, z.landuse, z.w * z.h AS area_m2, g.nlcd AS cod
 SELECT CAST(floor(r / 16) AS INT) AS trow, CAST(floor(c / 16) AS INT) AS tcol, COUNT(*) AS cells, COUNT(dem) AS filled,
   SUM(dem) AS total FROM fx_grid GROUP BY 1, 2""", (G,))
 def s7(spark, d):
-    tiles = raster.to_tiles(base.raster(spark, d, "dem"), 16)
-    return tiles.select("trow", "tcol", F.size("cells").cast("long").alias("cells"),
-                        F.size(F.filter("cells", lambda e: e["value"].isNotNull())).cast("long").alias("filled"),
-                        F.aggregate("cells", F.lit(0.0), lambda acc, e: acc + F.coalesce(e["value"], F.lit(0.0))).alias("total"))
+    return tiles.counts(tiles.to_tiles(base.raster(spark, d, "dem"), 16)).drop("band")
 
 
 @query("s8_untile_raster", "SELECT r AS row, c AS col, dem AS value FROM fx_grid", (G,))
 def s8(spark, d):
-    return raster.to_cells(raster.to_tiles(base.raster(spark, d, "dem")))
+    return tiles.to_cells(base.tiles(spark, d, "dem")).drop("band")
 
 
 @query("f11_band_selection", """
@@ -59,19 +56,19 @@ def f12(spark, d):
 
 @query("j3_centroid_in_cell", f"WITH {CENTRED} SELECT id, g.dem AS value FROM cb JOIN fx_grid g USING (r, c)", (B, G))
 def j3(spark, d):
-    return raster.value_at_centroids(base.buildings(spark, d, False).select("id", "geom"), base.raster(spark, d, "dem"),
+    return tiles.value_at_centroids(base.buildings(spark, d, False).select("id", "geom"), base.tiles(spark, d, "dem"),
                                      SURFACE_GRID).select("id", "value")
 
 
 @query("j4_polygon_cell_join", f"""
 SELECT z.id, g.r AS row, g.c AS col, CAST(g.nlcd AS DOUBLE) AS value FROM fx_landuse z JOIN fx_grid g ON {ON_SURFACE}""", (L, G))
 def j4(spark, d):
-    return raster.clip_to_polygons(base.landuse(spark, d), base.raster(spark, d, "nlcd"), SURFACE_GRID, ["id"])
+    return tiles.clip_to_polygons(base.landuse(spark, d), base.tiles(spark, d, "nlcd"), SURFACE_GRID, ["id"])
 
 
 @query("j9_slope_at_centroid", f"WITH {CENTRED} SELECT id, g.slope FROM cb LEFT JOIN fx_grid g USING (r, c)", (B, G))
 def j9(spark, d):
-    return raster.value_at_centroids(base.buildings(spark, d, False).select("id", "geom"), base.raster(spark, d, "slope"),
+    return tiles.value_at_centroids(base.buildings(spark, d, False).select("id", "geom"), base.tiles(spark, d, "slope"),
                                      SURFACE_GRID, "left", "slope").select("id", "slope")
 
 
@@ -88,14 +85,14 @@ def j12(spark, d):
 SELECT ROUND(MIN(g.dem), 1) AS elev_min, ROUND(MAX(g.dem), 1) AS elev_max, ROUND(AVG(g.dem), 1) AS elev_mean
 FROM cb JOIN fx_grid g USING (r, c)""", (B, G))
 def a5(spark, d):
-    e = layers.buildings_with_elevation(base.buildings(spark, d, False), base.raster(spark, d, "dem"), SURFACE_GRID)
+    e = layers.buildings_with_elevation(base.buildings(spark, d, False), base.tiles(spark, d, "dem"), SURFACE_GRID)
     v = "ground_elevation_m"
     return e.agg(F.round(F.min(v), 1).alias("elev_min"), F.round(F.max(v), 1).alias("elev_max"),
                  F.round(F.avg(v), 1).alias("elev_mean"))
 
 
 def _cover(spark, d, label_set="long"):
-    return layers.land_cover(base.landuse(spark, d), base.raster(spark, d, "nlcd"), SURFACE_GRID, label_set)
+    return layers.land_cover(base.landuse(spark, d), base.tiles(spark, d, "nlcd"), SURFACE_GRID, label_set)
 
 
 @query("a11_cover_totals", f"""WITH {COVER}
@@ -134,7 +131,7 @@ SELECT id, ROUND(g.dem, 1) AS ground_m, ROUND({sqltext.HEIGHT}, 1) AS osm_height
 FROM cb JOIN fx_grid g USING (r, c) WHERE {sqltext.HEIGHT} IS NOT NULL ORDER BY top_elevation_m DESC NULLS FIRST, id LIMIT 10""", (B, G))
 def t1(spark, d):
     b = base.buildings(spark, d, False).select("id", "geom", at.parse_height(c("height")).alias("height_m"))
-    e = layers.buildings_with_elevation(b, base.raster(spark, d, "dem"), SURFACE_GRID).filter(c("height_m").isNotNull())
+    e = layers.buildings_with_elevation(b, base.tiles(spark, d, "dem"), SURFACE_GRID).filter(c("height_m").isNotNull())
     top = F.round(c("ground_elevation_m") + c("height_m"), 1)
     return (e.select("id", F.round("ground_elevation_m", 1).alias("ground_m"), F.round("height_m", 1).alias("osm_height_m"),
                      top.alias("top_elevation_m")).orderBy(F.desc_nulls_first("top_elevation_m"), "id").limit(10))
@@ -146,32 +143,50 @@ def t3(spark, d):
     return _cover(spark, d).select("lu_id", "nlcd_code", "pixel_count").orderBy("lu_id", F.desc("pixel_count"), "nlcd_code")
 
 
-@query("r2_resample_bilinear", """
-WITH t AS (SELECT i // 100 AS row, i % 100 AS col FROM range(10000) AS q(i)),
-p AS (SELECT row, col, (490800 + 100*(col+0.5) - 490000) / 160 - 0.5 AS u, (4405000 - (4404500 - 100*(row+0.5))) / 160 - 0.5 AS v FROM t),
-n AS (SELECT row, col, floor(v) + dr AS r, floor(u) + dc AS c,
+# bilinear values of the target cells (band, row, col, u, v), u and v counted in source cells from the centre of cell (0, 0)
+WEIGHED = """n AS (SELECT band, row, col, floor(v) + dr AS r, floor(u) + dc AS c,
   (CASE WHEN dr = 1 THEN v - floor(v) ELSE 1 - (v - floor(v)) END) * (CASE WHEN dc = 1 THEN u - floor(u) ELSE 1 - (u - floor(u)) END) AS w
-  FROM p, (VALUES (0), (1)) a(dr), (VALUES (0), (1)) b(dc))
-SELECT row, col, ROUND(SUM(w * dem) / SUM(w), 6) AS value FROM n JOIN fx_grid USING (r, c) WHERE dem IS NOT NULL AND w > 0 GROUP BY 1, 2""", (G,))
+  FROM p, (VALUES (0), (1)) a(dr), (VALUES (0), (1)) b(dc), (VALUES (1), (2)) k(band)),
+source AS (SELECT r, c, 1 AS band, dem AS value FROM fx_grid UNION ALL SELECT r, c, 2, slope FROM fx_grid)
+SELECT band, row, col, ROUND(SUM(w * value) / SUM(w), 3) AS value FROM n JOIN source USING (band, r, c)
+WHERE value IS NOT NULL AND w > 0 GROUP BY 1, 2, 3"""
+EXTENT = "e AS (SELECT MIN(r) AS r0, MAX(r) + 1 AS r1, MIN(c) AS c0, MAX(c) + 1 AS c1 FROM fx_grid)"
+TARGET = """t AS (SELECT *, i // ncols AS row, i % ncols AS col, x1 + 100 * ((i % ncols) + 0.5) AS x0, y1 - 100 * ((i // ncols) + 0.5) AS y0
+  FROM (SELECT *, UNNEST(range(nrows * ncols)) AS i FROM g))"""
+
+
+def _bands(spark, d):
+    return base.tiles(spark, d, "dem", "slope")
+
+
+def _warped(spark, d, source, srid):
+    """Both bands on a grid of 100 m that covers the whole raster."""
+    rows = _bands(spark, d)
+    target = tiles.target_grid(tiles.extent(rows, source), srid, 100.0)
+    out = tiles.to_cells(tiles.reproject(rows, source, target)).filter(c("value").isNotNull())
+    return out.select("band", c("row").cast("long").alias("row"), c("col").cast("long").alias("col"), F.round("value", 3).alias("value"))
+
+
+@query("r2_resample_bilinear", f"""
+WITH {EXTENT}, g AS (SELECT 490000 + 160.0 * c0 AS x1, 4405000 - 160.0 * r0 AS y1, CAST(ceil((r1 - r0) * 160 / 100.0) AS BIGINT) AS nrows,
+  CAST(ceil((c1 - c0) * 160 / 100.0) AS BIGINT) AS ncols FROM e), {TARGET},
+p AS (SELECT row, col, (CAST(x0 AS DOUBLE) - 490000) / 160 - 0.5 AS u, (4405000 - CAST(y0 AS DOUBLE)) / 160 - 0.5 AS v FROM t),
+{WEIGHED}""", (G,))
 def r2(spark, d):
-    target = Grid(x0=490800.0, y0=4404500.0, cell=100.0, nrows=100, ncols=100)
-    out = raster.bilinear(base.raster(spark, d, "dem"), SURFACE_GRID, target)
-    return out.select(c("row").cast("long").alias("row"), c("col").cast("long").alias("col"), F.round("value", 6).alias("value"))
+    return _warped(spark, d, SURFACE_GRID, SURFACE_GRID.srid)
 
 
 @query("r1_reproject_bilinear", f"""
-WITH t AS (SELECT i // 150 AS row, i % 150 AS col, 490000 + 100*((i % 150) + 0.5) AS x0, 4404000 - 100*((i // 150) + 0.5) AS y0 FROM range(22500) AS q(i)),
+WITH {EXTENT},
+edge AS (SELECT -105.12::DOUBLE + c0 * 0.0018::DOUBLE + f * ((c1 - c0) * 0.0018::DOUBLE) AS lon, 39.80::DOUBLE - r0 * 0.0018::DOUBLE - h * ((r1 - r0) * 0.0018::DOUBLE) AS lat
+  FROM e, (SELECT k / 64.0::DOUBLE AS f, h FROM range(65) a(k), (VALUES (0), (1)) b(h) UNION SELECT h, k / 64.0::DOUBLE FROM range(65) a(k), (VALUES (0), (1)) b(h))),
+g AS (SELECT MIN(east) AS x1, MAX(north) AS y1, CAST(ceil((MAX(north) - MIN(north)) / 100) AS BIGINT) AS nrows,
+  CAST(ceil((MAX(east) - MIN(east)) / 100) AS BIGINT) AS ncols FROM ({sqltext.forward_utm('edge')})), {TARGET},
 p AS (SELECT row, col, ({sqltext.LON} + 105.12) / 0.0018 - 0.5 AS u, (39.80 - {sqltext.LAT}) / 0.0018 - 0.5 AS v FROM ({sqltext.inverse_utm('t')})),
-n AS (SELECT row, col, floor(v) + dr AS r, floor(u) + dc AS c,
-  (CASE WHEN dr = 1 THEN v - floor(v) ELSE 1 - (v - floor(v)) END) * (CASE WHEN dc = 1 THEN u - floor(u) ELSE 1 - (u - floor(u)) END) AS w
-  FROM p, (VALUES (0), (1)) a(dr), (VALUES (0), (1)) b(dc))
-SELECT row, col, ROUND(SUM(w * dem) / SUM(w), 5) AS value FROM n JOIN fx_grid USING (r, c) WHERE dem IS NOT NULL AND w > 0 GROUP BY 1, 2""", (G,))
+{WEIGHED}""", (G,))
 def r1(spark, d):
     """The surface read as a longitude/latitude raster and brought to the projected grid."""
-    source = Grid(x0=-105.12, y0=39.80, cell=0.0018, ncols=120, srid=4326)
-    target = Grid(x0=490000.0, y0=4404000.0, cell=100.0, nrows=150, ncols=150)
-    out = raster.bilinear(base.raster(spark, d, "dem"), source, target)
-    return out.select(c("row").cast("long").alias("row"), c("col").cast("long").alias("col"), F.round("value", 5).alias("value"))
+    return _warped(spark, d, Grid(x0=-105.12, y0=39.80, cell=0.0018, srid=4326), SURFACE_GRID.srid)
 
 
 @query("r3_nodata_mask", """
@@ -256,7 +271,7 @@ def r11(spark, d):
 SELECT z.id, ROUND(AVG(g.dem), 6) AS mean, MAX(g.dem) AS max, COUNT(g.dem) AS count
 FROM fx_landuse z JOIN fx_grid g ON {ON_SURFACE} GROUP BY 1""", (L, G))
 def r12(spark, d):
-    return raster.zonal_summary(base.landuse(spark, d), base.raster(spark, d, "dem"), SURFACE_GRID, ["id"]).withColumn(
+    return tiles.zonal_summary(base.landuse(spark, d), base.tiles(spark, d, "dem"), SURFACE_GRID, ["id"]).withColumn(
         "mean", F.round("mean", 6))
 
 
@@ -264,13 +279,13 @@ def r12(spark, d):
 SELECT z.id, CAST(g.nlcd AS DOUBLE) AS value, COUNT(*) AS pixel_count FROM fx_landuse z JOIN fx_grid g ON {ON_SURFACE}
 WHERE g.nlcd IS NOT NULL GROUP BY 1, 2""", (L, G))
 def r13(spark, d):
-    return raster.zonal_histogram(base.landuse(spark, d), base.raster(spark, d, "nlcd"), SURFACE_GRID, ["id"])
+    return tiles.zonal_histogram(base.landuse(spark, d), base.tiles(spark, d, "nlcd"), SURFACE_GRID, ["id"])
 
 
 @query("r14_value_at_point", f"""WITH {CENTRED} SELECT id, g.dem AS value FROM cb LEFT JOIN fx_grid g USING (r, c)""", (B, G))
 def r14(spark, d):
     pts = fixtures.load(spark, d, B).select("id", (c("x0") + c("w") / 2.0).alias("x"), (c("y0") + c("h") / 2.0).alias("y"))
-    return raster.value_at_points(pts, c("x"), c("y"), base.raster(spark, d, "dem"), SURFACE_GRID, "left").select("id", "value")
+    return tiles.value_at_points(pts, c("x"), c("y"), base.tiles(spark, d, "dem"), SURFACE_GRID, "left").select("id", "value")
 
 
 @query("r15_land_cover_classes", f"""WITH {COVER}
@@ -291,7 +306,7 @@ def x10(spark, d):
 SELECT id, {sqltext.HEIGHT} AS height_m, CAST(w * h AS DOUBLE) AS area_m2, g.dem AS ground_elevation_m FROM cb JOIN fx_grid g USING (r, c)""", (B, G))
 def r16(spark, d):
     b = stored(layers.processed_buildings(base.buildings(spark, d, False)))
-    return layers.buildings_with_elevation(b, base.raster(spark, d, "dem"), SURFACE_GRID).select(
+    return layers.buildings_with_elevation(b, base.tiles(spark, d, "dem"), SURFACE_GRID).select(
         "id", "height_m", "area_m2", "ground_elevation_m")
 
 
@@ -306,9 +321,8 @@ def r17(spark, d):
 SELECT 'dem' AS raster, COUNT(*) AS tiles, TRUE AS same_srid, TRUE AS same_cell, TRUE AS aligned
 FROM (SELECT DISTINCT floor(r / 16), floor(c / 16) FROM fx_grid)""", (G,))
 def r18(spark, d):
-    tiles = raster.to_tiles(base.raster(spark, d, "dem"), 16)
     size = SURFACE_GRID.cell * 16
-    grids = tiles.select(F.lit("dem").alias("raster"), F.lit(SURFACE_GRID.srid).alias("srid"), F.lit(SURFACE_GRID.cell).alias("cell"),
+    grids = tiles.to_tiles(base.raster(spark, d, "dem"), 16).select(F.lit("dem").alias("raster"), F.lit(SURFACE_GRID.srid).alias("srid"), F.lit(SURFACE_GRID.cell).alias("cell"),
                          (F.lit(SURFACE_GRID.x0) + c("tcol") * size).alias("x0"), (F.lit(SURFACE_GRID.y0) - c("trow") * size).alias("y0"))
     return raster.tile_constraints(grids)
 
@@ -323,7 +337,7 @@ score AS (SELECT cb.id, CAST(ROUND_EVEN(GREATEST(0.0, LEAST(100.0, 50.0 - COALES
 def _scores(spark, d):
     b = base.buildings(spark, d).withColumn("area_m2", g.rounded_area(c("geom")))
     access = layers.buildings_road_access(base.buildings(spark, d), base.roads(spark, d))
-    return layers.land_suitability(b, access, base.raster(spark, d, "slope"), SURFACE_GRID)
+    return layers.land_suitability(b, access, base.tiles(spark, d, "slope"), SURFACE_GRID)
 
 
 @query("l10_land_suitability", f"{_SCORES} SELECT id, suitability_score FROM score", (B, R, G))
@@ -496,7 +510,7 @@ _LIDAR = f"""{_NDSM}, lidar AS (SELECT z.id, z.height_m, AVG(n.v) AS mean, MAX(n
 
 
 def _lidar(spark, d):
-    return layers.buildings_lidar_height(base.roofs(spark, d), _ndsm(spark, d), POINT_GRID)
+    return layers.buildings_lidar_height(base.roofs(spark, d), stored(tiles.to_tiles(_ndsm(spark, d)), "ndsm"), POINT_GRID)
 
 
 @query("l8_lidar_heights", f"{_LIDAR} SELECT id, ROUND(mean, 6) AS lidar_height_m, ROUND(top, 6) AS lidar_max_m, n AS pixel_count FROM lidar", (P, K))

@@ -109,6 +109,15 @@ good AS (SELECT DISTINCT id, highway, y FROM runs WHERE lo <= x0 AND hi >= x1),
 inside AS (SELECT id, highway FROM good GROUP BY 1, 2
   HAVING COUNT(*) = (SELECT COUNT(DISTINCT y) FROM heights WHERE heights.id = good.id))"""
 
+# transverse Mercator of zone 13, spelled out from the published series
+_TERMS = [(f"cos({2*j}*xi)*sinh({2*j}*eta)*{a!r}", f"sin({2*j}*xi)*cosh({2*j}*eta)*{a!r}") for j, a in enumerate(pj._ALPHA, 1)]
+def forward_utm(source: str) -> str:
+    """Easting and northing of the points (lon, lat) of a table."""
+    return f"""SELECT (eta+{"+".join(e for e, _ in _TERMS)})*{pj._R!r}+{pj._E0!r} AS east, (xi+{"+".join(n for _, n in _TERMS)})*{pj._R!r} AS north FROM (
+  SELECT atan2(tau, cos(dl)) AS xi, asinh(sin(dl)/sqrt(tau*tau+cos(dl)*cos(dl))) AS eta FROM (
+    SELECT radians(lon+105.0) AS dl, sinh(atanh(sin(radians(lat)))-{pj._E!r}*atanh({pj._E!r}*sin(radians(lat)))) AS tau FROM {source}))"""
+
+
 # inverse transverse Mercator, spelled out from the published series
 _XI, _ETA = f"(y0/{pj._R!r})", f"((x0-{pj._E0!r})/{pj._R!r})"
 _XP = f"{_XI}-" + "-".join(f"{b!r}*sin({2*j}*{_XI})*cosh({2*j}*{_ETA})" for j, b in enumerate(pj._BETA, 1))
