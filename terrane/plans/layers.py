@@ -12,7 +12,7 @@ from terrane.functions import attributes as at
 from terrane.functions import geometry as g
 from terrane.functions import predicates as pred
 from terrane.functions.simplify import simplify
-from terrane.operators import cluster, filters, joins, raster, tiles, zones
+from terrane.operators import cluster, filters, joins, outlines, raster, tiles, zones
 from terrane.schema import (AREAL_KINDS, BBOX_COLUMNS, BUILDING_MIN_M2, LANDUSE_MIN_M2, ROAD_BUFFER_M, SLIVER_M2,
                             UTM13N, Grid)
 from terrane.sources.vector import read_layer, standardise
@@ -168,6 +168,11 @@ def buildings_map(buildings: DataFrame, heights: DataFrame, clusters: DataFrame,
     return simplify(joined, tolerance).withColumn("colour", at.height_colour(F.col("lidar_height_m")))
 
 
+def zones_map(runs: DataFrame, by: list[str]) -> DataFrame:
+    """Export table of buffer zones: their polygons, exact on the scan lines."""
+    return outlines.polygons(runs, by)
+
+
 def suitability_map(scores: DataFrame, tolerance: float) -> DataFrame:
     return simplify(scores, tolerance).withColumn("colour", at.score_colour(F.col("suitability_score")))
 

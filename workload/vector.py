@@ -551,6 +551,21 @@ def l6(spark, d):
     return zones.zone_area(runs, ["highway"]).select("highway", "area_km2").orderBy(F.desc("area_km2"))
 
 
+# boxes less the overlaps of neighbouring lines: shells less holes
+@query("l11_zones_map", f"""{sqltext.ZONE_RUNS},
+box AS (SELECT highway, COUNT(*) AS n, ROUND(SUM(hi - lo) * 5.0 / 1e6, 3) AS area_km2 FROM runs GROUP BY 1),
+overlap AS (SELECT a.highway, COUNT(*) AS n FROM runs a JOIN runs b ON a.highway = b.highway AND b.k = a.k + 1 AND a.lo < b.hi AND b.lo < a.hi GROUP BY 1)
+SELECT highway, area_km2, CAST(box.n - COALESCE(overlap.n, 0) AS BIGINT) AS shells_less_holes FROM box LEFT JOIN overlap USING (highway)""", (R,))
+def l11_zones(spark, d):
+    """Zone polygons written as GeoJSON and read back."""
+    runs = stored(layers.road_influence(stored(layers.raw_roads(base.roads(spark, d, False)))))
+    path = scratch_path(spark, "zones")
+    src.write_features(layers.zones_map(runs, ["highway"]), path, ["highway"], digits=11)
+    back = src.standardise(src.read_features(spark, path, "highway string"))
+    rings = back.select("highway", g.area(c("geom")).alias("a"), F.size(g.paths(c("geom"))).alias("rings"))
+    return rings.groupBy("highway").agg(F.round(F.sum("a") / 1e6, 3).alias("area_km2"), F.sum(F.lit(2) - c("rings")).cast("long").alias("shells_less_holes"))
+
+
 @query("l7_buildings_near_roads", f"""{sqltext.IN_ZONE}
 SELECT COUNT(*) AS buildings_near_roads, ROUND(AVG({sqltext.HEIGHT}), 1) AS avg_height_m,
   ROUND(CAST(SUM(w * h) AS DOUBLE)) AS total_footprint_m2, COUNT(DISTINCT id) AS distinct_buildings
