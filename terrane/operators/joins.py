@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.functions import geometry as g
@@ -18,6 +18,7 @@ BOX = list(BBOX_COLUMNS)
 # 9 * (FACTOR**k + 2)**2 cells on level top-k, so a few ten thousand rows.
 BROADCAST_LEVELS = 3
 NEAREST_SHARES = 8
+LOCAL_ROWS = 64      # features in an occupied cell, on average, up to which its level counts as fine
 
 
 def within_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -97,37 +98,79 @@ def _pyramid(points: DataFrame, levels: list[int]) -> DataFrame:
     return lent.groupBy("level", "cx", "cy").agg(F.min("p").alias("p"))
 
 
-def search_radius(left: DataFrame, right: DataFrame) -> DataFrame | None:
-    """(id, reach): a distance the nearest right feature is sure to lie within.
-
-    The bound is the distance to a real vertex of the right side found in the
-    finest occupied cell around the query, so dense places get small circles and
-    empty places large ones. ``None`` if the right side is empty.
-    """
-    points = right.select(g.first_vertex(F.col("geom")).alias("v")).select("v.x", "v.y")
+def _span(points: DataFrame):
+    """(corners, a point, top level) of the right side; the point is null without rows."""
     ext = points.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"),
                      F.max("y").alias("y1"), F.min(F.struct("x", "y")).alias("p")).first()
     if ext["p"] is None:
-        return None
+        return None, None
     span = max(ext["x1"] - ext["x0"], ext["y1"] - ext["y0"], 1.0)
-    top = max(1, math.ceil(math.log(span, FACTOR)))
+    return ext["p"], max(1, math.ceil(math.log(span, FACTOR)))
+
+
+def search_radius(left: DataFrame, points: DataFrame, some, top: int) -> DataFrame:
+    """(id, reach, level): a distance the nearest right feature is sure to lie within.
+
+    The bound is the distance to a real vertex of the right side (``points``) found in the
+    finest occupied cell around the query, so dense places get small circles and
+    empty places large ones. ``level`` is that cell's, top + 1 where there is none.
+    """
     split = max(0, top - BROADCAST_LEVELS)
     query = left.select("id", g.first_vertex(F.col("geom")).alias("v")).select("id", "v.x", "v.y")
     gap = F.hypot(F.col("x") - F.col("p.x"), F.col("y") - F.col("p.y"))
 
     coarse = _vertex_cells(query, list(range(split, top + 1))).join(
         F.broadcast(_pyramid(points, list(range(split, top + 1)))), ["level", "cx", "cy"])
-    hits = coarse.select("id", gap.alias("reach"))
+    hits = coarse.select("id", gap.alias("reach"), "level")
     if split > 0:
         shares = F.array(*[F.lit(v) for v in range(NEAREST_SHARES)])
         fine = (_vertex_cells(query, list(range(split)))
                 .withColumn("share", F.pmod(F.xxhash64("id"), F.lit(NEAREST_SHARES)).cast("int"))
                 .join(_pyramid(points, list(range(split))).withColumn("share", F.explode(shares)),
                       ["level", "cx", "cy", "share"]))
-        hits = hits.unionByName(fine.select("id", gap.alias("reach")))
-    far = query.select("id", F.hypot(F.col("x") - F.lit(ext["p"]["x"]),
-                                     F.col("y") - F.lit(ext["p"]["y"])).alias("reach"))
-    return hits.unionByName(far).groupBy("id").agg(F.min("reach").alias("reach"))
+        hits = hits.unionByName(fine.select("id", gap.alias("reach"), "level"))
+    far = query.select("id", F.hypot(F.col("x") - F.lit(some["x"]), F.col("y") - F.lit(some["y"])).alias("reach"), F.lit(top + 1).alias("level"))
+    return hits.unionByName(far).groupBy("id").agg(F.min("reach").alias("reach"), F.min("level").alias("level"))
+
+
+def _fine_level(points: DataFrame, top: int) -> int:
+    """The coarsest level whose occupied cells hold LOCAL_ROWS features on average."""
+    cells = [F.approx_count_distinct(F.struct(*[F.floor(F.col(v) / FACTOR**level) for v in ("x", "y")])).alias(f"n{level}") for level in range(top + 1)]
+    n = points.agg(F.count(F.lit(1)).alias("rows"), *cells).first()
+    return max([0, *[level for level in range(top + 1) if n["rows"] <= LOCAL_ROWS * n[f"n{level}"]]])
+
+
+def _pairs_by_bounds(queries: DataFrame, right: DataFrame, fine: int, top: int) -> DataFrame:
+    """Pairs (l_id, l_geom, r_id, r_geom) that hold the nearest right feature of each query, by branch and bound.
+
+    Right features belong to the cell of their first vertex; a cell knows the box of its features and one of
+    their vertices. From the top level down, each query keeps the cells whose box is not farther than the
+    nearest known vertex, so of a far layer only its near front is ever looked at.
+    """
+    def cell(v, level):
+        return F.floor(F.col(v) / FACTOR**level)
+
+    def merged(df):
+        return df.agg(*[(F.min if c.endswith("min") else F.max)(c).alias(c) for c in BOX], F.min("p").alias("p"))
+    own = stored(right.select("id", "geom", *BOX, g.first_vertex(F.col("geom")).alias("p")).select("*", "p.x", "p.y")
+                 .withColumns({"cx": cell("x", fine), "cy": cell("y", fine)}), "nearest-cells")
+    nodes = {fine: stored(merged(own.groupBy("cx", "cy")), "nearest-nodes")}
+    for level in range(fine + 1, top + 1):
+        nodes[level] = stored(merged(nodes[level - 1].groupBy(*[F.floor(F.col(c) / int(FACTOR)).alias(c) for c in ("cx", "cy")])), "nearest-nodes")
+    state = queries.select("id", *[F.col(c).alias("q" + c) for c in BOX], g.first_vertex(F.col("geom")).alias("v"))
+    ids = state.crossJoin(F.broadcast(nodes[top].select("cx", "cy")))      # at most four cells: the extent is no wider than one
+    box, query = {c: F.col(c) for c in BOX}, {c: F.col("q" + c) for c in BOX}
+    for level in range(top, fine - 1, -1):
+        seen = ids.join(nodes[level], ["cx", "cy"])
+        nearest = F.min(F.hypot(F.col("v.x") - F.col("p.x"), F.col("v.y") - F.col("p.y"))).over(Window.partitionBy("id"))
+        kept = stored(seen.withColumn("best", nearest * (1 + 1e-9) + 1e-6).filter(g.bbox_distance(query, box) <= F.col("best"))
+                      .drop(*BOX, "p"), "nearest-kept")
+        part = F.array(*[F.lit(k) for k in range(int(FACTOR))])
+        ids = (kept.drop("best").withColumn("i", F.explode(part)).withColumn("j", F.explode(part))
+               .withColumns({"cx": F.col("cx") * int(FACTOR) + F.col("i"), "cy": F.col("cy") * int(FACTOR) + F.col("j")}).drop("i", "j"))
+    near = (kept.join(own.withColumnsRenamed({"id": "r_id", "geom": "r_geom"}), ["cx", "cy"])
+            .filter(g.bbox_distance(query, box) <= F.col("best")).select(F.col("id").alias("l_id"), "r_id", "r_geom"))
+    return near.join(queries.select(F.col("id").alias("l_id"), F.col("geom").alias("l_geom")), "l_id")
 
 
 def nearest_join(left: DataFrame, right: DataFrame, how: str = "left", digits: int | None = 1) -> DataFrame:
@@ -137,15 +180,21 @@ def nearest_join(left: DataFrame, right: DataFrame, how: str = "left", digits: i
     no partner (empty right side) with nulls, ``'inner'`` drops it.
     """
     ids = left.select("id")
-    bounds = search_radius(left, right)
-    if bounds is None:
+    points = right.select(g.first_vertex(F.col("geom")).alias("v")).select("v.x", "v.y")
+    some, top = _span(points)
+    if some is None:
         empty = ids.select("id", F.lit(None).cast("long").alias("nearest_id"),
                            F.lit(None).cast("double").alias("dist"))
         return empty if how == "left" else empty.filter(F.lit(False))
     # a hair wider, so that rounding of the box arithmetic cannot lose the bound's own feature
-    probe = left.select("id", "geom", *BOX).join(bounds, "id")
-    probe = stored(grow(probe.withColumn("reach", F.col("reach") * (1 + 1e-9) + 1e-6), F.col("reach")), "probe")
-    pairs = candidate_pairs(probe, right.select("id", "geom", *BOX))
+    probe = left.select("id", "geom", *BOX).join(search_radius(left, points, some, top), "id")
+    probe = stored(probe.withColumn("reach", F.col("reach") * (1 + 1e-9) + 1e-6), "probe")
+    fine = _fine_level(points, top)
+    close = F.col("level") <= fine + 1
+    pairs = candidate_pairs(grow(probe.filter(close).drop("level"), F.col("reach")), right.select("id", "geom", *BOX)).select("l_id", "l_geom", "r_id", "r_geom")
+    far = probe.filter(~close).drop("reach", "level")
+    if not far.isEmpty():
+        pairs = pairs.unionByName(_pairs_by_bounds(far, right, fine, top).select("l_id", "l_geom", "r_id", "r_geom"))
     scored = pairs.select(F.col("l_id").alias("id"), F.struct(
         pred.distance(F.col("l_geom"), F.col("r_geom")).alias("dist"), F.col("r_id").alias("rid")).alias("best"))
     best = scored.groupBy("id").agg(F.min("best").alias("best"))
