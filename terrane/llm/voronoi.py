@@ -5,12 +5,14 @@ length, a row x gets one more component sqrt(M^2 - |x|^2) and a query one of 0;
 |q - x|^2 = |q|^2 + M^2 - 2 q.x, so the nearest rows are those of the largest inner
 product. Queries and rows are assigned to their nearest pivot. Summaries per cell
 (radius, rows, the k smallest distances to the pivot) bound, for each query cell,
-the distance of every query's k-th neighbour; a row is sent to a group of query
-cells only if the triangle inequality leaves it within that bound. Groups are
-solved in tiles of bounded size, and the tiles' top k are merged.
-
-Pivots are a sample of at most ``PIVOTS`` rows by hash; pivots and summaries, at
-most ``PIVOTS`` * (k + dimensions) numbers, are all that the driver holds. Distances
+the distance of every query's k-th neighbour; a row is sent to a query cell only
+if the triangle inequality leaves it within that bound. What a query cell needs is
+counted first; its queries and its rows are dealt over groups and tiles of bounded
+size, and the tiles' top k are merged.
+
+Pivots are a sample of rows by hash, as many as the root of the rows and at most
+``PIVOTS``; pivots and summaries, at most ``PIVOTS`` * (``PIVOTS`` + k + dimensions)
+numbers, are all that the driver holds. Distances
 are floating point, so bounds are widened by ``SLACK``; scores are integers, by
 float products where these are exact and by 64-bit integers elsewhere.
 
@@ -35,13 +37,12 @@ from pyspark.sql import functions as F
 from terrane.llm.sampling import sampled
 from terrane.session import stored
 
-PIVOTS = 256
+PIVOTS = 1024
 K = 20
 QUERY_STEP = 20            # rows whose id is divisible by this are the queries
 GROUP_QUERIES = 2048       # queries of one group
 TILE_ROWS = 8192           # data rows of one tile
 SLACK = 1e-6
-OWN_ROWS = 64              # rows of one query id up to which the bound is computed; beyond, every row is sent
 EXACT = float(1 << 52)
 
 
@@ -145,6 +146,8 @@ def search(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP) -> Data
         dim, longest = max(1, dim or 0), longest or 0.0
         if not n:
             return empty
+    if longest >= float(1 << 63):
+        raise ValueError("the largest score does not fit into 64 bits")
     chosen = sampled(rows, "vec_id", min(PIVOTS, max(1, math.isqrt(n)))).collect()
     pivots = np.zeros((len(chosen), dim + 1))
     for i, r in enumerate(chosen):
@@ -158,43 +161,34 @@ def search(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP) -> Data
     radius = np.full(len(pivots), -1.0)
     for cell, r in q_stats.items():
         radius[cell] = r.radius
-    # a query's own rows are among the data, so that many neighbours more are asked for; with very many there is no bound
-    own = placed.filter("query").groupBy("vec_id").count().agg(F.max("count")).first()[0]
+    # of k + 1 rows with different ids at most one has the query's own
+    ranked = F.row_number().over(Window.partitionBy("cell").orderBy("dist"))
     near: dict[int, list[float]] = {}
-    if own <= OWN_ROWS:
-        ranked = F.row_number().over(Window.partitionBy("cell").orderBy("dist"))
-        for r in placed.filter("not query").select("cell", "dist", ranked.alias("r")).filter(F.col("r") <= k + own).collect():
-            near.setdefault(r.cell, []).append(r.dist)
-    theta = bounds(pivots, radius, near, k + own)
-    # cells in hash order of their pivots are packed into groups; a crowded cell is dealt over several
+    for r in (placed.filter("not query").groupBy("cell", "vec_id").agg(F.min("dist").alias("dist")).select("cell", "dist", ranked.alias("r"))
+              .filter(F.col("r") <= k + 1).collect()):
+        near.setdefault(r.cell, []).append(r.dist)
+    theta = bounds(pivots, radius, near, k + 1)
     slack = SLACK * (math.sqrt(longest) + 1)
-    groups, at, filled = [], 0, 0
-    for cell, r in sorted(q_stats.items()):
-        shares = max(1, math.ceil(r.n / GROUP_QUERIES))
-        if filled and filled + r.n > GROUP_QUERIES:
-            at, filled = at + 1, 0
-        groups += [(cell, at + i, shares) for i in range(shares)]
-        at, filled = (at + shares, 0) if shares > 1 else (at, filled + r.n)
     between = np.sqrt(np.maximum(((pivots[:, None, :] - pivots[None, :, :]) ** 2).sum(2), 0))
-    # a row of cell j at distance s from its pivot is needed in group g if s >= least: |p_i p_j| - radius_i - theta_i over g's cells
-    least = {}
-    for cell, g, _ in groups:
-        need = between[cell] - radius[cell] - theta[cell] - slack
-        least[g] = np.minimum(least.get(g, np.inf), need)
-    wanted = [(j, g, float(least[g][j])) for g in least for j in range(len(pivots))]
-    wanted = spark.createDataFrame(wanted, "cell int, grp int, least double")
-    dealt = spark.createDataFrame(groups, "cell int, grp int, shares int")
-    queries = (placed.filter("query").join(F.broadcast(dealt.groupBy("cell").agg(F.min("grp").alias("first"), F.first("shares").alias("shares"))), "cell")
-               .select("vec_id", "v", (F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("shares")).cast("int")).alias("grp")))
-    tiles = max(1, math.ceil(n / TILE_ROWS))
+    # query cell i needs a row of cell j at distance s from its pivot if s >= least: |p_i p_j| - radius_i - theta_i
+    least = spark.createDataFrame([(i, (between[i] - radius[i] - theta[i] - slack).tolist()) for i in sorted(q_stats)], "grp int, least array<double>")
+    far = placed.filter("not query").groupBy("cell").agg(F.max("dist").alias("far"))
+    wanted = least.select("grp", F.posexplode("least").alias("cell", "least")).join(F.broadcast(far), "cell").filter("far >= least").select("cell", "grp", "least")
+    wanted = F.broadcast(stored(wanted, "wanted"))        # at most one row for each pair of pivots
+    tiles = F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / TILE_ROWS)).cast("int")
+    needed = placed.filter("not query").select("cell", "dist").join(wanted, "cell").filter("dist >= least").groupBy("grp").agg(tiles.alias("tiles"))
+    shares = spark.createDataFrame([(i, math.ceil(r.n / GROUP_QUERIES)) for i, r in q_stats.items()], "grp int, shares int")
+    plan = F.broadcast(stored(shares.join(needed, "grp"), "plan"))    # one row for each query cell
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    spread = (placed.filter("query").withColumnRenamed("cell", "grp").join(plan, "grp").withColumn("tile", every("tiles"))
+              .select("vec_id", "v", "grp", F.pmod(F.xxhash64("vec_id"), F.col("shares")).cast("int").alias("share"), "tile"))
     numbered = placed.filter("not query").withColumn("number", F.monotonically_increasing_id())  # rows of one id are dealt over all tiles
-    data = (numbered.join(F.broadcast(wanted), "cell").filter("dist >= least")
-            .select(F.col("vec_id").alias("x_id"), F.col("v").alias("x"), F.col("grp").alias("x_grp"),
-                    F.pmod(F.xxhash64("number"), F.lit(tiles)).cast("int").alias("x_tile")))
-    spread = queries.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
+    data = (numbered.join(wanted, "cell").filter("dist >= least").join(plan, "grp").withColumn("x_share", every("shares"))
+            .select(F.col("vec_id").alias("x_id"), F.col("v").alias("x"), F.col("grp").alias("x_grp"), "x_share",
+                    F.pmod(F.xxhash64("number"), F.col("tiles")).cast("int").alias("x_tile")))
 
     def solve(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         return _top(q, x, dim, k)
-    local = spread.groupBy("grp", "tile").cogroup(data.groupBy("x_grp", "x_tile")).applyInPandas(solve, "query_id long, vec_id long, score long")
+    local = spread.groupBy("grp", "share", "tile").cogroup(data.groupBy("x_grp", "x_share", "x_tile")).applyInPandas(solve, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return local.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
