@@ -24,7 +24,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DIM = 1 << 12
@@ -176,8 +176,12 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     if not rates:
         return None
     rate = docs.sparkSession.createDataFrame(list(rates.items()), "lang string, rate double")
-    chance = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 20)) / float(1 << 20)
-    drawn = known.select("doc_id", "lang", "text").join(F.broadcast(rate), "lang").filter(chance < F.col("rate")).select("lang", "text")
+    place = F.xxhash64("doc_id", "text", F.lit(9))
+    chance = F.pmod(place, F.lit(1 << 20)) / float(1 << 20)
+    drawn = known.select("doc_id", "lang", "text").join(F.broadcast(rate), "lang").filter(chance < F.col("rate"))
+    # repeated rows are drawn together: no more than twice the documents asked for, whatever they are
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))
+    drawn = drawn.withColumn("place", place).withColumn("turn", turn).filter(F.col("turn") <= 2 * per_language).select("lang", "text")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
