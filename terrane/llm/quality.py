@@ -28,7 +28,7 @@ from terrane.llm import words as W
 from terrane.llm.sampling import sampled
 from terrane.session import stored
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 16
 SAMPLE = 20_000          # labelled documents used at most, by hash order
 SMOOTHING = 0.5
 NOISE_SEED = 5
@@ -57,10 +57,16 @@ def _shapes(raw: np.ndarray, w: W.Words) -> np.ndarray:
 
 
 def _features(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """(row, bucket) of every n-gram: words, shapes, pairs of shapes, and words repeated within four."""
+    """(row, bucket) of every n-gram: runs of one to three words, shapes, pairs of shapes, and words repeated within four."""
     w = W.Words(raw, off, fold=False)
     shape = _shapes(raw, w)
     doc, value = [w.doc, w.doc], [w.hash, shape ^ np.uint64(0x5851F42D4C957F2D)]
+    gram = w.hash
+    for n in range(1, 3):
+        gram = W.mix(gram[:-1] * np.uint64(0x9FB21C651E98DF25) + w.hash[n:])
+        whole = w.doc[n:] == w.doc[:-n]
+        doc.append(w.doc[n:][whole])
+        value.append(gram[whole])
     pair = w.doc[1:] == w.doc[:-1]
     doc.append(w.doc[1:][pair])
     value.append(W.mix(shape[:-1][pair] * np.uint64(3) + shape[1:][pair]))
@@ -174,8 +180,8 @@ def select(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Da
     ratio = fit(docs, chosen)
     scored = weigh(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left").select("doc_id", "text", "quality"), ratio)
     scores = stored(scored.select("doc_id", "quality", "log_weight", (F.col("log_weight") + _gumbel("doc_id")).alias("key")), "quality-scores")
-    known = np.array([(r.log_weight, r.quality) for r in scores.filter("quality is not null").dropDuplicates(["doc_id"])
-                      .select("log_weight", "quality").collect()], float).reshape(-1, 2)
+    known = scores.filter("quality is not null").groupBy("doc_id").agg(F.min("log_weight").alias("log_weight"), F.min("quality").alias("quality"))
+    known = np.array([(r.log_weight, r.quality) for r in known.collect()], float).reshape(-1, 2)
     tau = threshold(known[:, 0], known[:, 1])
     if tau == -math.inf:
         return scores, ratio, -math.inf
