@@ -1,7 +1,9 @@
 """Secrets: base patterns, and strings that a primed zstandard compressor finds new.
 
-A candidate is a whole run of token characters, of any length, that begins within
-``REACH`` code points after a word of sensitive meaning. Its novelty is what it adds to the
+A candidate is a whole run of token characters, of any length and at least
+``MIN_CHARS``, that begins within ``REACH`` code points after a word of sensitive
+meaning. A run that assigns a value to a name (``key=value``) or goes on after the
+sensitive word (``bearer/value``) counts from the value on. Its novelty is what it adds to the
 compressed size of its surroundings: the text before it, with a dictionary of
 identifiers as the compressor's prefix. Names, paths, repeated words and
 placeholders cost little; random keys cost about their entropy. Candidates of
@@ -47,6 +49,9 @@ _HEX_HINT = re.compile(r"[0-9a-f]{24}")
 _CONTEXT = re.compile(r"passw(?:or)?d|pwd|secret|token|credential|private.?key|api.?key|auth|bearer|access.?key|signature|client.?id|connection.?string", re.IGNORECASE)
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]")
 _RUN = re.compile(r"[A-Za-z0-9+/_.=-]++")
+# what stands before the value in a run: a name with =, or what is left of the sensitive word's name with = or /
+_ASSIGNED = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]{0,63}+=(?=[A-Za-z0-9+/_.-])")
+_GOES_ON = re.compile(r"[A-Za-z0-9_.-]{0,64}+[=/]++(?=[A-Za-z0-9+_.-])")
 IDENTIFIERS = ("password passwd secret token api_key apikey access_key secret_key private_key client_id client_secret username user_name "
                "authorization bearer basic session cookie signature connection_string localhost example.com changeme placeholder your_token_here "
                "xxxxxxxxxxxxxxxx 0123456789abcdef abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 1234567890 import export return function "
@@ -83,13 +88,19 @@ class Novelty:
 
 def candidates(text: str) -> Iterator[tuple[int, int]]:
     """Token runs of MIN_CHARS and more that begin within REACH of the end of a sensitive word."""
-    last = -1
+    last = free = -1
     for word in _CONTEXT.finditer(text):
-        for m in _CANDIDATE.finditer(text, max(word.end(), last + 1), word.end() + REACH + 1):
-            last = m.start()
-            end = _RUN.match(text, last).end()
-            if end - last >= MIN_CHARS:
-                yield last, end
+        at = word.end()
+        inside = _GOES_ON.match(text, at)
+        starts = [inside.end()] if inside else []
+        for m in _CANDIDATE.finditer(text, max(at, last + 1), at + REACH + 1):
+            name = _ASSIGNED.match(text, m.start())
+            starts.append(name.end() if name else m.start())
+        for start in starts:
+            if start > last and start >= free:
+                last, free = start, _RUN.match(text, start).end()
+                if free - start >= MIN_CHARS:
+                    yield start, free
 
 
 def novelty_of(text: str, a: int, b: int, novelty: Novelty) -> float:
