@@ -4,10 +4,11 @@ A tokenizer reads tags, comments, and raw-text elements; a tree builder adds imp
 tags (an open p ends before a block, an li before the next li, cells and rows
 imply each other, mis-nested and missing end tags are resolved by the stack of open
 elements); elements that no browser shows (head, script, style, template, hidden ones, titles and
-definitions in svg, annotations in math) give no text; text directly in a row stands before its table. The renderer walks the tree: blocks stand on lines of their own, paragraphs,
+definitions in svg, annotations in math) give no text, nor does text that is not visible, though elements in it that are made
+visible again do; text directly in a row stands before its table. The renderer walks the tree: blocks stand on lines of their own, paragraphs,
 headings, lists and tables are set off by an empty line, list items get their marker and
-are indented by depth, table cells are padded to the width of their column, and white
-space is folded except in pre and textarea.
+are indented by depth, table cells are padded to the width of their column, and a table's head comes first and its foot last, cells that span rows
+or columns keep their place; white space is folded except in pre and textarea.
 
 Defined results: null stays null; an empty page, or one without visible text, gives
 an empty text; plain text without tags is kept; unfinished tags at the end are
@@ -18,7 +19,7 @@ Depth is unlimited (no recursion).
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -62,15 +63,21 @@ BULLET = "* "
 _TOKEN = re.compile(r"<(?:!--(?P<comment>.*?)(?:--!?>|\Z)|(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?P<close>>|\Z)"
                     r"|(?P<bogus>[!?/][^>]*+)(?:>|\Z))", re.DOTALL)
 _ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
+_INVISIBLE = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.IGNORECASE)
+MAX_COLSPAN, MAX_ROWSPAN = 1000, 65534   # fixed values of the HTML standard
 _BLANK = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("name", "attrs", "children", "hidden")
+    """An element; ``hidden`` ones are left out whole, of those that are not ``seen`` the text, but not elements made visible again."""
 
-    def __init__(self, name: str, attrs: dict[str, str]):
+    __slots__ = ("name", "attrs", "children", "hidden", "seen")
+
+    def __init__(self, name: str, attrs: dict[str, str], seen: bool = True):
         self.name, self.attrs, self.children = name, attrs, []
+        own = _VISIBILITY.findall(attrs.get("style", ""))
+        self.seen = own[-1].lower() == "visible" if own else seen
         self.hidden = name in HIDDEN and not (name == "dialog" and "open" in attrs) or "hidden" in attrs or (
             name == "input" and attrs.get("type", "").lower() == "hidden") or bool(_INVISIBLE.search(attrs.get("style", "")))
 
@@ -89,7 +96,7 @@ def parse(html: str) -> Node:
     depth = {"html": 1}
 
     def push(name: str, attrs: dict[str, str]) -> None:
-        node = Node(name, attrs)
+        node = Node(name, attrs, open_[-1].seen)
         node.hidden = node.hidden or name in FOREIGN_HIDDEN and any(depth.get(x) for x in FOREIGN)
         open_[-1].children.append(node)
         open_.append(node)
@@ -276,65 +283,124 @@ class _Lines:
         self.gap = 1
 
 
-def _cells(table: Node) -> tuple[list[Node], list[list[Node]]]:
-    """(captions, rows of cells) of a table; nested tables belong to their cell."""
-    captions, rows, todo = [], [], list(reversed(table.children))
+def _stray(text: str, parent: Node) -> list[Node]:
+    """Text that stands directly in a table or a row goes before the table."""
+    if not text.strip() or not parent.seen:
+        return []
+    node = Node("caption", {})
+    node.children = [text]
+    return [node]
+
+
+def _cells(table: Node) -> tuple[list[Node], list[list[list[Node]]]]:
+    """(captions, sections of rows of cells) of a table: its head first, its foot last; nested tables belong to their cell."""
+    captions: list[Node] = []
+    sections: dict[int, list[list[list[Node]]]] = {0: [], 1: [[]], 2: []}
+
+    def row(n: Node) -> list[Node]:
+        for c in n.children:
+            if isinstance(c, str):
+                captions.extend(_stray(c, n))
+        return [c for c in n.children if not isinstance(c, str) and not c.hidden]
+    todo = [(c, table) for c in reversed(table.children)]
     while todo:
-        n = todo.pop()
+        n, parent = todo.pop()
         if isinstance(n, str):
-            if n.strip():
-                stray = Node("caption", {})
-                stray.children = [n]
-                captions.append(stray)
-        elif n.hidden:
+            captions.extend(_stray(n, parent))
+        elif n.hidden or n.name in ("col", "colgroup"):
             continue
         elif n.name == "tr":
-            rows.append([c for c in n.children if not isinstance(c, str) and not c.hidden])
-            for c in n.children:
-                if isinstance(c, str) and c.strip():
-                    stray = Node("caption", {})
-                    stray.children = [c]
-                    captions.append(stray)
+            sections[1][-1].append(row(n))
         elif n.name in ("tbody", "thead", "tfoot"):
-            todo.extend(reversed(n.children))
-        elif n.name not in ("col", "colgroup"):
+            place = {"thead": 0, "tfoot": 2}.get(n.name, 1)
+            own = sections[1 if sections[place] and place != 1 else place]    # a second head or foot is a body
+            own.append([])
+            for c in n.children:
+                if isinstance(c, str):
+                    captions.extend(_stray(c, n))
+                elif c.name == "tr" and not c.hidden:
+                    own[-1].append(row(c))
+                elif c.name != "tr":
+                    todo.append((c, n))
+            sections[1].append([])
+        else:
             captions.append(n)
-    return captions, rows
+    return captions, [section for place in range(3) for section in sections[place] if section]
+
+
+def _span(cell: Node, name: str, most: int) -> int:
+    text = cell.attrs.get(name, "")
+    return max(1, min(most, int(text))) if text.isdecimal() and len(text) < 10 else 1
 
 
-def _table(out: _Lines, table: Node, depth: int) -> None:
-    captions, rows = _cells(table)
+def layout(section: list[list[Node]]) -> list[list[tuple[int, int, Node | None]]]:
+    """For each row its (column, columns, cell) from left to right; a cell from a row above is None there."""
+    out, taken = [], {}       # taken: first column -> (columns, rows left) of cells that reach down
+    for row in section:
+        here = [(at, n, None) for at, (n, _) in taken.items()]
+        busy = {at + i for at, n, _ in here for i in range(n)}
+        left = {at: (n, rows - 1) for at, (n, rows) in taken.items() if rows > 1}
+        at = 0
+        for cell in row:
+            while at in busy:
+                at += 1
+            n, rows = _span(cell, "colspan", MAX_COLSPAN), _span(cell, "rowspan", MAX_ROWSPAN)
+            here.append((at, n, cell))
+            if rows > 1:
+                left[at] = n, rows - 1
+            at += n
+        out.append(sorted(here, key=lambda c: c[0]))
+        taken = left
+    return out
+
+
+def _table(out: _Lines, table: Node) -> Generator[Node, list[str], None]:
+    captions, sections = _cells(table)
     for c in captions:
-        for line in render_lines(c, depth + 1):
+        for line in (yield c):
             out.text(line, keep=True)
             out.end()
-    grid = [[render_lines(c, depth + 1) for c in r] for r in rows]
-    spans = [[max(1, min(64, int(c.attrs["colspan"]))) if c.attrs.get("colspan", "").isdigit() else 1 for c in r] for r in rows]
+    rows = []
+    for section in sections:
+        for placed in layout(section):
+            row = []
+            for at, n, cell in placed:
+                row.append((at, n, (yield cell) if cell else []))
+            rows.append(row)
     width: dict[int, int] = {}
-    for row, span in zip(grid, spans):
-        at = 0
-        for cell, n in zip(row, span):
+    for row in rows:
+        for at, n, cell in row:
             if n == 1:
                 width[at] = max(width.get(at, 0), max(map(len, cell), default=0))
-            at += n
-    for row, span in zip(grid, spans):
-        for k in range(max(map(len, row), default=0)):
-            line, at = [], 0
-            for cell, n in zip(row, span):
+    for row in rows:
+        for k in range(max((len(cell) for _, _, cell in row), default=0)):
+            line, end = [], 0
+            for at, n, cell in row:
+                line += ["".ljust(width.get(i, 0)) for i in range(end, at)]
                 room = sum(width.get(at + i, 0) for i in range(n)) + 3 * (n - 1)
                 line.append((cell[k] if k < len(cell) else "").ljust(room))
-                at += n
+                end = at + n
             written = " | ".join(line).rstrip()
             if written.strip(" |"):
                 out.text(written, keep=True)
                 out.end()
 
 
-MAX_TABLES = 20  # tables nested deeper are rendered as blocks
+def render_lines(root: Node) -> list[str]:
+    """The lines of a subtree; what its tables hold is rendered first, on a stack of its own."""
+    stack, lines = [_render(root)], None
+    while stack:
+        try:
+            stack.append(_render(stack[-1].send(lines)))
+            lines = None
+        except StopIteration as done:
+            stack.pop()
+            lines = done.value
+    return lines
 
 
-def render_lines(root: Node, depth: int = 0) -> list[str]:
-    """The lines of a subtree."""
+def _render(root: Node) -> Generator[Node, list[str], list[str]]:
+    """The lines of a subtree; asks for those of the nodes it yields."""
     out, pre = _Lines(), 0
     # (node, entering, indent to restore)
     lists: list[list] = []
@@ -351,20 +417,20 @@ def render_lines(root: Node, depth: int = 0) -> list[str]:
             if name == "br":
                 out.end(force=True)
                 continue
-            if name == "hr":
+            if name == "hr" and n.seen:
                 out.space()
                 out.text("---")
                 out.space()
                 continue
-            if name == "img" and n.attrs.get("alt"):
+            if name == "img" and n.seen and n.attrs.get("alt"):
                 out.text(n.attrs["alt"])
                 continue
-            if name == "input" and n.attrs.get("value") and n.attrs.get("type", "text").lower() in ("text", "submit", "button", "reset", "search", "email", "url", "tel", "number"):
+            if name == "input" and n.seen and n.attrs.get("value") and n.attrs.get("type", "text").lower() in ("text", "submit", "button", "reset", "search", "email", "url", "tel", "number"):
                 out.text(" " + n.attrs["value"] + " ")
                 continue
-            if name == "table" and n is not root and depth < MAX_TABLES:
+            if name == "table" and n is not root:
                 out.space()
-                _table(out, n, depth)
+                yield from _table(out, n)
                 out.space()
                 continue
             if name in SPACED and not (name in ("ul", "ol", "menu", "dir") and lists):
@@ -386,7 +452,7 @@ def render_lines(root: Node, depth: int = 0) -> list[str]:
             elif name in ("pre", "textarea", "listing", "xmp"):
                 pre += 1
             todo.append((n, False))
-            todo.extend((c, True) for c in reversed(n.children))
+            todo.extend((c, True) for c in reversed(n.children) if n.seen or not isinstance(c, str))
         else:
             if name in ("ul", "ol", "menu", "dir"):
                 lists.pop()

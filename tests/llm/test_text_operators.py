@@ -356,6 +356,37 @@ def test_secrets_of_any_length_and_letters_only():
     assert list(secrets.candidates("token" * 50_000 + " " + "k" * 20)) == [(250_001, 250_021)]
 
 
+@pytest.mark.parametrize("before", ["private_key=", "pwd=", "signature=", "connection_string=", "bearer/", "auth: key=", "auth: ", "client_id_value=", "credential.name="])
+def test_the_value_of_an_assignment_in_one_run_is_a_candidate(before):
+    key = "Zx81kLmQp93vTy7RwB20qWc"
+    text = f"first {before}{key} then"
+    assert [(a, b) for a, b, _ in secrets.spans(text, secrets.Novelty([]))[1]] == [(6 + len(before), 6 + len(before) + len(key))]
+
+
+def naive_candidates(text):
+    """Whole runs after a word of sensitive meaning, from the value on where a name is assigned."""
+    runs = [m.span() for m in re.finditer(r"[A-Za-z0-9+/_.=-]+", text)]
+    out = set()
+    for w in secrets._CONTEXT.finditer(text):
+        for a, b in runs:
+            if w.end() <= a <= w.end() + secrets.REACH:
+                m = re.match(r"[A-Za-z_][A-Za-z0-9_.-]{0,63}=(?=[A-Za-z0-9+/_.-])", text[a:b])
+                out.add((a + (m.end() if m else 0), b))
+            elif a < w.end() < b and (m := re.match(r"[A-Za-z0-9_.-]{0,64}[=/]+(?=[A-Za-z0-9+_.-])", text[w.end():b])):
+                out.add((w.end() + m.end(), b))
+    return sorted((a, b) for a, b in out if b - a >= secrets.MIN_CHARS)
+
+
+def test_candidates_equal_brute_force():
+    rng, parts = random.Random(13), ["token", "pwd", "auth", "bearer", "=", "/", " ", ": ", "name", "k3Y" * 8, "abcdefghijklmnop", "+", ".", "é", "\n" + " " * 40]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 9)))
+        got, want = list(secrets.candidates(text)), naive_candidates(text)
+        # of candidates that overlap (a sensitive word within a value) the first stays
+        first = [s for i, s in enumerate(want) if not any(a < s[1] and s[0] < b for a, b in want[:i])]
+        assert [s for s in got if s not in want] == [] and set(first) <= set(got), (text, got, want)
+
+
 def test_padded_secret_in_many_copies_stays_new(spark):
     rng = random.Random(8)
     draw = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_") for _ in range(n))
@@ -386,6 +417,41 @@ def test_quality_keeps_good_documents(spark):
     assert quality.keep(docs, lab.limit(0)).count() == docs.count() and quality.keep(docs.limit(0), lab).count() == 0
 
 
+def test_features_are_counted_as_by_hand():
+    import pyarrow as pa
+    texts = ["one two three one two three", "", "a", "b a", "one two three one two three"]
+    (_, _, raw, off), = words.slices(pa.array(texts))
+    doc, bucket, rows = quality._features(raw, off)
+    w = [t.split() for t in texts]
+    repeats = lambda x: sum(x[i] == x[i - lag] for lag in range(1, 5) for i in range(lag, len(x)))
+    want = [2 * len(x) + 2 * max(0, len(x) - 1) + max(0, len(x) - 2) + repeats(x) for x in w]
+    assert rows == 5 and np.bincount(doc, minlength=5).tolist() == want
+    assert sorted(bucket[doc == 0]) == sorted(bucket[doc == 4])
+
+
+def test_weights_and_draw_equal_brute_force(spark):
+    rng = random.Random(15)
+    rows = [(i, prose(rng, rng.randint(5, 60)) + ("!!! $$$ %%%" * 3 if i % 4 == 0 else ".")) for i in range(200)]
+    labels = [(i, int(i % 4 != 0), 0) for i in range(120)]
+    docs, lab = frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    import pyarrow as pa
+    counts, target, own = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS), {}
+    for i, text in rows:
+        (_, _, raw, off), = words.slices(pa.array([text]))
+        own[i] = np.bincount(quality._features(raw, off)[1], minlength=quality.BUCKETS)
+        counts += own[i]
+        target += own[i] * (i < 120 and i % 4 != 0)
+    logp = lambda c: np.log(c + quality.SMOOTHING) - np.log(c.sum() + quality.SMOOTHING * quality.BUCKETS)
+    weight = {i: float(own[i] @ (logp(target) - logp(counts))) for i in own}
+    scores, _, cut = quality.select(docs, lab)
+    seen = {r.doc_id: (r.log_weight, r.key) for r in scores.collect()}
+    assert {i: w for i, (w, _) in seen.items()} == pytest.approx(weight)
+    tau = quality.threshold(np.array([weight[i] for i, _, _ in labels]), np.array([q for _, q, _ in labels]))
+    k = sum(w >= tau - 1e-9 for w in weight.values())
+    best = sorted((key for _, key in seen.values()), reverse=True)[:k]
+    assert sorted(r.key for r in quality.resample(docs, lab).collect()) == pytest.approx(sorted(best))
+
+
 def test_kth_key_is_the_order_statistic(spark):
     rng = random.Random(8)
     values = [rng.gauss(0, 5) for _ in range(500)] + [1.0] * 20
@@ -422,6 +488,47 @@ def test_svg_math_and_row_text_are_visible(page, text):
     assert html.to_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c<td>d</table>", "a | b\n  | c | d"),
+    ("<table><tr><td>a<td rowspan=3>b<td>c<tr><td>d<td>e<tr><td colspan=1>f<td>g<tr><td>h<td>i<td>j</table>", "a | b | c\nd |   | e\nf |   | g\nh | i | j"),
+    ("<table><tr><td rowspan=2 colspan=2>ab<td>c<tr><td>d<tr><td>e<td>f<td>g</table>", "ab    | c\n      | d\ne | f | g"),
+    ("<table><tfoot><tr><td>sum<tbody><tr><td>one<thead><tr><td>head</table>", "head\none\nsum"),
+    ("<table><tbody><tr><td rowspan=9>x<tbody><tr><td>y</table>", "x\ny"),
+    ("<div style='visibility:hidden'>no<span style='visibility: visible'>yes</span>no</div>z", "yes\nz"),
+    ("<table style='visibility:hidden'>no<tr><td>no<td style='visibility:visible'>yes</table>", " | yes"),
+])
+def test_spans_sections_and_visibility(page, text):
+    assert html.to_text(page) == text
+
+
+def test_cells_of_random_tables_keep_their_columns():
+    rng = random.Random(12)
+    for _ in range(300):
+        rows, cols = rng.randint(1, 6), rng.randint(1, 6)
+        grid, names, source = {}, iter(range(1000)), []
+        for r in range(rows):
+            line = "<tr>"
+            for c in range(cols):
+                if (r, c) in grid:
+                    continue
+                wide = rng.randint(1, max(k for k in range(1, cols - c + 1) if all((r, c + i) not in grid for i in range(k))))
+                high, name = rng.randint(1, rows - r), next(names)
+                grid |= {(r + i, c + j): name for i in range(high) for j in range(wide)}
+                line += f"<td colspan={wide} rowspan={high} id={name}>"
+            source.append(line)
+        section = html._cells(html.parse("<table>" + "".join(source) + "</table>").children[0])[1]
+        found = {}
+        for r, row in enumerate(html.layout([x for part in section for x in part])):
+            for at, n, cell in row:
+                found |= {(r, at + i): (int(cell.attrs["id"]) if cell else found[r - 1, at + i]) for i in range(n)}
+        assert found == grid
+
+
+def test_tables_nested_at_any_depth():
+    deep = "<table><tr><td>" * 400 + "x" + "</table>" * 400
+    assert html.to_text(deep).strip() == "x"
+
+
 def test_html_operator(spark):
     pages = spark.createDataFrame([(1, "<p>a"), (1, "<p>a"), (2, None), (3, ""), (None, "<div>" * 30000 + "deep"), (4, "<" * 50000), (5, "<table><tr><td>" * 200 + "x")],
                                   "page_id long, html string").withColumn("text", F.lit(1))
@@ -614,6 +721,22 @@ def test_top_k_in_small_groups_and_tiles(spark, monkeypatch):
     assert {tuple(r) for r in voronoi.search(df).collect()} == want
 
 
+def test_top_k_of_repeated_ids_and_large_values(spark):
+    rng = random.Random(14)
+    rows = [(i, [rng.gauss(0, 3) for _ in range(4)]) for i in range(150)] + [(20, [1.0, 2.0, 0.5, 0.0])] * 90 + [(40, [float(n), 0.0, 0.0, 0.0]) for n in range(80)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in voronoi.search(df, k=5).collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    whole = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in rows]
+    for q in {i for i, _ in rows if i % 20 == 0}:
+        own = [v for i, v in whole if i == q]
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for v in own for i, w in whole if i != q)[:5]
+        assert [(s, i) for _, i, s in sorted(got[q])] == [(-s, i) for s, i in scored]
+    with pytest.raises(ValueError):
+        voronoi.search(spark.createDataFrame([(1, [1e18, 1.0]), (20, [1e18, 2.0])], "vec_id long, embedding array<double>"))
+
+
 # ---- 10 language
 
 def test_language_held_out_accuracy_and_awkward_rows(spark):
@@ -630,6 +753,14 @@ def test_language_held_out_accuracy_and_awkward_rows(spark):
     assert language.predict(frame(spark, [])).count() == 0
 
 
+def test_language_sample_is_bounded_for_repeated_rows(spark, monkeypatch):
+    seen, make = [], language.Model
+    monkeypatch.setattr(language, "Model", lambda x, names: seen.append(collections.Counter(names)) or make(x, names))
+    rows = [(None, "der hund und die katze sind im garten", "de", "s", 0)] * 500 + [(3, f"the dog number {n} and the cat", "en", "s", 0) for n in range(500)]
+    language.train(spark.createDataFrame(rows, DOCS), 10)
+    assert all(n <= 20 for n in seen[0].values())
+
+
 def test_machines_separate():
     rng = np.random.default_rng(15)
     x = rng.normal(size=(200, 5)).astype(np.float32)
