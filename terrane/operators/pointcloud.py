@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,28 +97,47 @@ def terrain_model(points: DataFrame, grid: Grid) -> DataFrame:
     return grid_idw(in_range(points, "classification", GROUND_CLASS, GROUND_CLASS), grid)
 
 
-def object_cells(surface: DataFrame, cell: float, slope: float, window: float, tile: int = 1024) -> DataFrame:
-    """Cells that stand above a surface opened with ever larger windows.
+RIM_CELLS = 96      # rims of the openings that one exchange of tiles covers, added up
 
-    The tile rim covers the reach of the whole progression, so the result does
-    not depend on the tiling.
-    """
-    steps = range(1, int(np.ceil(window / cell)) + 1)
 
-    def progressive(v, present):
-        flagged, last = np.zeros(v.shape, bool), v
-        for radius in steps:
-            now = raster.opened(last, present, radius)
-            with np.errstate(invalid="ignore"):
-                flagged |= (last - now) > slope * cell * radius
-            last = now
-        return (flagged,)
-    return raster.focal(surface, sum(2 * r for r in steps), progressive, ["is_object"], tile)
+def _batches(steps: int, rim: int = RIM_CELLS) -> list[list[int]]:
+    """Radii 1 to ``steps`` in runs whose rims (twice the radius each) add up to ``rim`` at most, one radius at least."""
+    out: list[list[int]] = []
+    for radius in range(1, steps + 1):
+        if out and sum(2 * r for r in out[-1]) + 2 * radius <= rim:
+            out[-1].append(radius)
+        else:
+            out.append([radius])
+    return out
+
+
+def object_cells(surface: DataFrame, cell: float, slope: float, window: float, tile: int = 256, rim: int = RIM_CELLS) -> DataFrame:
+    """(row, col, is_object): cells that stand above a surface opened with ever larger windows.
+
+    Each opening works on the last one's result. Tiles exchange their rims anew for every few
+    openings, so a rim is as wide as those reach and not as the whole progression, and the result does
+    not depend on the tiles.
+    """
+    state, flagged = surface.select("row", "col", "value"), []
+    for radii in _batches(int(np.ceil(window / cell)), rim):
+        def progressive(v, present, radii=radii):
+            high, last = np.zeros(v.shape, bool), v
+            for radius in radii:
+                now = raster.opened(last, present, radius)
+                with np.errstate(invalid="ignore"):
+                    high |= (last - now) > slope * cell * radius
+                last = now
+            return last, high
+        both = stored(raster.focal(state, sum(2 * r for r in radii), progressive, ["value", "is_object"], tile), "opened")
+        state = both.select("row", "col", "value")
+        flagged.append(both.filter("is_object").select("row", "col"))
+    objects = reduce(DataFrame.unionByName, flagged).distinct().withColumn("is_object", F.lit(True))
+    return surface.select("row", "col").join(objects, ["row", "col"], "left").withColumn("is_object", F.coalesce("is_object", F.lit(False)))
 
 
 def classify_ground(points: DataFrame, grid: Grid, scalar: float = SMRF["scalar"], slope: float = SMRF["slope"],
                     threshold: float = SMRF["threshold"], window: float = SMRF["window"], reach: int = 10,
-                    tile: int = 1024) -> DataFrame:
+                    tile: int = 256) -> DataFrame:
     """Simple morphological ground filter: class 2 for ground, 1 for the rest.
 
     Lowest surface, progressive opening, holes under the objects filled, then

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrane.functions import predicates as pred
-from terrane.schema import UTM13N
+from terrane.operators import tiles
+from terrane.schema import TILE_CELLS, UTM13N, Grid
 
 # ── fixed values ────────────────────────────────────────────────────────────
 WARN_INVALID_PCT = 1.0
@@ -65,18 +66,41 @@ def completeness(df: DataFrame, layer: str, columns: list[str]) -> DataFrame:
     return tidy.select(F.lit(layer).alias("layer"), "attribute", "total", "filled", pct.alias("pct"))
 
 
-def load_report(expected: list[str], layers: dict[str, DataFrame], spark: SparkSession) -> DataFrame:
-    """Every expected layer with its count and reference systems, or NOT LOADED."""
+def raster_catalogue(rasters: dict[str, tuple[DataFrame, Grid]], size: int = TILE_CELLS) -> DataFrame:
+    """A row per raster layer and band: reference system, resolution, tiles, cells, nodata share and the outer tile keys.
+
+    ``rasters`` names dense tiles and their grid.
+    """
+    frames = []
+    for name, (rows, grid) in rasters.items():
+        band = tiles.counts(rows).groupBy("band").agg(
+            F.count(F.lit(1)).alias("tiles"), F.sum("cells").alias("cells"), F.sum("filled").alias("filled"), F.sum("total").alias("total"),
+            *[fn(key).alias(f"{end}_{key}") for key in ("trow", "tcol") for end, fn in (("first", F.min), ("last", F.max))])
+        share = F.when(F.col("cells") > 0, F.round((1 - F.col("filled") / F.col("cells")) * 100, 2))
+        frames.append(band.select(F.lit(name).alias("layer"), F.lit(grid.srid).alias("srid"), F.lit(float(grid.cell)).alias("resolution_m"), "band", "tiles", "cells",
+                                  "filled", share.alias("nodata_pct"), (F.col("total") / F.nullif(F.col("filled"), F.lit(0))).alias("mean"),
+                                  "first_trow", "last_trow", "first_tcol", "last_tcol"))
+    return _stack(frames)
+
+
+def load_report(expected: list[str], layers: dict[str, DataFrame], spark: SparkSession, rasters: DataFrame | None = None) -> DataFrame:
+    """Every expected layer with its features (vector) or tiles (raster) and reference systems, or NOT LOADED.
+
+    ``rasters`` is a :func:`raster_catalogue`.
+    """
     want = spark.createDataFrame([(n,) for n in expected], "layer string")
     found = layer_counts(layers).groupBy("layer").agg(
-        F.sum("features").alias("features"), F.concat_ws(",", F.sort_array(F.collect_set(
+        F.sum("features").alias("features"), F.lit(None).cast("long").alias("tiles"), F.concat_ws(",", F.sort_array(F.collect_set(
             F.col("srid").cast("string")))).alias("srids"))
-    return F.broadcast(want).join(found, "layer", "left").withColumn(
-        "status", F.when(F.col("features").isNull(), "NOT LOADED").otherwise("LOADED"))
+    if rasters is not None:
+        found = found.unionByName(rasters.groupBy("layer").agg(F.lit(None).cast("long").alias("features"), F.sum("tiles").alias("tiles"),
+                                                               F.max(F.col("srid").cast("string")).alias("srids")))
+    missing = F.col("features").isNull() & F.col("tiles").isNull()
+    return F.broadcast(want).join(found, "layer", "left").withColumn("status", F.when(missing, "NOT LOADED").otherwise("LOADED"))
 
 
 def metadata_rows(described: DataFrame, counts: DataFrame) -> DataFrame:
-    """Registry rows: descriptions with the counted features and the defaults."""
+    """Registry rows: descriptions (with source_date and lineage) with the counted features or tiles and the defaults."""
     return described.join(counts, ["schema_name", "layer_name"]).withColumn(
         "crs", F.lit(METADATA_CRS)).withColumn("loaded_at", F.current_timestamp())
 

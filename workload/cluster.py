@@ -58,12 +58,18 @@ def a8(spark, d):
     return out.select("cluster_id", "building_count", "total_footprint_m2").orderBy(F.desc("building_count"), "cluster_id").limit(10)
 
 
-@query("a9_cluster_centroid", f"""WITH {CLUSTERS}
-SELECT cluster_id, ROUND(SUM(w * h * (x0 + w / 2.0)) / SUM(w * h), 4) AS x, ROUND(SUM(w * h * (y0 + h / 2.0)) / SUM(w * h), 4) AS y
-FROM labelled WHERE cluster_id IS NOT NULL GROUP BY 1""", (B,))
+@query("a9_cluster_centroid", f"""WITH {CLUSTERS},
+box AS (SELECT cluster_id, x0, x0 + w AS x1, y0, y0 + h AS y1 FROM labelled WHERE cluster_id IS NOT NULL),
+cut AS (SELECT DISTINCT cluster_id, UNNEST([x0, x1]) AS x FROM box),
+slab AS (SELECT cluster_id, x AS xa, LEAD(x) OVER (PARTITION BY cluster_id ORDER BY x) AS xb FROM cut),
+run AS (SELECT s.cluster_id, xa, xb, y0, y1, MAX(y1) OVER (PARTITION BY s.cluster_id, xa ORDER BY y0, y1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+  FROM slab s JOIN box b ON b.cluster_id = s.cluster_id AND b.x0 <= xa AND b.x1 >= xb),
+piece AS (SELECT cluster_id, (xb - xa) * (y1 - GREATEST(y0, COALESCE(reach, y0))) AS a, (xa + xb) / 2.0 AS x, (y1 + GREATEST(y0, COALESCE(reach, y0))) / 2.0 AS y
+  FROM run WHERE reach IS NULL OR y1 > reach)
+SELECT cluster_id, CAST(SUM(a) AS DOUBLE) AS union_m2, ROUND(SUM(a * x) / SUM(a), 3) AS x, ROUND(SUM(a * y) / SUM(a), 3) AS y FROM piece GROUP BY 1""", (B,))
 def a9(spark, d):
     out = cluster.cluster_summary(_with_area(spark, d), _clusters(spark, d))
-    return out.select("cluster_id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+    return out.select("cluster_id", F.round("union_m2", 3).alias("union_m2"), F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
 
 
 @query("a10_clustered_share", f"""WITH {CLUSTERS}
@@ -147,12 +153,29 @@ def q4(spark, d):
         qc.completeness(fixtures.load(spark, d, L), "raw.landuse", ["landuse"]))
 
 
-@query("q5_load_report", """
-SELECT 'raw.buildings' AS layer, COUNT(*) AS features, '32613' AS srids, 'LOADED' AS status FROM fx_buildings
-UNION ALL SELECT 'raw.roads', COUNT(*), '32613', 'LOADED' FROM fx_roads UNION ALL SELECT 'raw.landuse', COUNT(*), '32613', 'LOADED' FROM fx_landuse
-UNION ALL SELECT 'processed.buildings', NULL, NULL, 'NOT LOADED'""", (B, R, L))
+_TILED = "SELECT COUNT(*) AS n FROM (SELECT DISTINCT r // 256, c // 256 FROM fx_grid)"
+
+
+def _catalogue(spark, d):
+    return qc.raster_catalogue({"raw." + n: (base.tiles(spark, d, n), SURFACE_GRID) for n in ("dem", "nlcd")})
+
+
+@query("q5_load_report", f"""
+SELECT 'raw.buildings' AS layer, COUNT(*) AS features, CAST(NULL AS BIGINT) AS tiles, '32613' AS srids, 'LOADED' AS status FROM fx_buildings
+UNION ALL SELECT 'raw.roads', COUNT(*), NULL, '32613', 'LOADED' FROM fx_roads UNION ALL SELECT 'raw.landuse', COUNT(*), NULL, '32613', 'LOADED' FROM fx_landuse
+UNION ALL SELECT 'processed.buildings', NULL, NULL, NULL, 'NOT LOADED' UNION ALL SELECT 'raw.ndsm', NULL, NULL, NULL, 'NOT LOADED'
+UNION ALL SELECT 'raw.' || name, NULL, n, '32613', 'LOADED' FROM ({_TILED}), (VALUES ('dem'), ('nlcd')) v(name)""", (B, R, L, G))
 def q5(spark, d):
-    return qc.load_report(["raw.buildings", "raw.roads", "raw.landuse", "processed.buildings"], _layers(spark, d), spark)
+    expected = ["raw.buildings", "raw.roads", "raw.landuse", "processed.buildings", "raw.dem", "raw.ndsm", "raw.nlcd"]
+    return qc.load_report(expected, _layers(spark, d), spark, _catalogue(spark, d))
+
+
+@query("q5_raster_catalogue", f"""
+SELECT 'raw.' || name AS layer, 32613 AS srid, 160.0 AS resolution_m, n AS tiles, cells, filled, ROUND((1 - filled / cells) * 100, 2) AS nodata_pct, ROUND(mean, 6) AS mean,
+  CAST(lr AS INT) AS last_trow FROM ({_TILED}), (SELECT 'dem' AS name, COUNT(*) AS cells, COUNT(dem) AS filled, AVG(dem) AS mean, MAX(r) // 256 AS lr FROM fx_grid
+  UNION ALL SELECT 'nlcd', COUNT(*), COUNT(nlcd), AVG(nlcd), MAX(r) // 256 FROM fx_grid)""", (G,))
+def q5_rasters(spark, d):
+    return _catalogue(spark, d).select("layer", "srid", "resolution_m", "tiles", "cells", "filled", "nodata_pct", F.round("mean", 6).alias("mean"), "last_trow")
 
 
 @query("s15_skip_missing_layer", """
@@ -164,33 +187,40 @@ def s15(spark, d):
     return layers.run_available(spark, root, ["raw.buildings", "raw.dem"])
 
 
+# fixed values: what the registry says of each layer
+_OSM = ("OpenStreetMap", "2024-01-01", None, "osmnx download → ogr2ogr → PostGIS")
+_DESCRIBED = [("raw", n, "vector", *_OSM) for n in ("buildings", "roads", "landuse")] + [
+    ("raw", "dem", "raster", "USGS 3DEP 1/3 arc-sec", "2023-01-01", 10.0, "gdalwarp UTM → gdal_fillnodata → raster2pgsql")]
+
+
 def _registry(spark, d):
-    """Layer descriptions with counted features, appended twice as two runs would."""
-    described = spark.createDataFrame([
-        ("raw", "buildings", "vector", "OpenStreetMap", None), ("raw", "roads", "vector", "OpenStreetMap", None),
-        ("raw", "landuse", "vector", "OpenStreetMap", None)],
-        "schema_name string, layer_name string, data_type string, source string, resolution_m double")
-    counts = qc.layer_counts({k: v for k, v in _layers(spark, d).items() if k != "raw.landuse_lonlat"}).select(
-        F.split("layer", "[.]")[0].alias("schema_name"), F.split("layer", "[.]")[1].alias("layer_name"),
-        c("features").alias("feature_count"))
-    path = scratch_path(spark, "metadata")
+    """Layer descriptions with counted features or tiles, appended twice as two runs would."""
+    described = spark.createDataFrame(_DESCRIBED, "schema_name string, layer_name string, data_type string, source string, source_date string, resolution_m double, lineage string")
+    counts = qc.layer_counts({k: v for k, v in _layers(spark, d).items() if k != "raw.landuse_lonlat"}).select("layer", "features")
+    counts = counts.unionByName(_catalogue(spark, d).select("layer", F.col("tiles").alias("features"))).select(
+        F.split("layer", "[.]")[0].alias("schema_name"), F.split("layer", "[.]")[1].alias("layer_name"), F.col("features").alias("feature_count"))
+    path = scratch_path(spark, "registry")
     for _ in range(2):
-        qc.append_metadata(qc.metadata_rows(described, counts), path)
+        qc.append_metadata(qc.metadata_rows(described.withColumn("source_date", F.col("source_date").cast("date")), counts), path)
     return spark.read.parquet(path)
 
 
-_META = """m AS (SELECT 'raw' AS schema_name, 'buildings' AS layer_name, COUNT(*) AS feature_count FROM fx_buildings
-UNION ALL SELECT 'raw', 'roads', COUNT(*) FROM fx_roads UNION ALL SELECT 'raw', 'landuse', COUNT(*) FROM fx_landuse)"""
+_META = f"""m AS (SELECT 'raw' AS schema_name, 'buildings' AS layer_name, COUNT(*) AS feature_count FROM fx_buildings
+UNION ALL SELECT 'raw', 'roads', COUNT(*) FROM fx_roads UNION ALL SELECT 'raw', 'landuse', COUNT(*) FROM fx_landuse
+UNION ALL SELECT 'raw', 'dem', n FROM ({_TILED})),
+about(layer_name, data_type, source, source_date, resolution_m, lineage) AS (VALUES """ + ", ".join(
+    f"('{n}', '{kind}', '{source}', '{day}', {'NULL' if res is None else res}::DOUBLE, '{lineage}')" for _, n, kind, source, day, res, lineage in _DESCRIBED) + ")"
 
 
-@query("s11_append_metadata", f"WITH {_META} SELECT m.*, 'EPSG:32613' AS crs FROM m, range(2)", (B, R, L))
+@query("s11_append_metadata", f"WITH {_META} SELECT m.*, 'EPSG:32613' AS crs FROM m, range(2)", (B, R, L, G))
 def s11(spark, d):
     return _registry(spark, d).select("schema_name", "layer_name", "feature_count", "crs")
 
 
-@query("q6_metadata_registry", f"WITH {_META} SELECT m.*, 'vector' AS data_type, 'OpenStreetMap' AS source FROM m", (B, R, L))
+@query("q6_metadata_registry", f"WITH {_META} SELECT schema_name, layer_name, feature_count, data_type, source, source_date, resolution_m, lineage FROM m JOIN about USING (layer_name)", (B, R, L, G))
 def q6(spark, d):
-    return qc.latest_metadata(_registry(spark, d)).select("schema_name", "layer_name", "feature_count", "data_type", "source")
+    return qc.latest_metadata(_registry(spark, d)).select("schema_name", "layer_name", "feature_count", "data_type", "source",
+                                                          F.col("source_date").cast("string").alias("source_date"), "resolution_m", "lineage")
 
 
 @query("q7_summary", f"""WITH {VALIDITY}

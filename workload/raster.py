@@ -414,7 +414,7 @@ _DENSE = f"""{_LOWEST}, dense AS (SELECT a.r, b.c, low.z AS v, low.z IS NOT NULL
 @query("p2_morphological_opening", f"""WITH {_DENSE}, {_opening_sql('dense', 'op', 3)}
 SELECT r AS row, c AS col, o AS value FROM op WHERE has""", (P,))
 def p2(spark, d):
-    out = raster.opening(pointcloud.lowest_surface(base.points(spark, d), POINT_GRID), 3)
+    out = raster.opening(pointcloud.lowest_surface(base.points(spark, d), POINT_GRID), 3, tile=64)   # 16 tiles
     return out.select(c("row").cast("long").alias("row"), c("col").cast("long").alias("col"), "value")
 
 
@@ -436,16 +436,15 @@ ground AS (SELECT b.r, b.c, COALESCE(b.v, f.v) AS v FROM bare b LEFT JOIN fill f
 tilt AS (SELECT a.r, a.c, CASE WHEN COUNT(b.v) = 9 THEN sqrt(power(SUM((b.c - a.c) * (CASE b.r - a.r WHEN 0 THEN 2 ELSE 1 END) * b.v) / 8, 2)
     + power(SUM((b.r - a.r) * (CASE b.c - a.c WHEN 0 THEN 2 ELSE 1 END) * b.v) / 8, 2)) ELSE 0.0 END AS t
   FROM ground a JOIN ground b ON b.r BETWEEN a.r - 1 AND a.r + 1 AND b.c BETWEEN a.c - 1 AND a.c + 1 GROUP BY 1, 2)
-SELECT p.classification AS given, CASE WHEN abs(p.z - g.v) <= 0.45 + 1.2 * t.t THEN 2 ELSE 1 END AS found, COUNT(*) AS points
+SELECT p.x, p.y, p.z, p.classification AS given, CASE WHEN abs(p.z - g.v) <= 0.45 + 1.2 * t.t THEN 2 ELSE 1 END AS found
 FROM fx_points p LEFT JOIN ground g ON g.r = CAST(floor(4400240 - p.y) AS INT) AND g.c = CAST(floor(p.x - 500000) AS INT)
-LEFT JOIN tilt t ON t.r = g.r AND t.c = g.c GROUP BY 1, 2"""
+LEFT JOIN tilt t ON t.r = g.r AND t.c = g.c"""
 
 
 @query("p3_ground_classification", _smrf_sql(), (P,))
 def p3(spark, d):
     pts = base.points(spark, d).withColumnRenamed("classification", "given")
-    return pointcloud.classify_ground(pts, POINT_GRID).groupBy("given", c("classification").alias("found")).agg(
-        F.count("*").alias("points"))
+    return pointcloud.classify_ground(pts, POINT_GRID, tile=64).select("x", "y", "z", "given", c("classification").alias("found"))
 
 
 _CELLS = """SELECT i // 240 AS r, i % 240 AS c, 500000 + (i % 240) + 0.5 AS cx, 4400240 - (i // 240) - 0.5 AS cy FROM range(241*240) AS q(i)"""
