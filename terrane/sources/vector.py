@@ -10,6 +10,7 @@ from terrane.functions.projection import reproject
 from terrane.operators.grid import cell_width
 from terrane.schema import GEOMETRY_DDL, UTM13N, WGS84
 from terrane.session import cut_lineage
+from terrane.sources.collection import read_collection
 
 _XY = "array<double>"
 
@@ -38,17 +39,18 @@ def read_features(spark: SparkSession, path: str, properties: str, layout: str =
                   default_srid: int = WGS84) -> DataFrame:
     """Read GeoJSON features with declared property columns.
 
-    ``lines`` (one feature per line) splits over tasks and is the layout for big
-    layers; ``collection`` reads whole FeatureCollection documents. Features of a
-    file that names no CRS get ``default_srid``.
+    ``lines`` has one feature per line; ``collection`` reads FeatureCollection documents, one or more
+    in a file, which are cut at feature boundaries. Both split over tasks. Features of a
+    document that names no CRS get ``default_srid``; a file has one CRS.
     """
     feature = f"type string, properties struct<{properties}>, geometry struct<type:string, coordinates:string>"
     if layout == "collection":
-        crs = "crs struct<properties:struct<name:string>>"
-        doc = spark.read.schema(f"{crs}, features array<struct<{feature.replace(' string', ':string').replace(' struct<', ':struct<')}>>")
-        raw = doc.option("multiLine", True).json(path).select(
-            F.regexp_extract("crs.properties.name", "([0-9]+)$", 1).try_cast("int").alias("srid"),
-            F.explode("features").alias("f")).select("srid", "f.*")
+        objects, _ = read_collection(spark, path)
+        parsed = objects.select("file", "feature", F.from_json("feature", feature).alias("f"))
+        # of what stands as deep as a feature only the CRS has a name of its own
+        named = F.regexp_extract("feature", '^\\{\\s*"name"\\s*:\\s*"[^"]*?([0-9]+)"', 1).try_cast("int")
+        crs = parsed.filter("f.type is null").groupBy("file").agg(F.max(named).alias("srid"))
+        raw = parsed.filter("f.type = 'Feature'").join(crs, "file", "left").select("srid", "f.*")
     else:
         raw = spark.read.schema(feature).json(path).filter(F.col("type") == "Feature").withColumn(
             "srid", F.lit(None).cast("int"))

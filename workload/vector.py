@@ -44,6 +44,19 @@ def s1(spark, d):
                      box["ymax"].alias("ymax"), g.area(c("geom")).alias("area"))
 
 
+@query("s1_read_collections", """
+SELECT id, height, name, building, 32613 AS srid, CAST(x0 AS DOUBLE) AS xmin, CAST(w * h AS DOUBLE) AS area FROM fx_buildings""", (B,))
+def s1_collections(spark, d):
+    """The building layer in FeatureCollection documents of a thousand features that name their CRS."""
+    path = scratch_path(spark, "collections")
+    text = src.feature_text(["id", "height", "name", "building"])
+    head = F.lit('{"type":"FeatureCollection","crs":{"type":"name","properties":{"name":"urn:ogc:def:crs:EPSG::32613"}},"features":[')
+    docs = base.buildings(spark, d, False).groupBy(F.floor(c("id") / 1000)).agg(F.collect_list(text).alias("f"))
+    docs.select(F.concat(head, F.concat_ws(",", "f"), F.lit("]}"))).write.text(path)
+    df = src.read_features(spark, path, PROPS, "collection")
+    return df.select("id", "height", "name", "building", c("geom.srid").alias("srid"), g.bbox(c("geom"))["xmin"].alias("xmin"), g.area(c("geom")).alias("area"))
+
+
 @query("s2_read_named_layer", "SELECT landuse, COUNT(*) AS n FROM fx_landuse GROUP BY 1", (L,))
 def s2(spark, d):
     root = scratch_path(spark, "store")
