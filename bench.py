@@ -6,6 +6,7 @@ import json
 import os
 import pathlib
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
@@ -18,13 +19,13 @@ HEADLINE = ["l4_buildings_per_landuse", "j1_within_left_join", "j7_nearest_road"
             "c1_density_clusters", "i4_median_composite", "i10_monthly_ndvi", "l10_land_suitability"]
 
 
-def main() -> None:
+def main(scratch: str) -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_spark("bench", f"local[{cpus}]", **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false",
-                                                    "spark.driver.memory": "16g"})
+                                                    "spark.driver.memory": "16g", "spark.checkpoint.dir": scratch})
     spark.sparkContext.setLogLevel("ERROR")
-    spark.range(1000).repartition(2).count()
+    QUERIES["l3_raw_landuse"](spark, sf_dir).write.format("noop").mode("overwrite").save()   # start-up is not the first query's
     seconds = {}
     for name in HEADLINE:
         t0 = time.time()
@@ -36,4 +37,5 @@ def main() -> None:
 
 
 if __name__ == "__main__":
-    main()
+    with tempfile.TemporaryDirectory(prefix="terrane-bench-") as folder:
+        main(folder)
