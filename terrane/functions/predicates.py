@@ -15,10 +15,12 @@ import pyarrow.compute as pc
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BooleanType, DoubleType, StringType
 
+from terrane.functions import noding
 from terrane.schema import GEOMETRY
 
 EDGE_PAIRS = 2_000_000      # edge pairs held in memory at a time
 ON_LINE_M = 1e-7            # a point this close to an edge lies on it
+REBUILT = ("self-intersection", "nested holes", "hole outside shell")
 
 
 class _Edges:
@@ -269,6 +271,11 @@ def _reasons(geoms: pa.Array) -> np.ndarray:
     out = np.full(e.rows, None, object)
     for reason, rows in reversed(found):
         out[rows] = reason
+    # parts with holes: their rings do not cross by now, so each is in another or beside it
+    paths = np.bincount(e.path_row, minlength=e.rows)
+    for i in np.flatnonzero(e.areal & (paths > 1) & np.equal(out, None).astype(bool)):
+        faults = (noding.nesting_fault([_points(r) for r in rings]) for rings in geoms[int(i)].as_py()["parts"] if len(rings) > 1)
+        out[i] = next((f for f in faults if f), None)
     return out
 
 
@@ -282,7 +289,7 @@ def invalid_reason(geom: pa.Array) -> pa.Array:
     """Why a geometry is invalid, null if it is valid.
 
     Rings must be closed, have four points and an area, and neither cross
-    themselves nor each other; nested and overlapping holes are not examined.
+    themselves nor each other; holes must lie in their shell and beside each other.
     """
     return pa.array(_reasons(geom), pa.string())
 
@@ -298,57 +305,47 @@ def is_simple(geom: pa.Array) -> pa.Array:
     return pa.array(~_self_contact(_Edges(geom), False))
 
 
-def _doubled_area(ring: list) -> float:
-    o = ring[0]
-    return sum((p["x"] - o["x"]) * (q["y"] - o["y"]) - (q["x"] - o["x"]) * (p["y"] - o["y"])
-               for p, q in zip(ring, ring[1:]))
+def _points(ring: list) -> noding.Ring:
+    return [(p["x"], p["y"]) for p in ring]
 
 
-def _split_ring(ring: list) -> list:
-    """A ring whose edges cross exactly once becomes two rings, any other stays one."""
-    hits = []
-    edges = list(zip(ring, ring[1:]))
-    for i, (a, b) in enumerate(edges):
-        for j in range(i + 1, len(edges)):
-            c, d = edges[j]
-            p, q, r, s = (_orient(u["x"], u["y"], v["x"], v["y"], w["x"], w["y"]) for u, v, w in (
-                (c, d, a), (c, d, b), (a, b, c), (a, b, d)))
-            if p * q < 0 and r * s < 0:
-                t = p / (p - q)
-                hits.append((i, j, {"x": a["x"] + t * (b["x"] - a["x"]), "y": a["y"] + t * (b["y"] - a["y"])}))
-    if len(hits) != 1:
-        return [ring]
-    i, j, meet = hits[0]
-    return [ring[:i + 1] + [meet] + ring[j + 1:], [meet] + ring[i + 1:j + 1] + [meet]]
-
-
-def _repaired(geom: dict) -> dict:
+def _cleaned(geom: dict) -> dict:
+    """Rings closed, repeated vertices dropped, shells counter-clockwise and holes clockwise."""
     parts = []
     for rings in geom["parts"]:
         clean = []
-        for ring in rings:
-            ring = [p for k, p in enumerate(ring) if k == 0 or p != ring[k - 1]]
-            clean.append(ring if ring and ring[0] == ring[-1] else ring + ring[:1])
-        # a part with holes keeps its rings together, a lone ring may split in two parts
-        pieces = [[r] for r in _split_ring(clean[0])] if len(clean) == 1 else [clean]
-        parts += [[r[::-1] if (_doubled_area(r) < 0) == (k == 0) else r for k, r in enumerate(p)] for p in pieces]
-    kind = "MultiPolygon" if len(parts) > 1 else geom["kind"]
-    return {"srid": geom["srid"], "kind": kind, "parts": parts}
+        for k, ring in enumerate(rings):
+            ring = [p for i, p in enumerate(ring) if i == 0 or p != ring[i - 1]]
+            ring = ring if ring and ring[0] == ring[-1] else ring + ring[:1]
+            clean.append(ring[::-1] if ring and (noding.area(_points(ring)) < 0) == (k == 0) else ring)
+        parts.append(clean)
+    return geom | {"parts": parts}
+
+
+def _repaired(geom: dict) -> dict:
+    """The even-odd rule decides what rings that cross or nest wrongly cover; what has no area stays as it is."""
+    parts = noding.rebuilt([_points(ring) for rings in geom["parts"] for ring in rings if ring])
+    if not parts:
+        return geom
+    parts = [[[{"x": x, "y": y} for x, y in ring] for ring in rings] for rings in parts]
+    return {"srid": geom["srid"], "kind": "MultiPolygon" if len(parts) > 1 else geom["kind"], "parts": parts}
 
 
 @arrow_udf(returnType=GEOMETRY)
 def make_valid(geom: pa.Array) -> pa.Array:
-    """Close rings, drop repeated vertices, split a single crossing, orient.
+    """Close rings, drop repeated vertices, orient, and rebuild polygons whose rings cross or whose holes nest wrongly.
 
-    Valid geometries pass through untouched. A ring that crosses itself more than
-    once, or has no area, stays invalid and the validity check goes on saying so.
+    Valid geometries pass through untouched. What has no area stays invalid and the
+    validity check goes on saying so.
     """
     kinds = pc.struct_field(geom, "kind")
     areal = pc.fill_null(pc.match_substring(kinds, "Polygon"), False).to_numpy(zero_copy_only=False)
     bad = np.flatnonzero(areal & ~np.equal(_reasons(geom), None).astype(bool))
     if not len(bad):
         return geom
-    fixed = pa.array([_repaired(geom[int(i)].as_py()) for i in bad], geom.type)
+    clean = [_cleaned(geom[int(i)].as_py()) for i in bad]
+    why = _reasons(pa.array(clean, geom.type))
+    fixed = pa.array([_repaired(g) if w in REBUILT else g for g, w in zip(clean, why)], geom.type)
     index = np.arange(len(geom))
     index[bad] = len(geom) + np.arange(len(bad))
     return pa.concat_arrays([geom, fixed]).take(pa.array(index))
