@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 BLOCK = 1 << 16      # characters normalised and cut at once
 SHORT = 64           # letters of a piece that is looked up
-CACHE = 1 << 17      # pieces held
+CACHE = 1 << 19      # pieces held by a worker, some 200 MB
 FEW = 128            # letters merged without a heap
 WINDOW = 4096        # letters read at once of a long piece, beyond the lookahead
 _FAR = 1 << 60
@@ -355,13 +355,13 @@ def model(text: str) -> Model:
     return Model(text)
 
 
-def _mapped(docs: DataFrame, spec: str, schema: str, types: list[pa.DataType], row: Callable[[Model], Callable]) -> DataFrame:
-    """One row per row of ``docs`` (columns doc_id and one more), 64 at a time; ``row(model)`` maps the second column."""
+def _mapped(docs: DataFrame, spec: str, schema: str, types: list[pa.DataType], row: Callable[[str], Callable]) -> DataFrame:
+    """One row per row of ``docs`` (columns doc_id and one more), 64 at a time; ``row(spec)`` maps the second column."""
     shared = docs.sparkSession.sparkContext.broadcast(spec)
     names = [c.split()[0] for c in schema.split(", ")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = row(model(shared.value))
+        one = row(shared.value)
         for whole in batches:
             for at in range(0, whole.num_rows, 64):
                 batch = whole.slice(at, 64)
@@ -376,27 +376,36 @@ def _id(docs: DataFrame) -> str:
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids): the tokens of every text."""
-    def row(m: Model) -> Callable:
-        encoder = Encoder(m)
+    def row(spec: str) -> Callable:
+        encoder = Encoder(model(spec))
         return lambda text: (encoder.ids(text or ""),)
     return _mapped(docs.select("doc_id", "text"), read(path), f"{_id(docs)}, ids array<int>", [pa.list_(pa.int32())], row)
 
 
 def decode(tokens: DataFrame, path: str, plain: bool = True) -> DataFrame:
     """(doc_id, text) of rows (doc_id, ids); see ``Decoder`` for ``plain``."""
-    def row(m: Model) -> Callable:
+    def row(spec: str) -> Callable:
+        m = model(spec)
         return lambda ids: (Decoder(m, plain).text(ids or ()),)
     return _mapped(tokens.select("doc_id", "ids"), read(path), f"{_id(tokens)}, text string", [pa.string()], row)
 
 
+@functools.lru_cache(maxsize=1)
+def _written(spec: str) -> Encoder:
+    """An encoder to (tokens, their decimal ids, what they decode to), each with the space before it; kept by a worker for its next tasks."""
+    m = model(spec)
+
+    def rendered(ids: list[int]) -> tuple[int, bytes, bytes]:
+        decoder = Decoder(m)
+        decoder.first = False
+        return len(ids), "".join(f" {i}" for i in ids).encode(), "".join(map(decoder.feed, ids)).encode()
+    return Encoder(m, rendered)
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): digests of the tokens and of what they decode to, both as they come."""
-    def row(m: Model) -> Callable:
-        def rendered(ids: list[int]) -> tuple[int, bytes, bytes]:
-            decoder = Decoder(m)
-            decoder.first = False     # each run starts with the space before it
-            return len(ids), "".join(f" {i}" for i in ids).encode(), "".join(map(decoder.feed, ids)).encode()
-        encoder = Encoder(m, rendered)
+    def row(spec: str) -> Callable:
+        encoder = _written(spec)
 
         def digest(text: str | None) -> tuple[int, str, str]:
             n, ids, decoded, skip = 0, hashlib.sha256(), hashlib.sha256(), 1
