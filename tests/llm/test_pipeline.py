@@ -6,7 +6,8 @@ import pytest
 
 import corpus_pipeline
 from terrane.llm import decontaminate, pii
-from tests.llm.test_text_operators import SF, brute_classes
+from terrane.session import stored
+from tests.llm.test_text_operators import AWKWARD, SF, brute_classes, frame
 
 
 @pytest.fixture(scope="module")
@@ -57,3 +58,17 @@ def test_mixture_has_only_what_is_taken(stages):
 def test_run_is_the_stages(spark, stages):
     got = corpus_pipeline.run(spark, SF)
     assert sorted((r.doc_id, r.taken) for r in got.collect()) == sorted((r.doc_id, r.taken) for r in stages[-1][2].collect())
+
+
+def test_stages_on_awkward_rows_and_an_empty_table(spark):
+    extra = ("taken", "log_weight", "key", "class_id", "spans", "first_slot")
+    some = [(n, f"plain words of document {n} about the river and the mill. They go on for a while, and end here.") for n in range(100, 130)]
+    for rows in (AWKWARD + some + [(200, "write to a.b@c.org now")] * 3, []):
+        docs = frame(spark, rows, extra)
+        for name, stage in corpus_pipeline.STAGES:
+            before, docs = docs, stored(stage(spark, docs, SF), "awkward")
+            assert set(docs.columns) >= set(before.columns) - {"taken", "first_slot", "log_weight"}
+            if name != "mixture":
+                assert docs.columns == before.columns and docs.count() <= before.count()
+        kept = [r.text for r in docs.collect()]
+        assert bool(kept) == bool(rows) and not any("a.b@c.org" in (t or "") for t in kept)
