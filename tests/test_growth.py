@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from terrane.functions import geometry as g
-from terrane.operators import cluster
+from terrane.operators import cluster, joins
+from terrane.operators.grid import candidate_pairs
 from terrane.session import SMALL_ROWS, stored
 
 
@@ -35,3 +36,23 @@ def test_cells_that_links_join_already_are_not_compared_again(spark, monkeypatch
     out = cluster.dbscan(boxes, 100.0, 5)
     assert out.select("cluster_id").distinct().collect() == [(0,)]
     assert kept["part-pairs"].count() > 500 and kept["open-pairs"].isEmpty()
+
+
+def test_long_slanting_lines_are_not_met_by_their_boxes(spark, monkeypatch):
+    """Parallel diagonals: each box holds every query, each query is near two lines at most."""
+    shift = (F.col("id") * 50).cast("double")
+    line = F.array(g.vertex(shift, F.lit(0.0)), g.vertex(shift + 600, F.lit(300.0)), g.vertex(shift + 800, F.lit(500.0)))
+    lines = g.with_bbox(spark.range(60).select("id", g.linestring(line).alias("geom")))
+    spot = spark.range(400).select("id", (F.col("id") % 20 * 150 + 7).cast("double").alias("x"), (F.floor(F.col("id") / 20) * 25 + 3).cast("double").alias("y"))
+    boxes = g.with_bbox(spot.select("id", g.rectangle(F.col("x"), F.col("y"), F.lit(4.0), F.lit(6.0)).alias("geom")))
+    brute = (boxes.select("id", "geom").crossJoin(lines.select(F.col("id").alias("r"), F.col("geom").alias("line")))
+             .groupBy("id").agg(F.min(F.struct(joins.pred.distance(F.col("geom"), F.col("line")).alias("d"), "r")).alias("m")).select("id", "m.r", F.round("m.d", 6).alias("d")))
+    looked = []
+
+    def watched(left, right, **more):
+        looked.append(candidate_pairs(left, right, **more))
+        return looked[-1]
+    monkeypatch.setattr(joins, "candidate_pairs", watched)
+    got = joins.nearest_join(boxes, lines, digits=6)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, brute.collect()))
+    assert looked and sum(df.count() for df in looked) < 400 * 12
