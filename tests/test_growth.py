@@ -56,3 +56,25 @@ def test_long_slanting_lines_are_not_met_by_their_boxes(spark, monkeypatch):
     got = joins.nearest_join(boxes, lines, digits=6)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, brute.collect()))
     assert looked and sum(df.count() for df in looked) < 400 * 12
+
+
+def test_boxes_within_boxes_are_neither_sent_to_python_nor_exchanged_as_pairs(spark):
+    """Every feature in every zone but one: zone columns, features in no zone and odd shapes as in brute force."""
+    def rectangles(rows):
+        df = spark.createDataFrame(rows, "id long, x double, y double, w double, h double")
+        return g.with_bbox(df.select("id", F.col("id").alias("tag"), g.rectangle(F.col("x"), F.col("y"), F.col("w"), F.col("h")).alias("geom")))
+    left = rectangles([(i, 10.0 * i, 7.0 * i, 2.0, 3.0) for i in range(30)] + [(30, 5000.0, 0.0, 2.0, 2.0), (31, 0.0, 0.0, 0.0, 4.0)])
+    right = rectangles([(i, -1.0 * i, -2.0 * i, 150.0 + 90 * i, 100.0 + 70 * i) for i in range(8)] + [(8, 0.0, 0.0, 20.0, 3.0)])
+
+    def plain(df, how):
+        hits = (left.alias("l").crossJoin(df.alias("r")).filter(joins.pred.within(F.col("l.geom"), F.col("r.geom")))
+                .select("l.id", F.col("r.id").alias("zone_id"), F.col("r.tag").alias("tag_zone")))
+        return sorted(map(str, left.select("id").join(hits, "id", how).collect()))
+    joined = joins.within_join(left, right, ["tag"]).select("id", "zone_id", "tag_zone")
+    assert "Python" not in _plan(joins.within_join(left.filter("id < 31"), right, ["tag"]))      # the last one has no area
+    assert sorted(map(str, joined.collect())) == plain(right, "left")
+    corner = F.array(*[g.vertex(F.lit(x), F.lit(y)) for x, y in ((-9.0, -9.0), (400.0, -9.0), (-9.0, 300.0), (-9.0, -9.0))])
+    odd = right.unionByName(g.with_bbox(spark.range(9, 10).select("id", F.col("id").alias("tag"), g.geometry("Polygon", F.array(F.array(corner))).alias("geom"))))
+    for how in ("left", "inner"):
+        assert sorted(map(str, joins.within_join(left, odd, ["tag"], how).select("id", "zone_id", "tag_zone").collect())) == plain(odd, how)
+    assert sorted(r.id for r in joins.within_join(left, odd, [], distinct=True).collect()) == list(range(30))
