@@ -101,3 +101,19 @@ def test_only_footprints_at_a_zone_edge_are_scanned(spark, monkeypatch):
         spark.createDataFrame([], "id long, highway string"), own.select("id").crossJoin(caps.select(by).distinct())))
     assert got == sorted(map(str, zones.within_zones(boxes, roads).collect()))      # all by scan lines
     assert kept["spans"].count() == 1800 and len(got) > 300 and 0 < scanned < 100
+
+
+def test_distances_of_boxes_are_not_sent_to_python(spark):
+    """All pairs as by the predicate, also with a triangle on either side."""
+    spot = spark.range(60).select("id", (F.col("id") * 37 % 101 * 3.7).alias("x"), (F.col("id") * 53 % 89 * 2.3).alias("y"))
+    boxes = g.with_bbox(spot.select("id", g.rectangle(F.col("x"), F.col("y"), F.lit(7.5), F.lit(11.0)).alias("geom")))
+    corner = F.array(*[g.vertex(F.lit(x), F.lit(y)) for x, y in ((50.0, 50.0), (200.0, 60.0), (90.0, 180.0), (50.0, 50.0))])
+    odd = boxes.unionByName(g.with_bbox(spark.range(60, 61).select("id", g.geometry("Polygon", F.array(F.array(corner))).alias("geom"))))
+
+    def rows(df):
+        return sorted((a, b, round(d, 6)) for a, b, d in df.collect())
+    for side in (boxes, odd):
+        brute = side.alias("l").crossJoin(side.alias("r")).select("l.id", F.col("r.id").alias("r"), joins.pred.distance(F.col("l.geom"), F.col("r.geom")).alias("d"))
+        got = joins.distance_pairs(side, side, 60.0).select("l_id", "r_id", "dist")
+        assert rows(got) == rows(brute.filter("d <= 60"))
+        assert ("Python" in _plan(got)) == (side is odd)
