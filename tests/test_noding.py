@@ -74,3 +74,14 @@ def test_repair_and_reasons(spark):
     out = {r.id: (r.ok, r.area) for r in back.select("id", pred.is_valid(F.col("geom")).alias("ok"), g.area(F.col("geom")).alias("area")).collect()}
     assert all(ok for ok, _ in out.values())
     assert [out[i][1] for i in (1, 2, 3, 4, 5, 6)] == pytest.approx([400 - 16 - 16, 400 - 100 + 4, 400 - 100 - 36 + 2 * 16, 425, 400, 400 + 100 - 2 * 25])
+
+
+def test_few_edges_in_plain_numbers_as_in_arrays(monkeypatch):
+    rnd = random.Random(8)
+    shapes = []
+    for k in range(400):
+        ring = [(float(rnd.randrange(12)), 4385000.0 + rnd.randrange(12)) if k % 2 else (rnd.uniform(0, 50), rnd.uniform(0, 50)) for _ in range(rnd.randrange(4, 12))]
+        shapes.append([ring + ring[:1]])
+    plain = [noding.rebuilt(rings) for rings in shapes]
+    monkeypatch.setattr(noding, "FEW", 0)
+    assert plain == [noding.rebuilt(rings) for rings in shapes]
