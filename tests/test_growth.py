@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from terrane.functions import geometry as g
 from terrane.operators import cluster, joins, zones
 from terrane.operators.grid import candidate_pairs
+from terrane.plans import layers
 from terrane.session import SMALL_ROWS, stored
 
 
@@ -117,3 +118,13 @@ def test_distances_of_boxes_are_not_sent_to_python(spark):
         got = joins.distance_pairs(side, side, 60.0).select("l_id", "r_id", "dist")
         assert rows(got) == rows(brute.filter("d <= 60"))
         assert ("Python" in _plan(got)) == (side is odd)
+
+
+def test_footprints_are_repaired_once(spark):
+    """The filter on validity is not pushed below the repair, which would then run for it as well."""
+    ring = F.array(*[g.vertex(F.lit(x), F.lit(y)) for x, y in ((0.0, 0.0), (4.0, 6.0), (4.0, 0.0), (0.0, 6.0), (0.0, 0.0))])
+    ties = spark.range(40).select("id", F.lit("a").alias("name"), F.lit("b").alias("building"), F.lit("3.5").alias("height"),
+                                  g.geometry("Polygon", F.array(F.array(ring))).alias("geom"))
+    done = layers.processed_buildings(ties)
+    assert done.filter("area_m2 = 0 and area_repaired_m2 = 12").count() == 40
+    assert done._jdf.queryExecution().optimizedPlan().toString().count("made_valid(") == 1
