@@ -35,6 +35,7 @@ def _struct(**types: T.DataType) -> T.StructType:
 TILE = _struct(band=_INT, trow=_INT, tcol=_INT, values=T.ArrayType(_REAL), present=T.BinaryType(), valid=T.BinaryType())
 _PART = _struct(band=_INT, trow=_INT, tcol=_INT, pos=T.ArrayType(_INT), num=T.ArrayType(_REAL), den=T.ArrayType(_REAL))
 CROWD = 2_000_000     # cells asked of one tile by one task
+POINT_CELLS = 8       # cells that a point counts for: it brings its own columns, often a geometry
 CROWDED = 100_000     # crowded tiles that are broadcast at most
 EDGE_POINTS = 65      # points along each edge that bound a reprojected raster
 KEYS = ["trow", "tcol", "share"]
@@ -153,7 +154,7 @@ def value_at_points(points: DataFrame, x: Column, y: Column, tiles: DataFrame, g
         values, present, valid = tile or (np.zeros(size * size), *[np.zeros(size * size, bool)] * 2)
         got = left.select(list(own.values())).append_column(name, pa.array(values[at], mask=~(valid[at] & known))).rename_columns([*own, name])
         return got if how == "left" else got.filter(pa.array(present[at] & known))
-    return _meet(parts, tiles.filter(F.col("band") == band), F.lit(1), look, schema)
+    return _meet(parts, tiles.filter(F.col("band") == band), F.lit(POINT_CELLS), look, schema)
 
 
 def value_at_centroids(features: DataFrame, tiles: DataFrame, grid: Grid, how: str = "inner", name: str = "value",

@@ -119,3 +119,14 @@ def test_arrays_and_columns_project_alike(spark):
     assert np.allclose(between_arrays(x, y, 32613, 32614), between_arrays(lon, lat, 4326, 32614))
     with pytest.raises(ValueError):
         between_arrays(lon, lat, 4326, 2154)
+
+
+def test_points_with_columns_of_their_own_are_lent_in_small_shares(spark, monkeypatch):
+    kept, plain = {}, tiles.stored
+    monkeypatch.setattr(tiles, "CROWD", 100)
+    monkeypatch.setattr(tiles, "stored", lambda df, label="layer": kept.setdefault(label, plain(df, label)))
+    cells = spark.range(16).select(F.floor(F.col("id") / 4).cast("int").alias("row"), (F.col("id") % 4).cast("int").alias("col"), F.col("id").cast("double").alias("value"))
+    spots = spark.range(100).select("id", (F.col("id") % 4 + 0.5).cast("double").alias("x"), F.lit(3.5).alias("y"))
+    got = tiles.value_at_points(spots, F.col("x"), F.col("y"), tiles.to_tiles(cells), Grid(0.0, 4.0, 1.0))
+    assert sorted((r.id, r.value) for r in got.collect()) == [(i, float(i % 4)) for i in range(100)]
+    assert kept["crowded-tiles"].first()["shares"] == tiles.POINT_CELLS
