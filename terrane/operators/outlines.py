@@ -21,9 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.functions import geometry as g
-from terrane.operators.joins import within_pairs
 from terrane.operators.zones import DEFAULT_DY, TILE_M
-from terrane.schema import BBOX_COLUMNS
 from terrane.session import stored
 
 BLOCK_M = 1024.0      # blocks in which edges are chained: width in metres ...
@@ -135,18 +133,39 @@ def rings(runs: DataFrame, dy: float = DEFAULT_DY, tile: float = TILE_M, width:
     return whole.select("zone", g.let(path, corners).alias("ring")).withColumn("a2", g.ring_moments(F.col("ring"))["a2"])
 
 
+def _shells(every: DataFrame, dy: float) -> DataFrame:
+    """(id, shell): the shell that each hole belongs to; ``every``: zone, ring, a2, id.
+
+    The leftmost upright edge of a hole ends a run, and the run begins at an edge of the same part of the zone: its
+    shell's, or that of a hole further left. So every hole names a ring, and holes come to their shell by pointer
+    doubling. No ring is held against another one.
+    """
+    def side(p: Column, q: Column) -> Column:
+        l0, l1 = (F.round(v["y"] / dy).cast("long") for v in (p, q))
+        return F.when((p["x"] == q["x"]) & (l0 != l1), F.struct(p["x"].alias("x"), l0.alias("l0"), l1.alias("l1")))
+    sides = F.zip_with("ring", F.slice("ring", F.lit(2), F.size("ring")), side)
+    upright = every.select("zone", "id", (F.col("a2") > 0).alias("shell"), F.explode(sides).alias("s")).filter("s is not null").select(
+        "zone", "id", "shell", "s.x", F.explode(F.sequence(F.least("s.l0", "s.l1"), F.greatest("s.l0", "s.l1") - 1)).alias("k"))
+    along = Window.partitionBy("zone", "k").orderBy("x")
+    before = upright.select("id", "shell", "x", F.lag("id").over(along).alias("ptr"))
+    first = before.filter("not shell").groupBy("id").agg(F.min_by("ptr", "x").alias("ptr"))
+    shells = every.select(F.col("id").alias("ptr"), (F.col("a2") > 0).alias("settled"))
+    state = stored(first.join(shells, "ptr").select("id", "ptr", "settled"), "hole-shells")
+    while not state.filter("not settled").isEmpty():
+        ahead = state.select(F.col("id").alias("ptr"), F.col("ptr").alias("further"), F.col("settled").alias("there"))
+        moved = state.filter("not settled").join(ahead, "ptr").select("id", F.col("further").alias("ptr"), F.col("there").alias("settled"))
+        state = stored(state.filter("settled").unionByName(moved), "hole-shells")
+    return state.select("id", F.col("ptr").alias("shell"))
+
+
 def polygons(runs: DataFrame, by: list[str], dy: float = DEFAULT_DY, **blocks) -> DataFrame:
     """(by, geom): the zones' polygons, each hole in the smallest shell around it; ``runs`` as of ``buffer_zones``."""
     zone = F.to_json(F.struct(*by), {"ignoreNullFields": "false"}) if by else F.lit("{}")
     every = stored(rings(runs.withColumn("zone", zone), dy, **blocks).withColumn("id", F.monotonically_increasing_id()), "rings")
-    boxed = g.with_bbox(every.withColumn("geom", g.geometry("Polygon", F.array(F.array("ring")))))
-    shells, holes = (boxed.filter(side).select("id", "zone", "ring", "geom", *BBOX_COLUMNS, F.abs("a2").alias("a2")) for side in ("a2 > 0", "a2 < 0"))
-    around = (within_pairs(holes.drop("ring"), shells.drop("ring")).filter(F.col("l_zone") == F.col("r_zone"))
-              .groupBy(F.col("l_id").alias("hole")).agg(F.min(F.struct(F.col("r_a2").alias("a2"), F.col("r_id").alias("id"))).alias("shell")))
-    inner = (holes.select(F.col("id").alias("hole"), F.col("ring").alias("hole_ring")).join(around, "hole")
-             .groupBy(F.col("shell.id").alias("id")).agg(F.collect_list("hole_ring").alias("holes")))
+    inner = (every.select("id", F.col("ring").alias("hole")).join(_shells(every, dy), "id")
+             .groupBy(F.col("shell").alias("id")).agg(F.collect_list("hole").alias("holes")))
     parts = F.concat(F.array("ring"), F.coalesce("holes", F.array().cast("array<array<struct<x:double,y:double>>>")))
     schema = ", ".join(f"{c} {runs.schema[c].dataType.simpleString()}" for c in by)
-    out = shells.select("id", "zone", "ring").join(inner, "id", "left").withColumn("geom", g.geometry("Polygon", F.array(parts)))
+    out = every.filter("a2 > 0").select("id", "zone", "ring").join(inner, "id", "left").withColumn("geom", g.geometry("Polygon", F.array(parts)))
     named = out.withColumn("own", F.from_json("zone", schema)).select("own.*", "geom") if by else out.select("geom")
     return named

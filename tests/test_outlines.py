@@ -68,3 +68,18 @@ def test_a_whole_zone_and_none(spark, zoned):
     out = outlines.polygons(runs, [], 1.0, tile=float(TILE)).collect()
     assert sorted(len(r.geom.parts[0]) for r in out) == [2, 2]
     assert outlines.polygons(runs.limit(0), ["highway"], 1.0).collect() == []
+
+
+def test_holes_come_to_their_shell_without_meeting_shells(spark):
+    """Holes one behind the other in two zone parts: each is named by the run to its left, no ring is held against another."""
+    def slab(x0, holes):
+        rows = [("z", k, 0, x0, x0 + 10.0 * holes + 5) for k in (0, 2)]
+        return rows + [("z", 1, 0, x0 + 10.0 * i, x0 + 10.0 * i + 5) for i in range(holes + 1)]
+    runs = spark.createDataFrame(slab(0.0, 11) + slab(500.0, 3), "highway string, k long, tile long, lo double, hi double")
+    out = outlines.polygons(runs, ["highway"], 2.0, tile=4096.0)
+    assert "Python" not in out._jdf.queryExecution().optimizedPlan().toString()
+    rows = [r.geom.parts[0] for r in out.collect()]
+    assert sorted(len(p) for p in rows) == [4, 12]
+    for shell, *holes in rows:
+        lo, hi = min(v.x for v in shell), max(v.x for v in shell)
+        assert all(lo < v.x < hi for h in holes for v in h)
