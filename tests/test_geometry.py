@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from terrane.functions import geometry as g
 from terrane.functions import predicates as pred
+from terrane.functions import projection
 from terrane.schema import GEOMETRY, UTM13N
 
 
@@ -106,3 +107,23 @@ def test_wkt(shapes):
     assert got[8] == "POLYGON((0 0, 12 0, 0 9, 0 0))"
     assert got[9] == "LINESTRING(0 0, 10 0, 10 10)"
     assert got[7].startswith("MULTIPOLYGON(((0 0, 10 0")
+
+
+def test_reprojection_of_a_batch_keeps_its_shape(spark):
+    """Zones mixed in a batch, several parts, empty and missing ones; vertices as by the column arithmetic, outside of the JVM's lambdas."""
+    parts = [[[(480000.0 + 7 * i, 4400000.0 + 3 * i) for i in range(4)], []], [], [[(510000.0, 4410000.0), (None, 5.0), None]]]
+    rows = [(0, (32613, "MultiPolygon", parts)), (1, (32755, "MultiPolygon", parts)), (2, (32613, "Polygon", [])), (3, (32613, "Point", None)),
+            (4, None), (5, (None, "Point", parts)), (6, (4326, "LineString", [[[(-105.0, 39.7), (-104.9, 39.8)]]]))]
+    df = spark.createDataFrame(rows, "id int, geom " + GEOMETRY.simpleString()).coalesce(1)
+    for to in (4326, 32613, 32612):
+        out = df.select("id", projection.reproject(F.col("geom"), to).alias("geom"))
+        assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+        got = {r.id: r.geom for r in out.collect()}
+        assert got[4] is None and got[5].srid is None and got[3].srid == to and got[3].parts is None and got[2].parts == []
+        assert got[0].srid == got[1].srid == got[6].srid == to and got[1].kind == "MultiPolygon"
+        assert [[len(path) for path in part] for part in got[1].parts] == [[4, 0], [], [3]]
+        if to != 32613:
+            assert tuple(got[0].parts[2][0][1]) == (None, None)
+    x, y = projection.from_utm(F.lit(480021.0), F.lit(4400009.0), 32755)
+    want = spark.range(1).select(*projection.to_utm(x, y, 32612)).first()
+    assert tuple(got[1].parts[0][0][3]) == pytest.approx(tuple(want), rel=1e-12)
