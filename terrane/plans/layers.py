@@ -61,6 +61,16 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str], values: list
     return df.groupBy(*keys).agg(first.alias("_first")).select(*keys, *[F.col("_first")[v].alias(v) for v in values])
 
 
+def first_match_per_key(left: DataFrame, right: DataFrame, on: list[str], keys: list[str], order: list[str], values: list[str]) -> DataFrame:
+    """First of the right rows that each key of the left meets; ``order`` and ``values`` are columns of the right.
+
+    Of right rows that are equal in ``on`` only the first can be any key's first. So they are reduced before
+    the join, and the pairs are no more than the left rows.
+    """
+    first = first_per_key(right, on, order, [*order, *values])
+    return first_per_key(left.join(first, on), keys, order, values)
+
+
 def processed_buildings(features: DataFrame) -> DataFrame:
     """Repaired footprints; area of the geometry as read and as repaired.
 

@@ -128,3 +128,15 @@ def test_footprints_are_repaired_once(spark):
     done = layers.processed_buildings(ties)
     assert done.filter("area_m2 = 0 and area_repaired_m2 = 12").count() == 40
     assert done._jdf.queryExecution().optimizedPlan().toString().count("made_valid(") == 1
+
+
+def test_first_matches_do_not_open_all_pairs(spark, monkeypatch):
+    """A key that many rows of both sides share, one without a match, a missing one and a first row without a value."""
+    left = spark.createDataFrame([(i // 2, i % 3) for i in range(300)] + [(900, 7), (901, None)], "id long, k long")
+    right = spark.createDataFrame([(z, z % 3, None if z < 3 else f"v{z}") for z in range(400, 0, -1)] + [(0, None, "n")], "zone long, k long, v string")
+    seen = []
+    once = layers.first_per_key
+    monkeypatch.setattr(layers, "first_per_key", lambda df, *how: seen.append(df) or once(df, *how))
+    got = sorted(map(tuple, layers.first_match_per_key(left, right, ["k"], ["id"], ["zone"], ["v"]).collect()))
+    assert got == sorted(map(tuple, once(left.join(right, "k"), ["id"], ["zone"], ["v"]).collect())) and len(got) == 150
+    assert left.join(right, "k").count() > 30_000 and seen[-1].count() == 300

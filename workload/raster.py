@@ -106,9 +106,9 @@ def a11(spark, d):
 SELECT id, landuse FROM (SELECT b.id, l.landuse, ROW_NUMBER() OVER (PARTITION BY b.id ORDER BY l.id) AS k
   FROM fx_roofs b JOIN fx_landuse l ON l.id % 100 = b.id % 100) WHERE k = 1""", (K, L))
 def a12(spark, d):
-    pairs = base.roofs(spark, d).select("id", (c("id") % 100).alias("k")).join(
-        fixtures.load(spark, d, L).select(c("id").alias("zone"), "landuse", (c("id") % 100).alias("k")), "k")
-    return layers.first_per_key(pairs, ["id"], ["zone"], ["landuse"])
+    zone = fixtures.load(spark, d, L).select(c("id").alias("zone"), "landuse", (c("id") % 100).alias("k"))
+    roof = base.roofs(spark, d).select("id", (c("id") % 100).alias("k"))
+    return layers.first_match_per_key(roof, zone, ["k"], ["id"], ["zone"], ["landuse"])
 
 
 @query("a14_pair_totals", f"""WITH {COVER}
