@@ -7,23 +7,27 @@ split first says, for both cases, how it changes the depth, how far the depth
 falls on the way, and whether it ends inside a string; these few numbers of all
 splits are put together in order on the driver (one row for each split). Then
 each split cuts its features out; a feature that lies across splits is put
-together from its parts, which are the only text that is shuffled.
+together from its parts, which are the only text that is shuffled. What is cut out is stored once.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
-from itertools import groupby
+from itertools import groupby, pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrane.session import scratch_path
+
 FEATURE_DEPTH = 2     # the document and its list of features are open
 CHUNK = 1 << 20       # characters scanned at once
-_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*+(?P<end>"|\Z)|[{}\[\]]', re.DOTALL)
-_REST = re.compile(r'(?:[^"\\]|\\.)*+"', re.DOTALL)
+_QUOTE = 2
+_KINDS = np.zeros(256, np.int8)
+_KINDS[[ord(c) for c in "{[]}\""]] = 1, 1, -1, -1, _QUOTE
 
 
 def _chunks(pieces: Iterable[str], size: int) -> Iterator[str]:
@@ -39,37 +43,41 @@ def _chunks(pieces: Iterable[str], size: int) -> Iterator[str]:
         yield "".join(held)
 
 
-def brackets(pieces: Iterable[str], inside: bool, size: int = CHUNK) -> Iterator[tuple[str, int, bool]]:
-    """(text up to and with a bracket, +1, -1 or 0 at the end of a portion, whether a string is open) of a split; ``inside``: it begins in a string."""
-    carry = '"' if inside else ""     # an open string is scanned again from its quote on
-    shown = 1 if inside else 0        # of which this much is not of the text
-    for chunk in _chunks(pieces, size):
-        text, at = carry + chunk, shown
-        carry, shown = "", 0
-        for m in _TOKEN.finditer(text):
-            if m["end"] == "":
-                carry, shown = text[m.start():], len(text) - m.start()
-                break
-            if m["end"] is None:
-                yield text[at: m.end()], 1 if m[0] in "{[" else -1, False
-                at = m.end()
-        yield text[at:], 0, bool(carry)
-        if len(carry) > size:         # a very long string: its quote is enough
-            carry, shown = '"' + ("\\" if _odd_end(carry) else ""), 1 + _odd_end(carry)
+def _escaped(codes: np.ndarray) -> np.ndarray:
+    """Characters after an odd run of backslashes."""
+    slashes = np.flatnonzero(codes == ord("\\"))
+    begins = np.flatnonzero(np.append(True, np.diff(slashes) > 1))
+    length = np.diff(np.append(begins, len(slashes)))
+    after = (slashes[begins] + length)[length % 2 == 1]
+    out = np.zeros(len(codes), bool)
+    out[after[after < len(codes)]] = True
+    return out
 
 
-def _odd_end(text: str) -> int:
-    """1 if the text ends with a backslash that escapes what follows."""
-    return (len(text) - len(text.rstrip("\\"))) % 2
+def brackets(pieces: Iterable[str], inside: bool, size: int = CHUNK) -> Iterator[tuple[str, int, tuple[np.ndarray, np.ndarray, bool]]]:
+    """Portions of a split: (text, change of depth, (places of the brackets outside of strings, +1 or -1 for each, whether a
+    string is open at the end)); ``inside``: it begins in a string. A portion ends with a separator, so no escape reaches into the next one."""
+    for text in _chunks(pieces, size):
+        codes = np.frombuffer(text.encode("ascii", "replace"), np.uint8)     # a byte for each character
+        kind = _KINDS[codes]
+        at = np.flatnonzero(kind)
+        kind = kind[at]
+        quote = kind == _QUOTE
+        if "\\" in text:
+            quote &= ~_escaped(codes)[at]
+        real = (kind != _QUOTE) & ((np.cumsum(quote) + inside) % 2 == 0)
+        inside = bool((np.count_nonzero(quote) + inside) % 2)
+        steps = kind[real].astype(np.int64)
+        yield text, int(steps.sum()), (at[real], steps, inside)
 
 
 def measure(pieces: Iterable[str], inside: bool) -> tuple[int, int, bool]:
     """(change of depth, its lowest value on the way, whether a string is open at the end)."""
     depth = low = 0
     open_ = inside
-    for _, step, open_ in brackets(pieces, inside):
-        depth += step
-        low = min(low, depth)
+    for _, change, (_, steps, open_) in brackets(pieces, inside):
+        low = min(low, depth + int(np.cumsum(steps).min(initial=0)))
+        depth += change
     return depth, low, open_
 
 
@@ -77,28 +85,30 @@ def cut(pieces: Iterable[str], depth: int, inside: bool) -> Iterator[tuple[str,
     """(kind, text): whole features, a ``tail`` of one that begins before, a ``head`` of one that ends later, and what lies outside."""
     parts: list[str] = []
     kind = "tail" if depth > FEATURE_DEPTH else "outside"
-    for text, step, _ in brackets(pieces, inside):
-        if step > 0 and depth == FEATURE_DEPTH:       # a feature begins at this bracket
-            yield "outside", "".join([*parts, text[:-1]])
-            parts, kind = [text[-1]], "feature"
-        else:
-            parts.append(text)
-            if step < 0 and depth == FEATURE_DEPTH + 1:
-                yield kind, "".join(parts)
-                parts, kind = [], "outside"
-        depth += step
+    for text, change, (at, steps, _) in brackets(pieces, inside):
+        after = depth + np.cumsum(steps)
+        edge = np.where(steps > 0, after == FEATURE_DEPTH + 1, after == FEATURE_DEPTH)    # a feature begins or ends at this bracket
+        done = 0
+        for i, step in zip(at[edge].tolist(), steps[edge].tolist()):
+            end = i if step > 0 else i + 1
+            yield "outside" if step > 0 else kind, "".join([*parts, text[done:end]])
+            parts, kind, done = [], "feature" if step > 0 else "outside", end
+        if done < len(text):
+            parts.append(text[done:])
+        depth += change
     if parts:
         yield "head" if kind == "feature" else "middle" if kind == "tail" else kind, "".join(parts)
 
 
 def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], Iterator[str]]]:
     """((file, first byte), records) of each split."""
-    def rows():
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                yield from zip(*(c.to_pylist() for c in batch.slice(at, 4096).columns))
-    for key, run in groupby(rows(), lambda r: r[:2]):
-        yield key, (r[2] for r in run)
+    def runs():
+        for file, start, value in (batch.columns for batch in batches if batch.num_rows):
+            turns = pc.or_(*(pc.not_equal(c[1:], c[:-1]) for c in (file, start))).to_numpy(zero_copy_only=False)
+            for a, b in pairwise([0, *(np.flatnonzero(turns) + 1).tolist(), len(value)]):
+                yield (file[a].as_py(), start[a].as_py()), value.slice(a, b - a)
+    for key, run in groupby(runs(), lambda r: r[0]):
+        yield key, (v for _, values in run for at in range(0, len(values), 4096) for v in values.slice(at, 4096).to_pylist())
 
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,9 +134,9 @@ def states(measured: Iterable) -> dict[tuple[str, int], tuple[int, bool, int]]:
     return out
 
 
-def read_collection(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_collection(spark: SparkSession, source: str) -> tuple[DataFrame, DataFrame]:
     """((file, feature) as JSON text, (file, outside): what the document holds besides its features)."""
-    records = spark.read.option("lineSep", "}").text(path).select(
+    records = spark.read.option("lineSep", "}").text(source).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
     schema = "file string, start long, d0 long, l0 long, s0 boolean, d1 long, l1 long, s1 boolean"
     known = spark.sparkContext.broadcast(states(records.mapInArrow(_measured, schema).collect()))
@@ -145,7 +155,9 @@ def read_collection(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
                     out = []
             if out:
                 yield _parts(out)
-    parts = records.mapInArrow(look, "file string, start long, begun long, kind string, text string")
+    path = scratch_path(spark, "collection-parts")       # cut once, read for each use
+    records.mapInArrow(look, "file string, start long, begun long, kind string, text string").write.parquet(path)
+    parts = spark.read.parquet(path)
     whole = parts.filter("kind = 'feature'").select("file", F.col("text").alias("feature"))
 
     def joined(df: DataFrame, *keys: str) -> DataFrame:

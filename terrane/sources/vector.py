@@ -9,7 +9,7 @@ from terrane.functions import geometry as g
 from terrane.functions.projection import reproject
 from terrane.operators.grid import cell_width
 from terrane.schema import GEOMETRY_DDL, UTM13N, WGS84
-from terrane.session import cut_lineage
+from terrane.session import cut_lineage, stored
 from terrane.sources.collection import read_collection
 
 _XY = "array<double>"
@@ -46,16 +46,18 @@ def read_features(spark: SparkSession, path: str, properties: str, layout: str =
     feature = f"type string, properties struct<{properties}>, geometry struct<type:string, coordinates:string>"
     if layout == "collection":
         objects, _ = read_collection(spark, path)
-        parsed = objects.select("file", "feature", F.from_json("feature", feature).alias("f"))
+        parsed = objects.select("file", F.from_json("feature", feature).alias("f"))
         # of what stands as deep as a feature only the CRS has a name of its own
         named = F.regexp_extract("feature", '^\\{\\s*"name"\\s*:\\s*"[^"]*?([0-9]+)"', 1).try_cast("int")
-        crs = parsed.filter("f.type is null").groupBy("file").agg(F.max(named).alias("srid"))
+        crs = objects.select("file", "feature", named.alias("srid")).filter("srid is not null").filter(F.from_json("feature", "type string")["type"].isNull())
+        crs = stored(crs.groupBy("file").agg(F.max("srid").alias("srid")), "collection-crs")
         raw = parsed.filter("f.type = 'Feature'").join(crs, "file", "left").select("srid", "f.*")
     else:
         raw = spark.read.schema(feature).json(path).filter(F.col("type") == "Feature").withColumn(
             "srid", F.lit(None).cast("int"))
-    geom = geometry_from_json(F.col("geometry.type"), F.col("geometry.coordinates"), F.col("srid"))
-    return raw.select("properties.*", g.default_srid(geom, default_srid).alias("geom"))
+    # the default goes in first: set on the geometry, it would have the coordinates parsed several times
+    geom = geometry_from_json(F.col("geometry.type"), F.col("geometry.coordinates"), F.coalesce("srid", F.lit(default_srid)))
+    return raw.select("properties.*", geom.alias("geom"))
 
 
 def feature_text(properties: list[str], geom: str = "geom", digits: int | None = None) -> Column:

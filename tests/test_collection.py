@@ -75,3 +75,33 @@ def test_one_file_is_read_by_several_tasks(spark, tmp_path, indent):
     assert sorted(r.geom.srid for r in rows) == [4326] * 5 + [32613] * 3000
     assert sorted((r.id, r.note) for r in rows if r.geom.srid == 32613) == [(f["properties"]["id"], f["properties"]["note"]) for f in doc["features"]]
     assert all(len(r.geom.parts[0][0]) == 4 for r in rows)
+
+
+def test_a_portion_is_scanned_as_a_whole():
+    """Brackets out of strings as by a walk over the characters, however many there are in a portion."""
+    rng = random.Random(5)
+    for size in (1, 50, 1 << 20):
+        text = json.dumps([{"a": ["".join(rng.choices('é😀\\"{}[]x', k=rng.randint(0, 9))), {"b": [[1, 2], [3]]}]} for _ in range(200)], ensure_ascii=False) + "}"
+        want, open_, escaped = [], False, False
+        for i, ch in enumerate(text):
+            if escaped:
+                escaped = False
+            elif open_ and ch == "\\":
+                escaped = True
+            elif ch == '"':
+                open_ = not open_
+            elif not open_ and ch in "{}[]":
+                want.append((i, 1 if ch in "{[" else -1))
+        seen, at, portions = [], 0, 0
+        for part, change, (places, steps, _) in collection.brackets(text.split("}")[:-1], False, size):
+            assert change == steps.sum()
+            seen += zip((places + at).tolist(), steps.tolist())
+            at, portions = at + len(part), portions + 1
+        assert seen == want and at == len(text) and (size < 1 << 20 or portions == 1)
+
+
+def test_features_are_cut_once(spark, tmp_path):
+    """Neither the CRS nor the features that lie across splits have the text scanned again, and coordinates are parsed once."""
+    (tmp_path / "a.geojson").write_text(document(30, 6)[1], encoding="utf-8")
+    plan = src.read_features(spark, str(tmp_path), "id long, note string", "collection")._jdf.queryExecution().optimizedPlan().toString()
+    assert "mapInArrow" not in plan and "MapInArrow" not in plan and plan.count("from_json") <= 12
