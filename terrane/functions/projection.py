@@ -155,7 +155,8 @@ def reproject(geom: Column, to: int = UTM13N) -> Column:
     other system raises an error that names it when the row is read, so none is
     lost unseen (a failing cast; with ANSI mode off it stays where it is, without a SRID).
 
-    Only geometries that move cross to Python: as nested lambdas a vertex took about 30 µs.
+    Only geometries that move cross to Python: as nested lambdas a vertex took about 30 µs. The move is marked as
+    not deterministic (it is): Spark would otherwise push filters below it and have it run for each of them as well.
     """
     if to != WGS84:
         central_meridian(to)  # raises for what is no zone
@@ -165,5 +166,5 @@ def reproject(geom: Column, to: int = UTM13N) -> Column:
     source = geom["srid"]
     unknown = geom.withField("srid", F.concat(F.lit("no transformation from SRID "), source.cast("string")).cast("int"))
     moves = (source != to) & (is_utm(source) | (source == WGS84))
-    moved = arrow_udf(move, returnType=GEOMETRY)(F.when(moves, geom))
+    moved = arrow_udf(move, returnType=GEOMETRY).asNondeterministic()(F.when(moves, geom))
     return F.when(source == to, geom).when(moves, moved).otherwise(unknown)
