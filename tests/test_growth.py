@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from terrane.functions import geometry as g
-from terrane.operators import cluster, joins, zones
+from terrane.operators import cluster, grid, joins, zones
 from terrane.operators.grid import candidate_pairs
 from terrane.plans import layers
 from terrane.session import SMALL_ROWS, stored
@@ -140,3 +140,33 @@ def test_first_matches_do_not_open_all_pairs(spark, monkeypatch):
     got = sorted(map(tuple, layers.first_match_per_key(left, right, ["k"], ["id"], ["zone"], ["v"]).collect()))
     assert got == sorted(map(tuple, once(left.join(right, "k"), ["id"], ["zone"], ["v"]).collect())) and len(got) == 150
     assert left.join(right, "k").count() > 30_000 and seen[-1].count() == 300
+
+
+def test_boxes_in_reach_are_stored_once_and_not_sent_cell_by_cell(spark, monkeypatch):
+    """Sizes from nothing to many reaches on both sides, below zero, crowded blocks: each pair once, as in brute force."""
+    def boxes(n, salt):
+        i = F.col("id")
+        spot = spark.range(n).select("id", ((i * 37 + salt) % 1009 * 1.7 - 800).alias("x"), ((i * 53 + salt) % 997 * 1.3 - 500).alias("y"),
+                                     F.pow(F.lit(40.0), i % 3 - 1).alias("w"), ((i + salt) % 2 * 9).cast("double").alias("h"))
+        return g.with_bbox(spot.select("id", g.rectangle(F.col("x"), F.col("y"), F.col("w"), F.col("h")).alias("geom")))
+    left, right = boxes(260, 3), boxes(190, 41)
+    a, b = ({k: F.col(f"{s}.{k}") for k in joins.BOX} for s in "lr")
+
+    def rows(df):
+        return sorted((p, q, round(d, 6)) for p, q, d in df.collect())
+    for one, two, reach, hot in ((left, right, 90.0, 500_000), (right, left, 7.0, 5), (left, left, 0.0, 500_000)):
+        every = one.alias("l").crossJoin(two.alias("r")).select("l.id", F.col("r.id").alias("r"), g.bbox_distance(a, b).alias("d")).filter(F.col("d") <= reach)
+        assert rows(grid.boxes_in_reach(one, two, reach, hot)) == rows(every)
+    labels = []
+    monkeypatch.setattr(joins, "stored", lambda df, label="layer", **how: labels.append(label) or stored(df, label, **how))
+    small = boxes(3000, 5).filter("xmax - xmin < 30 and ymax - ymin < 30")
+    out = joins.distance_pairs(small, small, 100.0)
+    assert labels == ["distances"]
+    assert "SortMergeJoin" not in _plan(out) and "ShuffledHashJoin" in _plan(out)
+
+
+def test_quick_rounding_is_that_of_decimals(spark):
+    rows = spark.range(4000).select(F.explode(F.array((F.col("id") + 0.5) / 1e6, F.sqrt("id"), -F.sqrt("id") / 7, F.col("id") * 1e13 + 0.1, F.lit(-1e-9),
+                                                      F.lit(float("nan")), F.lit(float("inf")), F.lit(None).cast("double"), F.lit(0.1234565), F.lit(2.0000005))).alias("x"))
+    same = rows.select(F.round("x", 6).alias("a"), g.rounded(F.col("x"), 6).alias("b"))
+    assert same.filter(~F.col("a").eqNullSafe(F.col("b")) | (F.col("a").cast("string") != F.col("b").cast("string"))).isEmpty()
