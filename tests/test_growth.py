@@ -191,3 +191,19 @@ def test_footprints_deep_in_a_zone_are_settled_by_their_cell(spark, monkeypatch)
     monkeypatch.setattr(zones, "_decided", lambda own, caps, by, radius: (
         spark.createDataFrame([], "id long, highway string"), own.select("id").crossJoin(caps.select(by).distinct())))
     assert got == sorted(map(str, zones.within_zones(boxes, roads).collect()))      # all by scan lines
+
+
+def test_cells_are_made_without_lambdas_and_only_where_partners_can_be(spark, monkeypatch):
+    """Small boxes on the right, wide ones on the left: right rows on their own level would meet nobody."""
+    def boxes(n, size):
+        spot = spark.range(n).select("id", (F.col("id") * 37 % 101 * 7.0).alias("x"), (F.col("id") * 53 % 89 * 5.0).alias("y"))
+        return g.with_bbox(spot.select("id", g.rectangle(F.col("x"), F.col("y"), F.lit(size), F.lit(size)).alias("geom"))).select("id", *joins.BOX)
+    left, right = stored(boxes(50, 60.0)), stored(boxes(400, 3.0))
+    keyed = []
+    split = grid._split
+    monkeypatch.setattr(grid, "_split", lambda a, b, *how: keyed.append((a, b)) or split(a, b, *how))
+    pairs = candidate_pairs(left, right)
+    assert "lambda" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert keyed[0][1].select("_role").distinct().collect() == [(0,)]
+    a, b = ({k: F.col(f"{s}.{k}") for k in joins.BOX} for s in "lr")
+    assert pairs.count() == left.alias("l").crossJoin(right.alias("r")).filter(g.bbox_distance(a, b) == 0).count() > 0
